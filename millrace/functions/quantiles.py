@@ -53,8 +53,12 @@ def order_statistics(
 
     open_targets = targets
     while open_targets:
-        small = [t for t in open_targets if t["inside"] <= collect_limit]
-        if small and sum(t["inside"] for t in small) <= 4 * collect_limit:
+        small, total = [], 0
+        for t in open_targets:
+            if t["inside"] <= collect_limit and total + t["inside"] <= 4 * collect_limit:
+                small.append(t)
+                total += t["inside"]
+        if small:
             tagged = slim.select(
                 F.explode(
                     F.filter(
@@ -81,25 +85,6 @@ def order_statistics(
                         break
             open_targets = [t for t in open_targets if t not in small]
             continue
-        if small:  # many small brackets: settle them a few at a time
-            head, total = [], 0
-            for t in small:
-                if head and total + t["inside"] > 4 * collect_limit:
-                    break
-                head.append(t)
-                total += t["inside"]
-            rest = [t for t in open_targets if t not in head]
-            open_targets = rest
-            partial = order_statistics(
-                df,
-                {names[t["i"]]: values[names[t["i"]]] for t in head},
-                {names[t["i"]]: [u["rank"] for u in head if u["i"] == t["i"]] for t in head},
-                collect_limit=sum(t["inside"] for t in head),
-                accuracy=accuracy,
-            )
-            for n, got in partial.items():
-                found[n].update(got)
-            continue
         slack = 2.0 / accuracy
         sketches = []
         for j, t in enumerate(open_targets):
