@@ -70,7 +70,12 @@ def row_count(df: DataFrame) -> int:
 
 
 def modes(df: DataFrame, columns: Sequence[str], as_text: bool = False) -> dict[str, object]:
-    """Most frequent value per column, smallest on ties.
+    """Most frequent value per column, smallest on ties."""
+    return {c: mode for c, (mode, _) in value_profile(df, columns, as_text).items()}
+
+
+def value_profile(df: DataFrame, columns: Sequence[str], as_text: bool = False) -> dict[str, tuple]:
+    """{column: (mode, number of distinct values)}.
 
     Counting runs as an ordinary grouped aggregate (map-side combined, spread over the cluster);
     only the winner of each column is returned.
@@ -89,8 +94,11 @@ def modes(df: DataFrame, columns: Sequence[str], as_text: bool = False) -> dict[
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("column")
-        .agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value"))).alias("mode"))
+        .agg(
+            F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value"))).alias("mode"),
+            F.count(F.lit(1)).alias("unique"),
+        )
         .collect()
     )
-    found = {r["column"]: r["mode"] for r in rows}
-    return {c: found.get(c) for c in columns}
+    found = {r["column"]: (r["mode"], r["unique"]) for r in rows}
+    return {c: found.get(c, (None, 0)) for c in columns}

@@ -24,12 +24,24 @@ def ordered_scan(
     sums: Mapping[str, Column] | None = None,
     index: str = "row_index",
     partitions: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add a dense 0-based ``index`` in the given order and running totals of ``sums``.
 
-    ``order`` must be total, i.e. end in a unique key, or the rows must be indistinguishable.
+    ``order`` must be total, i.e. end in a unique key, or the rows must be indistinguishable.  A
+    table counted at ``SMALL_VALUES`` rows or fewer takes a plain window, beyond that the ranged scan.
     """
     sums = dict(sums or {})
+    if small is None:
+        small = df.limit(SMALL_VALUES + 1).count() <= SMALL_VALUES
+    if small:
+        w = Window.orderBy(*order)
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(
+            *[col(c) for c in df.columns],
+            (F.row_number().over(w) - 1).cast("bigint").alias(index),
+            *[F.coalesce(F.sum(s).over(upto), F.lit(0)).alias(n) for n, s in sums.items()],
+        )
     keyed = df.select(
         "*",
         *[o.alias(f"__o{i}") for i, o in enumerate(order)],
@@ -53,7 +65,7 @@ def ordered_scan(
     # offsets holds one row per range, at most the number of shuffle partitions
     return ranged.join(F.broadcast(offsets), "__range").select(
         *[col(c) for c in df.columns],
-        (F.row_number().over(within) - 1 + F.col("__n0")).alias(index),
+        (F.row_number().over(within) - 1 + F.col("__n0")).cast("bigint").alias(index),
         *[
             (F.coalesce(F.sum(f"__s{i}").over(running), F.lit(0)) + F.col(f"__t{i}")).alias(name)
             for i, name in enumerate(sums)
@@ -101,7 +113,7 @@ def ranked_values(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
     if n <= SMALL_VALUES:
         w = Window.orderBy("value")
         return values.select("value", (F.row_number().over(w) - 1).cast("bigint").alias("rank"), "n"), True
-    return ordered_scan(values, [F.col("value")], index="rank").select("value", "rank", "n"), False
+    return ordered_scan(values, [F.col("value")], index="rank", small=False).select("value", "rank", "n"), False
 
 
 def average_ranks(counts: DataFrame, within: Sequence[str] = ()) -> DataFrame:

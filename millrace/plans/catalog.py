@@ -8,6 +8,7 @@ from .registry import ORACLES, QUERIES
 
 AREAS = (
     "queries_prepare",
+    "queries_explore",
 )
 
 

@@ -575,6 +575,7 @@ def text_length(t):
  (coalesce(value, 0) + coalesce(score, 0)) / (CASE WHEN value IS NULL THEN 0 ELSE 1 END + CASE WHEN score IS NULL THEN 0 ELSE 1 END) END AS average,
  CASE WHEN score = 0 THEN NULL ELSE value / score END AS rate, value - score AS gap, coalesce(value, 1) * coalesce(score, 1) AS product FROM {I.EV_NULLS}""",
     doubles="total average rate gap product",
+    digits=9,
 )
 def derive(t):
     df = I.ev_nulls(t)
@@ -614,7 +615,7 @@ def interact_all_pairs(t):
 @query(
     "polynomial",
     """SELECT p_partkey, CAST(p_size AS DOUBLE) * p_size AS "poly_p_size^2", p_size * p_retailprice AS "poly_p_size p_retailprice", p_retailprice * p_retailprice AS "poly_p_retailprice^2" FROM part""",
-    doubles="poly_p_size^2 ",
+    doubles=["poly_p_size^2", "poly_p_size p_retailprice", "poly_p_retailprice^2"],
 )
 def polynomial(t):
     df = t.part.select("p_partkey", "p_size", "p_retailprice")

@@ -40,7 +40,7 @@ def _rounded(df: DataFrame, digits: dict[str, int], default: int) -> DataFrame:
 def query(
     name: str,
     sql: str | None = None,
-    doubles: str = "",
+    doubles: str | list[str] = "",
     digits: int = 6,
     per_column: dict[str, int] | None = None,
 ):
@@ -57,7 +57,7 @@ def query(
             raise ValueError(f"query {name} registered twice")
         QUERIES[name] = run
         if sql is not None:
-            names = doubles.split()
+            names = doubles.split() if isinstance(doubles, str) else doubles
             if names:
                 swaps = ", ".join(
                     f'round(CAST("{c}" AS DOUBLE), {per_column.get(c, digits)}) + 0.0 AS "{c}"' for c in names
