@@ -81,31 +81,29 @@ def pairwise_moments(df: DataFrame, columns: Sequence[str], shift: Sequence[floa
         m = present.astype(float)
         return {"n": m.T @ m, "sx": z.T @ m, "sxx": (z * z).T @ m, "sxy": z.T @ z}
 
-    if p <= EXPRESSION_WIDTH:
-        aggs = []
-        for i in range(p):
-            for j in range(p):
-                x, y = F.col(f"g{i}"), F.col(f"g{j}")
-                xs = F.when(y.isNotNull(), x)
-                aggs += [F.sum(xs).alias(f"sx{i}_{j}"), F.sum(xs * xs).alias(f"sxx{i}_{j}")]
-                if i <= j:
-                    aggs += [F.count(x * y).alias(f"n{i}_{j}"), F.sum(x * y).alias(f"sxy{i}_{j}")]
-        row = slim.agg(*aggs).collect()[0]
-        out = {k: np.zeros((p, p)) for k in ("n", "sx", "sxx", "sxy")}
-        for i in range(p):
-            for j in range(p):
-                a, b = min(i, j), max(i, j)
-                out["n"][i, j] = row[f"n{a}_{b}"]
-                out["sxy"][i, j] = row[f"sxy{a}_{b}"] or 0.0
-                out["sx"][i, j] = row[f"sx{i}_{j}"] or 0.0
-                out["sxx"][i, j] = row[f"sxx{i}_{j}"] or 0.0
-        return out
     got = _partials(slim, p, blocks)
     return got or {k: np.zeros((p, p)) for k in ("n", "sx", "sxx", "sxy")}
 
 
 def pairwise_correlation(df: DataFrame, columns: Sequence[str], means: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
     """(n, r) matrices over pairwise-complete rows."""
+    p = len(columns)
+    if p <= EXPRESSION_WIDTH:
+        slim = _slim(df, columns, means)
+        pairs = [(i, j) for i in range(p) for j in range(i, p)]
+        aggs = []
+        for i, j in pairs:
+            x, y = F.col(f"g{i}"), F.col(f"g{j}")
+            aggs.append(F.count(x + y if i != j else x).alias(f"n{i}_{j}"))
+            aggs.append((F.corr(x, y) if i != j else F.var_pop(x)).alias(f"r{i}_{j}"))
+        row = slim.agg(*aggs).collect()[0]
+        n, r = np.zeros((p, p)), np.full((p, p), np.nan)
+        for i, j in pairs:
+            n[i, j] = n[j, i] = row[f"n{i}_{j}"]
+            value = row[f"r{i}_{j}"]
+            if value is not None and (i != j or value > 0):
+                r[i, j] = r[j, i] = value if i != j else 1.0
+        return n, r
     m = pairwise_moments(df, columns, means)
     n, sx, sxx, sxy = m["n"], m["sx"], m["sxx"], m["sxy"]
     with np.errstate(divide="ignore", invalid="ignore"):

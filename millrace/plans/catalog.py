@@ -9,6 +9,7 @@ from .registry import ORACLES, QUERIES
 AREAS = (
     "queries_prepare",
     "queries_explore",
+    "queries_sample",
 )
 
 
