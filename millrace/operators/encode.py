@@ -62,6 +62,22 @@ def label_encode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return category_codes(filled, columns)
 
 
+def label_step(df: DataFrame, columns: Sequence[str] | None = None) -> ColumnStep:
+    """:func:`label_encode` as a saveable step for columns of few values; unseen values give null."""
+    columns = list(columns) if columns is not None else columns_of(df, "string")
+    levels = distinct_values(df, columns)
+    exprs = {}
+    for c in columns:
+        known = sorted({*levels[c], "nan"}) if _has_null(df, c) else levels[c]
+        known = ", ".join(lit_sql(v) for v in known)
+        exprs[c] = f"CAST(nullif(array_position(array({known}), coalesce(CAST({quote(c)} AS STRING), 'nan')), 0) - 1 AS DOUBLE)"
+    return fitted(df, exprs, state={c: {"levels": levels[c]} for c in columns})
+
+
+def _has_null(df: DataFrame, column: str) -> bool:
+    return not df.where(col(column).isNull()).isEmpty()
+
+
 @dataclass
 class ValueEncoder:
     """A fitted value -> number table; applying it is a skew-safe left join."""

@@ -10,6 +10,7 @@ AREAS = (
     "queries_prepare",
     "queries_explore",
     "queries_sample",
+    "queries_model",
 )
 
 
