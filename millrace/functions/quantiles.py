@@ -36,19 +36,19 @@ def order_statistics(
     slim = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(names)])
     counts = slim.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(names))]).collect()[0]
     found: dict[str, dict[int, float]] = {n: {} for n in names}
-    # one open target per wanted rank: the bracket, the rows below it and the rows inside it
+    # one open target per wanted rank: the open bracket, the rows at or below its lower end, the rows inside
     targets = []
     for i, name in enumerate(names):
         for rank in sorted(set(ranks[name])):
             if not 0 <= rank < counts[i]:
                 raise ValueError(f"rank {rank} outside 0..{counts[i] - 1} for {name}")
-            targets.append({"i": i, "rank": rank, "lo": None, "hi": None, "below": 0, "inside": counts[i]})
+            targets.append({"i": i, "rank": rank, "lo": None, "hi": None, "below": 0, "inside": counts[i], "slack": 2.0 / accuracy})
 
     def inside(t) -> Column:
         v = F.col(f"v{t['i']}")
         keep = v.isNotNull()
         if t["lo"] is not None:
-            keep = keep & (v >= F.lit(t["lo"])) & (v <= F.lit(t["hi"]))
+            keep = keep & (v > F.lit(t["lo"])) & (v < F.lit(t["hi"]))
         return keep
 
     open_targets = targets
@@ -85,14 +85,13 @@ def order_statistics(
                         break
             open_targets = [t for t in open_targets if t not in small]
             continue
-        slack = 2.0 / accuracy
         sketches = []
         for j, t in enumerate(open_targets):
             p = (t["rank"] - t["below"] + 1) / t["inside"]
             v = F.when(inside(t), F.col(f"v{t['i']}"))
             sketches.append(
                 F.percentile_approx(
-                    v, F.array(F.lit(max(0.0, p - slack)), F.lit(min(1.0, p + slack))), F.lit(accuracy)
+                    v, F.array(F.lit(max(0.0, p - t["slack"])), F.lit(min(1.0, p + t["slack"]))), F.lit(accuracy)
                 ).alias(f"s{j}")
             )
         bounds = slim.agg(*sketches).collect()[0]
@@ -101,18 +100,28 @@ def order_statistics(
             v = F.col(f"v{t['i']}")
             lo, hi = bounds[j]
             checks.append(F.count_if(v < F.lit(lo)).alias(f"b{j}"))
-            checks.append(F.count_if((v >= F.lit(lo)) & (v <= F.lit(hi))).alias(f"m{j}"))
+            checks.append(F.count_if(v == F.lit(lo)).alias(f"l{j}"))
+            checks.append(F.count_if((v > F.lit(lo)) & (v < F.lit(hi))).alias(f"m{j}"))
+            checks.append(F.count_if(v == F.lit(hi)).alias(f"h{j}"))
         seen = slim.agg(*checks).collect()[0]
         still = []
         for j, t in enumerate(open_targets):
             lo, hi = bounds[j]
-            below, within = seen[f"b{j}"], seen[f"m{j}"]
-            if not below <= t["rank"] < below + within:
-                raise RuntimeError("quantile sketch broke its error bound")
-            if lo == hi:
+            # the ends are settled by their own counts and left out of the next bracket, so a value
+            # held by any share of the rows cannot keep a bracket from shrinking
+            below = seen[f"b{j}"]
+            if below <= t["rank"] < below + seen[f"l{j}"]:
                 found[names[t["i"]]][t["rank"]] = lo
                 continue
-            t.update(lo=lo, hi=hi, below=below, inside=within)
+            below += seen[f"l{j}"]
+            if below + seen[f"m{j}"] <= t["rank"] < below + seen[f"m{j}"] + seen[f"h{j}"]:
+                found[names[t["i"]]][t["rank"]] = hi
+                continue
+            if not below <= t["rank"] < below + seen[f"m{j}"]:
+                t["slack"] *= 8  # the sketch missed: ask for a wider bracket of the same range
+                still.append(t)
+                continue
+            t.update(lo=lo, hi=hi, below=below, inside=seen[f"m{j}"])
             still.append(t)
         open_targets = still
     return found

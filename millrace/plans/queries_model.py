@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import local_rows
@@ -10,6 +12,7 @@ from ..sources import sinks
 from . import inputs as I
 from . import workflow
 from .queries_explore import _anova_sql
+from .queries_prepare import hu, pca2_sql
 from .registry import query
 
 LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -150,17 +153,22 @@ def knn_score_select(t):
     return _scores(select.knn_score_select(t.part, "p_retailprice", "p_partkey", features=["p_size"]), t)
 
 
-@query("selection_summary")
+@query(
+    "selection_summary",
+    f"""SELECT 'kbest_f_regression' AS method, feature, score, score >= max(score) OVER () AS selected FROM ({_f('p_size', 'p_retailprice', 'part')} UNION ALL {_f('p_partkey', 'p_retailprice', 'part')})
+ UNION ALL SELECT 'vif', f, a * b / (a * b - c * c), a * b / (a * b - c * c) <= 3 OR f = 'p_partkey' FROM (SELECT sum(p_size * p_size)::DOUBLE AS a, sum(p_partkey * p_partkey)::DOUBLE AS b, sum(p_size * p_partkey)::DOUBLE AS c FROM part), (VALUES ('p_size'), ('p_partkey')) v(f)""",
+    doubles="score",
+)
 def selection_summary(t):
-    df = I.li_charge(t)
-    return select.selection_summary(t.spark, select.kbest(df, "charge", 2), select.vif_select(df, 5.0, "charge"))
+    df, feats = t.part, ["p_size", "p_partkey"]
+    best = select.kbest(df, "p_retailprice", 1, features=feats)
+    return select.selection_summary(t.spark, best, select.vif_select(df, 3.0, features=feats)).drop("p_value")
 
 
 @query(
     "apply_selection",
     "SELECT l_extendedprice, charge FROM " + I.LI_CHARGE,
     doubles="l_extendedprice charge",
-    digits=4,
 )
 def apply_selection(t):
     df = I.li_charge(t)
@@ -219,13 +227,13 @@ def elastic_net(t):
 
 @query(
     "logistic",
-    f"""WITH s AS (SELECT avg(label) FILTER (pred = 0) AS p0, avg(label) FILTER (pred = 1) AS p1 FROM (SELECT label, CASE WHEN score > 0.95 THEN 1 ELSE 0 END AS pred FROM {I.SCORE_DOCS}))
+    """WITH s AS (SELECT avg(CAST(value > 20 AS INT)) FILTER (event_type <> 'click') AS p0, avg(CAST(value > 20 AS INT)) FILTER (event_type = 'click') AS p1 FROM events)
  SELECT '(intercept)' AS term, ln(p0 / (1 - p0)) AS coefficient FROM s UNION ALL SELECT 'flag', ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)) FROM s""",
     doubles="coefficient",
     digits=3,
 )
 def logistic(t):
-    df = I.score_docs(t).withColumn("flag", (F.col("score") > 0.95).cast("double"))
+    df = t.events.selectExpr("CAST(event_type = 'click' AS DOUBLE) AS flag", "CAST(value > 20 AS INT) AS label")
     model = models.fit_model(df, ["flag"], "label", "logistic", {"penalty": "none", "tol": 1e-10}, "classification")
     return models.coefficients(model, ["flag"], t.spark)
 
@@ -308,10 +316,15 @@ def split_cluster(t):
     return split.split_cluster(df, "p_partkey", "p_retailprice").select("p_partkey", "split")
 
 
-@query("score_model")
+@query(
+    "score_model",
+    "SELECT p_partkey, a + b * p_size AS prediction FROM part, (SELECT regr_slope(p_retailprice, p_size) AS b, regr_intercept(p_retailprice, p_size) AS a FROM part)",
+    doubles="prediction",
+    digits=5,
+)
 def score_model(t):
-    model = models.fit_model(keyed_charge(t), LI, "charge", "linear")
-    return models.predict(model, keyed_charge(t)).select("row_key", "prediction")
+    model = models.fit_model(part_y(t), ["p_size"], "p_retailprice", "linear")
+    return models.predict(model, part_y(t)).select("p_partkey", "prediction")
 
 
 # ---------------------------------------------------------------- tuning
@@ -321,10 +334,32 @@ def part_model(t):
     return part_y(t), ["p_size", "serial"], "p_retailprice"
 
 
-@query("grid_search")
+# fold number, feature and target of every part, folds as the hash split makes them
+def _folds(k, y="p_retailprice"):
+    return f"""(SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, {y} AS y, CAST((SELECT min(i) FROM range(0, {k}) t(i) WHERE r <= (n // {k}) * (i + 1) + least(i + 1, n % {k})) AS INT) AS fold
+ FROM (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(p_partkey AS VARCHAR))) AS r, count(*) OVER () AS n FROM part))"""
+
+
+def _soft(alpha):
+    return f"sign(covar_pop(y, x)) * greatest(abs(covar_pop(y, x)) - {alpha}, 0) / var_pop(x)"
+
+
+def _fold_mse(alpha, k):
+    """Validation MSE per fold of the one-feature lasso."""
+    return f"""(SELECT f.fold, avg((y - my - b * (x - mx)) * (y - my - b * (x - mx))) AS mse FROM {_folds(k)} f
+ JOIN (SELECT k AS fold, avg(x) AS mx, avg(y) AS my, {_soft(alpha)} AS b FROM {_folds(k)}, range(0, {k}) t(k) WHERE fold <> k GROUP BY k) m ON m.fold = f.fold GROUP BY f.fold)"""
+
+
+@query(
+    "grid_search",
+    f"""SELECT CAST(row_number() OVER (ORDER BY score) AS INT) AS rank, alpha, score FROM (SELECT '0.1' AS alpha, avg(mse) AS score FROM {_fold_mse(0.1, 3)}
+ UNION ALL SELECT '10.0', avg(mse) FROM {_fold_mse(10.0, 3)} UNION ALL SELECT '50.0', avg(mse) FROM {_fold_mse(50.0, 3)})""",
+    doubles="score",
+    digits=2,
+)
 def grid_search(t):
-    df, feats, y = part_model(t)
-    return tuning.grid_search(df, feats, y, "lasso", {"alpha": [0.1, 10.0]}, cv=3, key="p_partkey").table
+    got = tuning.grid_search(part_y(t), ["p_size"], "p_retailprice", "lasso", {"alpha": [0.1, 10.0, 50.0]}, cv=3, key="p_partkey")
+    return got.table.select("rank", F.col("params")["alpha"].alias("alpha"), "score")
 
 
 @query("random_search")
@@ -365,30 +400,81 @@ def cv_evaluate(t):
     return tuning.cv_evaluate(part_y(t), ["p_size"], "p_retailprice", "linear", cv=3, key="p_partkey")
 
 
-@query("learning_curve")
+_CURVE = """(SELECT f.fold AS fold, side, avg((y - a - b * x) * (y - a - b * x)) AS mse FROM
+ (SELECT k AS fold, x, y, CASE WHEN fold = k THEN 'validation' ELSE 'train' END AS side, u FROM {folds}, range(0, {k}) t(k)) f
+ JOIN (SELECT k AS fold, {b} AS b, avg(y) - ({b}) * avg(x) AS a FROM {folds}, range(0, {k}) t(k) WHERE fold <> k AND u < {share} GROUP BY k) m ON m.fold = f.fold
+ WHERE side = 'validation' OR u < {share} GROUP BY f.fold, side)"""
+
+
+def _curve_row(label, value, b, share, k=2):
+    folds = f"(SELECT *, {hu('p_partkey', '42sample')} AS u FROM {_folds(k)})"
+    body = _CURVE.format(folds=folds, k=k, b=b, share=share)
+    return f"""SELECT {value} AS {label}, avg(mse) FILTER (side = 'train') AS train_mse, stddev_pop(mse) FILTER (side = 'train') AS train_std,
+ avg(mse) FILTER (side = 'validation') AS validation_mse, stddev_pop(mse) FILTER (side = 'validation') AS validation_std FROM {body}"""
+
+
+@query(
+    "learning_curve",
+    _curve_row("train_share", "0.3::DOUBLE", "regr_slope(y, x)", 0.3) + " UNION ALL " + _curve_row("train_share", "1.0::DOUBLE", "regr_slope(y, x)", 2),
+    doubles="train_mse train_std validation_mse validation_std",
+    digits=4,
+)
 def learning_curve(t):
-    df, feats, y = part_model(t)
-    return tuning.learning_curve(df, feats, y, "linear", "p_partkey", sizes=[0.3, 1.0], cv=2)
+    return tuning.learning_curve(part_y(t), ["p_size"], "p_retailprice", "linear", "p_partkey", sizes=[0.3, 1.0], cv=2)
 
 
-@query("validation_curve")
+@query(
+    "validation_curve",
+    _curve_row("alpha", "0.1::DOUBLE", _soft(0.1), 2) + " UNION ALL " + _curve_row("alpha", "20.0::DOUBLE", _soft(20.0), 2),
+    doubles="train_mse train_std validation_mse validation_std",
+    digits=2,
+)
 def validation_curve(t):
-    df, feats, y = part_model(t)
-    return tuning.validation_curve(df, feats, y, "lasso", "p_partkey", "alpha", [0.1, 10.0], cv=2)
+    return tuning.validation_curve(part_y(t), ["p_size"], "p_retailprice", "lasso", "p_partkey", "alpha", [0.1, 20.0], cv=2)
+
+
+_POISSON = [0.36787944117144233 * sum(1 / math.factorial(j) for j in range(k + 1)) for k in range(8)]
+_SIDES = """(SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, row_number() OVER (ORDER BY md5('42:' || CAST(p_partkey AS VARCHAR))) <= ceil(0.2::DOUBLE * count(*) OVER ()) AS test FROM part)"""
 
 
-@query("bias_variance")
+def _boot(b):
+    u = hu("p_partkey", f"42boot{b}")
+    copies = " + ".join(f"CAST({u} >= {c!r} AS INT)" for c in _POISSON)
+    return f"""SELECT {b} AS b, (sum(w * x * y) - sum(w * x) * sum(w * y) / sum(w)) / (sum(w * x * x) - sum(w * x) * sum(w * x) / sum(w)) AS s, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my
+ FROM (SELECT x, y, ({copies})::DOUBLE AS w FROM {_SIDES} WHERE NOT test)"""
+
+
+@query(
+    "bias_variance",
+    f"""WITH p AS (SELECT p_partkey, y, my + s * (x - mx) AS p FROM {_SIDES}, ({" UNION ALL ".join(_boot(b) for b in range(3))}) WHERE test),
+ g AS (SELECT p_partkey, max(y) AS y, avg(p) AS m, var_pop(p) AS v FROM p GROUP BY 1)
+ SELECT avg((y - m) * (y - m)) AS bias, avg(v) AS variance, avg((y - m) * (y - m)) + avg(v) AS total_error FROM g""",
+    doubles="bias variance total_error",
+    digits=4,
+)
 def bias_variance(t):
-    df, feats, y = part_model(t)
-    return tuning.bias_variance(df, feats, y, "linear", "p_partkey", n_iterations=3)
+    return tuning.bias_variance(part_y(t), ["p_size"], "p_retailprice", "linear", "p_partkey", n_iterations=3)
+
+
+_SIDES3 = _SIDES.replace("0.2::DOUBLE", "0.3::DOUBLE")
+
+
+def _compared(name, b):
+    return f"""SELECT '{name}' AS model, 1 - avg(e * e) / var_pop(y) AS r2, avg(e * e) AS mse, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, 1 - var_pop(e) / var_pop(y) AS explained_variance
+ FROM (SELECT y, y - my - b * (x - mx) AS e FROM {_SIDES3}, (SELECT avg(x) AS mx, avg(y) AS my, {b} AS b FROM {_SIDES3} WHERE NOT test) WHERE test)"""
 
 
-@query("model_compare")
+@query(
+    "model_compare",
+    _compared("linear", "regr_slope(y, x)") + " UNION ALL " + _compared("lasso", _soft(20.0)) + " UNION ALL SELECT 'no_such_model', NULL, NULL, NULL, NULL, NULL",
+    doubles="r2 mse rmse mae explained_variance",
+    digits=3,
+    per_column={"r2": 6, "explained_variance": 6},
+)
 def model_compare(t):
-    df, feats, y = part_model(t)
-    train, test = split.parts(split.split_random(df, "p_partkey", 0.3))
-    candidates = {"linear": None, "lasso": {"alpha": 1.0}, "no_such_model": None}
-    return tuning.model_compare(train, test, feats, y, candidates, "p_partkey").drop("error")
+    train, test = split.parts(split.split_random(part_y(t), "p_partkey", 0.3))
+    candidates = {"linear": None, "lasso": {"alpha": 20.0}, "no_such_model": None}
+    return tuning.model_compare(train, test, ["p_size"], "p_retailprice", candidates, "p_partkey").drop("error")
 
 
 @query("feature_importance")
@@ -398,11 +484,23 @@ def feature_importance(t):
     return models.feature_importance(model, LI, t.spark, 3)
 
 
-@query("permutation_importance")
+def _shuffled(r):
+    return f"""SELECT (avg((y - a - b * px) * (y - a - b * px)) - avg((y - a - b * x) * (y - a - b * x))) / var_pop(y) AS d FROM
+ (SELECT x, y, coalesce(lag(x) OVER (ORDER BY h), last_value(x) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS px FROM
+ (SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, md5('42shuffle{r}:' || CAST(p_partkey AS VARCHAR)) AS h FROM part)),
+ (SELECT regr_slope(p_retailprice, p_size) AS b, regr_intercept(p_retailprice, p_size) AS a FROM part)"""
+
+
+@query(
+    "permutation_importance",
+    f"SELECT 'p_size' AS feature, avg(d) AS importance, stddev_pop(d) AS std FROM ({_shuffled(0)} UNION ALL {_shuffled(1)})",
+    doubles="importance std",
+    digits=8,
+)
 def permutation_importance(t):
-    df, feats, y = part_model(t)
-    model = models.fit_model(df, feats, y, "linear")
-    return tuning.permutation_importance(model, df, feats, y, "p_partkey", n_repeats=2)
+    df = part_y(t)
+    model = models.fit_model(df, ["p_size"], "p_retailprice", "linear")
+    return tuning.permutation_importance(model, df, ["p_size"], "p_retailprice", "p_partkey", n_repeats=2)
 
 
 # ---------------------------------------------------------------- whole runs
@@ -433,12 +531,21 @@ def preprocess(t):
 FEATURES = {
     "derived_features": {"operations": [{"name": "unit_price", "columns": ["l_extendedprice", "l_quantity"], "operation": "ratio"}]},
     "interactions": {"feature_pairs": [["l_quantity", "l_tax"]]},
-    "pca": {"n_components": 2},
+    "pca": {"n_components": 2, "columns": ["l_quantity", "l_tax"]},
     "polynomial": {"degree": 2},
 }
+_PC = pca2_sql("l_quantity", "l_tax", I.LI_CHARGE)
 
 
-@query("engineer")
+@query(
+    "engineer",
+    f"""SELECT l_quantity, l_extendedprice, l_discount, l_tax, charge, l_extendedprice / l_quantity AS unit_price, l_quantity * l_tax AS l_quantity_multiplication_l_tax, pca_component_1, pca_component_2,
+ l_quantity * l_quantity AS "poly_l_quantity^2", l_quantity * l_extendedprice AS "poly_l_quantity l_extendedprice", l_extendedprice * l_extendedprice AS "poly_l_extendedprice^2" FROM {_PC}""",
+    doubles=["l_quantity", "l_extendedprice", "l_discount", "l_tax", "charge", "unit_price", "l_quantity_multiplication_l_tax", "pca_component_1", "pca_component_2",
+             "poly_l_quantity^2", "poly_l_quantity l_extendedprice", "poly_l_extendedprice^2"],
+    per_column={"poly_l_extendedprice^2": 4},
+    digits=7,
+)
 def engineer_run(t):
     df = I.li_charge(t)
     return workflow.fit_features(df, FEATURES, exclude=["charge"]).transform(df)
@@ -455,10 +562,25 @@ def select_features(t):
     )
 
 
-@query("regression_run")
+_ROW = "md5(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LI, "l_returnflag", "l_linestatus", "l_shipdate"]) + "))"
+_CHARGED = f"""(SELECT l_extendedprice AS x, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y, row_number() OVER (ORDER BY md5('42:' || {_ROW})) <= ceil(0.2::DOUBLE * count(*) OVER ()) AS test FROM lineitem)"""
+
+
+def _side(name, cond):
+    return f"""(SELECT 1 - avg(e * e) / var_pop(y) AS {name}_r2, avg(e * e) AS {name}_mse, avg(abs(e)) AS {name}_mae, 1 - var_pop(e) / var_pop(y) AS {name}_explained_variance
+ FROM (SELECT y, y - a - b * x AS e FROM {_CHARGED}, (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM {_CHARGED} WHERE NOT test) WHERE {cond}))"""
+
+
+@query(
+    "regression_run",
+    f"SELECT 'linear' AS model, * FROM {_side('train', 'NOT test')}, {_side('test', 'test')}",
+    doubles="train_r2 train_mse train_mae train_explained_variance test_r2 test_mse test_mae test_explained_variance",
+    digits=2,
+    per_column={c: 7 for c in ("train_r2", "test_r2", "train_explained_variance", "test_explained_variance")},
+)
 def regression_run(t):
     df = keyed_charge(t)
-    run = workflow.regression_run(df, "charge", "row_key", "linear", selection="k_best", selection_params={"k": 2})
+    run = workflow.regression_run(df, "charge", "row_key", "linear", selection="k_best", selection_params={"k": 1})
     return run.results.drop("params", "run_id")
 
 
@@ -469,17 +591,54 @@ def classification_run(t):
     return report
 
 
-@query("results_table")
+_FIT = """(SELECT 1 - avg(e * e) / var_pop(y) AS r2, avg(e * e) AS mse, avg(abs(e)) AS mae, 1 - var_pop(e) / var_pop(y) AS explained_variance FROM
+ (SELECT p_retailprice AS y, p_retailprice - a - b * p_size AS e FROM part, (SELECT regr_slope(p_retailprice, p_size) AS b, regr_intercept(p_retailprice, p_size) AS a FROM part)))"""
+
+
+def _size_metrics(t):
+    model = models.fit_model(part_y(t), ["p_size"], "p_retailprice", "linear")
+    return workflow._metrics(models.predict(model, part_y(t)), "p_retailprice")
+
+
+@query(
+    "results_table",
+    f"""SELECT 'r1' AS run_id, 'linear' AS model, r2 AS train_r2, mse AS train_mse, mae AS train_mae, explained_variance AS train_explained_variance,
+ r2 AS test_r2, mse AS test_mse, mae AS test_mae, explained_variance AS test_explained_variance, 'True' AS param_fit_intercept FROM {_FIT}""",
+    doubles="train_r2 train_mse train_mae train_explained_variance test_r2 test_mse test_mae test_explained_variance",
+    digits=4,
+)
 def results_table(t):
-    df = keyed_charge(t)
-    model = models.fit_model(df, LI, "charge", "linear")
-    metrics = workflow._metrics(models.predict(model, df), "charge")
-    return sinks.wide_params(sinks.results_table(t.spark, "r1", {"linear": {"train": metrics, "test": metrics, "params": {"fit_intercept": True}}}))
+    m = _size_metrics(t)
+    rows = {"linear": {"train": m, "test": m, "params": {"fit_intercept": True}}}
+    return sinks.wide_params(sinks.results_table(t.spark, "r1", rows))
 
 
-@query("metrics_report")
+@query(
+    "metrics_report",
+    f"SELECT 'r1' AS run_id, 'linear' AS model, metric, value FROM (SELECT r2, mse, mae, explained_variance FROM {_FIT}) UNPIVOT (value FOR metric IN (r2, mse, mae, explained_variance))",
+    doubles="value",
+    digits=4,
+)
 def metrics_report(t):
-    df = part_y(t)
-    model = models.fit_model(df, ["p_size"], "p_retailprice", "linear")
-    metrics = workflow._metrics(models.predict(model, df), "p_retailprice")
-    return sinks.metrics_report(t.spark, "r1", {"linear": metrics})
+    return sinks.metrics_report(t.spark, "r1", {"linear": _size_metrics(t)}).drop("line")
+
+
+@query(
+    "evaluation_json",
+    f"SELECT mse, r2, adjusted FROM (SELECT mse, r2, 1 - (1 - r2) * (n - 1) / (n - 2) AS adjusted FROM {_FIT}, (SELECT count(*)::DOUBLE AS n FROM part))",
+    doubles="mse r2 adjusted",
+    digits=4,
+)
+def evaluation_json(t):
+    from ..operators import evaluate
+
+    model = models.fit_model(part_y(t), ["p_size"], "p_retailprice", "linear")
+    scored = models.predict(model, part_y(t))
+    text = evaluate.complete_evaluation(scored, "p_retailprice", "prediction", "p_partkey").select(F.to_json(F.struct("*")).alias("value"))
+
+    def pick(path):
+        return F.get_json_object("value", path).cast("double")
+
+    return text.select(
+        pick("$.error_metrics.mse").alias("mse"), pick("$.error_metrics.r2").alias("r2"), pick("$.error_metrics.adjusted_r2").alias("adjusted")
+    )

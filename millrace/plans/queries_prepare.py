@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clean, convert, encode, engineer, scale
+from ..operators import clean, convert, encode, engineer, scale, split
 from ..sources import generate, tables
 from . import inputs as I
 from .registry import query
@@ -72,14 +72,38 @@ def gen_mixed(t):
     return df.withColumn("date_col_0", F.col("date_col_0").cast("timestamp_ntz"))
 
 
-@query("gen_numeric")
+def _numeric_sql():
+    import random
+
+    rng = random.Random(42)
+    cols, mix = [], hn("o_orderkey", "42noise")
+    for i in range(2):
+        cols.append((f"int_col_{i}", f"({hx('o_orderkey', f'42i{i}')} % 100 + {hn('o_orderkey', f'42in{i}')})"))
+    for i in range(2):
+        cols.append((f"float_col_{i}", f"(50 + 10 * {hn('o_orderkey', f'42f{i}')})"))
+    for _, e in cols:
+        mix += f" + {rng.uniform(-2.0, 2.0)!r}::DOUBLE * {e}"
+    cats = [f"CASE WHEN {hu('o_orderkey', f'42c{i}')} < 0.4 THEN 'A' WHEN {hu('o_orderkey', f'42c{i}')} < 0.7 THEN 'B' ELSE 'C' END AS cat_col_{i}" for i in range(2)]
+    return f"SELECT o_orderkey, {', '.join(f'{e} AS {n}' for n, e in cols)}, {', '.join(cats)}, {mix} AS target FROM orders"
+
+
+@query("gen_numeric", _numeric_sql(), doubles="int_col_0 int_col_1 float_col_0 float_col_1 target")
 def gen_numeric(t):
-    return generate.gen_numeric(t.orders, "o_orderkey")
+    return generate.gen_numeric(t.orders, "o_orderkey", per_kind=2)
 
 
-@query("gen_classification")
+def _classes_sql():
+    key = "o_orderkey"
+    mix = " + ".join(f"{(-1.0) ** i} * {hn(key, f'42n{i}')}" for i in range(3))
+    cells = [(f"numeric_{i}", hn(key, f"42n{i}")) for i in range(3)]
+    cells += [("category_0", _pick(generate.LETTERS[:4], key, "42c0")), ("boolean_0", f"{hx(key, '42b0')} % 2 = 1")]
+    picks = ", ".join(f"CASE WHEN {hu(key, '42null' + n)} < 0.05 THEN NULL ELSE {e} END AS {n}" for n, e in cells)
+    return f"SELECT {key}, {picks}, CASE WHEN {hu(key, '42y')} < 1 / (1 + exp(-({mix}))) THEN 1 ELSE 0 END AS target FROM orders"
+
+
+@query("gen_classification", _classes_sql(), doubles="numeric_0 numeric_1 numeric_2")
 def gen_classification(t):
-    return generate.gen_classification(t.orders, "o_orderkey", n_numeric=20)
+    return generate.gen_classification(t.orders, "o_orderkey", n_numeric=3, n_category=1, n_boolean=1)
 
 
 @query(
@@ -227,7 +251,7 @@ _FF = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 )
 def float_features(t):
     df = t.orders.selectExpr("o_custkey", "o_orderdate", "o_orderpriority", "concat('t', o_orderkey) AS txt", "o_totalprice AS target", "o_orderkey")
-    train, test = df.where("o_orderkey % 3 > 0").drop("o_orderkey"), df.where("o_orderkey % 3 = 0").drop("o_orderkey")
+    train, test = split.parts(split.split_random(df, "o_orderkey", mode="approx").drop("o_orderkey"))
     step = convert.float_features(train, test, "target")
     return step.transform(train).unionByName(step.transform(test))
 
@@ -454,11 +478,11 @@ def log_transform(t):
 @query(
     "log_skewed",
     """SELECT event_id, CASE WHEN lo > 0 AND abs(sk) > 0.75 THEN ln(1 + value) ELSE value END AS value
- FROM events, (SELECT min(value) AS lo, skewness(value) AS sk FROM events WHERE value > 0) WHERE value > 0""",
+ FROM events, (SELECT min(value) AS lo, skewness(value) AS sk FROM events)""",
     doubles="value",
 )
 def log_skewed(t):
-    df = t.events.where("value > 0").select("event_id", "value")
+    df = t.events.select("event_id", "value")
     return scale.log_skewed(df, ["value"]).transform(df)
 
 
@@ -635,9 +659,21 @@ def pca(t):
     return engineer.pca(df, df.columns, n_components=2).table(df)
 
 
-@query("pca_scores")
+def pca2_sql(a: str, b: str, source: str) -> str:
+    """Two principal components in closed form, the largest loading positive."""
+    return f"""(WITH m AS (SELECT avg({a}) AS ma, avg({b}) AS mb, var_samp({a}) AS va, var_samp({b}) AS vb, covar_samp({a}, {b}) AS c FROM {source}),
+ l AS (SELECT *, (va + vb) / 2 + sqrt((va - vb) * (va - vb) / 4 + c * c) AS l1 FROM m),
+ u AS (SELECT *, (l1 - vb) / sqrt((l1 - vb) * (l1 - vb) + c * c) AS x, c / sqrt((l1 - vb) * (l1 - vb) + c * c) AS y FROM l)
+ SELECT s.*, ({a} - ma) * x + ({b} - mb) * y AS pca_component_1, ({b} - mb) * x - ({a} - ma) * y AS pca_component_2 FROM {source} s, u)"""
+
+
+@query(
+    "pca_scores",
+    f"SELECT l_quantity, l_tax, pca_component_1, pca_component_2 FROM {pca2_sql('l_quantity', 'l_tax', '(SELECT l_quantity, l_tax FROM lineitem)')}",
+    doubles="l_quantity l_tax pca_component_1 pca_component_2",
+)
 def pca_scores(t):
-    df = t.lineitem.select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    df = t.lineitem.select("l_quantity", "l_tax")
     return engineer.pca(df, df.columns, n_components=2).transform(df)
 
 
@@ -684,13 +720,12 @@ def quantile_bins(t):
     return engineer.quantile_bins(df, "o_totalprice", 5).transform(df).drop("o_totalprice")
 
 
-@query("feature_info")
+@query(
+    "feature_info",
+    """SELECT 'p_size_multiplication_p_retailprice' AS feature, 'interaction' AS type, 'multiplication' AS operation, 'p_size,p_retailprice' AS source_columns
+ UNION ALL SELECT 'poly_p_size^2', 'polynomial', 'degree 2', 'p_size,p_size'""",
+)
 def feature_info(t):
     df = t.part.select("p_size", "p_retailprice")
-    comps = engineer.pca(df, df.columns, n_components=1)
-    return engineer.feature_info(
-        df,
-        engineer.interact(df, [["p_size", "p_retailprice"]]),
-        engineer.polynomial(df, ["p_size"]),
-        comps.step,
-    )
+    pairs = engineer.interact(df, [["p_size", "p_retailprice"]])
+    return engineer.feature_info(df, pairs, engineer.polynomial(df, ["p_size"]))

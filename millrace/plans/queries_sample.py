@@ -136,25 +136,25 @@ def knn_join(t):
 
 @query(
     "knn_reg",
-    f"""SELECT q AS vec_id, avg(y) AS prediction FROM {_near(f"(SELECT * FROM {VEC} WHERE vec_id % 5 = 0)", f"(SELECT * FROM {VEC} WHERE vec_id % 5 > 0)", 5, False)}
+    f"""SELECT q AS vec_id, avg(y) AS prediction FROM {_near(f"(SELECT * FROM {VEC} WHERE {hu('vec_id', '42')} < 0.2)", f"(SELECT * FROM {VEC} WHERE NOT {hu('vec_id', '42')} < 0.2)", 5, False)}
  JOIN (SELECT vec_id AS nb, label::DOUBLE AS y FROM embeddings) USING (nb) GROUP BY q""",
     doubles="prediction",
 )
 def knn_reg(t):
     df = I.vectors(t, WIDTH)
-    train, test = df.where("vec_id % 5 > 0"), df.where("vec_id % 5 = 0")
+    train, test = split.parts(split.split_random(df, "vec_id", 0.2, mode="approx"))
     return neighbours.knn_predict(train, test, "vec_id", "vec_id", FEATS, "label", 5)
 
 
 @query(
     "knn_reg_distance",
-    f"""SELECT q AS vec_id, sum(y / d) / sum(1 / d) AS prediction FROM {_near(f"(SELECT * FROM {VEC} WHERE vec_id % 5 = 0)", f"(SELECT * FROM {VEC} WHERE vec_id % 5 > 0)", 5, False)}
+    f"""SELECT q AS vec_id, sum(y / d) / sum(1 / d) AS prediction FROM {_near(f"(SELECT * FROM {VEC} WHERE {hu('vec_id', '42')} < 0.2)", f"(SELECT * FROM {VEC} WHERE NOT {hu('vec_id', '42')} < 0.2)", 5, False)}
  JOIN (SELECT vec_id AS nb, label::DOUBLE AS y FROM embeddings) USING (nb) GROUP BY q""",
     doubles="prediction",
 )
 def knn_reg_distance(t):
     df = I.vectors(t, WIDTH)
-    train, test = df.where("vec_id % 5 > 0"), df.where("vec_id % 5 = 0")
+    train, test = split.parts(split.split_random(df, "vec_id", 0.2, mode="approx"))
     return neighbours.knn_predict(train, test, "vec_id", "vec_id", FEATS, "label", 5, weights="distance")
 
 
@@ -216,11 +216,35 @@ def tomek_links(t):
     return resample.tomek_links(_rare(t), "vec_id", FEATS, "rare")
 
 
-@query("smote_tomek")
+def _tomek_sql():
+    cells = ", ".join(f"e{i}" for i in range(WIDTH))
+    both = f"""SELECT CAST(vec_id AS VARCHAR) AS row_id, v, rare, false AS synthetic FROM {VEC}
+ UNION ALL SELECT CAST(seed_key AS VARCHAR) || ':' || CAST(copy AS VARCHAR), [{cells}], rare, true FROM ({_smote_sql()})"""
+    return f"""WITH b AS MATERIALIZED ({both}), n AS (SELECT * FROM (SELECT x.row_id AS q, y.row_id AS nb, x.rare AS ra, y.rare AS rb,
+ row_number() OVER (PARTITION BY x.row_id ORDER BY list_distance(x.v, y.v), y.row_id) AS r FROM b x, b y WHERE x.row_id <> y.row_id) WHERE r = 1)
+ SELECT row_id, {', '.join(f'v[{i + 1}] AS e{i}' for i in range(WIDTH))}, rare, synthetic FROM b
+ WHERE row_id NOT IN (SELECT p.q FROM n p JOIN n s ON s.q = p.nb AND s.nb = p.q WHERE p.ra <> p.rb)"""
+
+
+@query("smote_tomek", _tomek_sql(), doubles=" ".join(FEATS))
 def smote_tomek(t):
     return resample.smote_tomek(_rare(t), "vec_id", FEATS, "rare")
 
 
-@query("smote_regression")
+def _smote_regression_sql():
+    """Quantile bins of the label; each smaller bin is filled as SMOTE fills a class."""
+    n_bins, k = 3, 5
+    edges = ", ".join(str(i / n_bins) for i in range(1, n_bins))
+    case = " ".join(f"WHEN label <= e[{i}] THEN {i - 1}" for i in range(1, n_bins))
+    tag = "CAST(m.q AS VARCHAR) || ':' || CAST(m.c AS VARCHAR)"
+    return f"""WITH b AS (SELECT vec_id, v, label, CASE {case} ELSE {n_bins - 1} END AS bin FROM {VEC}, (SELECT quantile_cont(label, [{edges}]) AS e FROM embeddings)),
+ z AS (SELECT bin, count(*) AS n, avg(label) AS mean FROM b GROUP BY bin), w AS (SELECT *, (SELECT max(n) FROM z) - n AS n_new FROM z),
+ near AS (SELECT * FROM (SELECT x.vec_id AS q, y.v AS bv, row_number() OVER (PARTITION BY x.vec_id ORDER BY list_distance(x.v, y.v), y.vec_id) AS r FROM b x JOIN b y ON x.bin = y.bin AND x.vec_id <> y.vec_id) WHERE r <= {k}),
+ s AS (SELECT vec_id, v, bin, (n_new // n) + CASE WHEN row_number() OVER (PARTITION BY bin ORDER BY {md('vec_id', '42extra')}) <= n_new % n THEN 1 ELSE 0 END AS copies FROM b JOIN w USING (bin))
+ SELECT m.q AS seed_key, CAST(m.c AS INT) AS copy, {', '.join(f'm.v[{i + 1}] + {hu(tag, "42gap")} * (near.bv[{i + 1}] - m.v[{i + 1}]) AS e{i}' for i in range(WIDTH))}, z.mean AS label, m.bin AS bin
+ FROM (SELECT vec_id AS q, v, bin, unnest(range(1, copies + 1)) AS c FROM s) m JOIN near ON near.q = m.q AND near.r = {hx(tag, '42pick')} % {k} + 1 JOIN z ON z.bin = m.bin"""
+
+
+@query("smote_regression", _smote_regression_sql(), doubles=" ".join(FEATS) + " label")
 def smote_regression(t):
-    return resample.smote_regression(I.vectors(t, WIDTH), "vec_id", FEATS, "label")
+    return resample.smote_regression(I.vectors(t, WIDTH), "vec_id", FEATS, "label", bins=3)
