@@ -26,6 +26,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-checkpoint-"))
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Use all cores when the input comes in fewer pieces than half of them.
+
+    A small file of one row group is read by one task; heavy per-row work behind it (hashing text,
+    tokenising, training) would stay there.  Large inputs have splits enough and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write the rows to the checkpoint folder and continue from there."""
     ensure_checkpoint_dir(df.sparkSession)

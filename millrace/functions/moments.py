@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import col, long_form, num
+from .lineage import spread_out
 
 # Above this many columns the fused aggregate is built on the stacked form, so that generated code
 # does not grow with the width of the table.
@@ -84,11 +85,11 @@ def value_profile(df: DataFrame, columns: Sequence[str], as_text: bool = False)
     if not columns:
         return {}
     if as_text:
-        stacked = df.select(*[col(c).cast("string").alias(c) for c in columns]).unpivot(
+        stacked = spread_out(df.select(*[col(c).cast("string").alias(c) for c in columns])).unpivot(
             [], [col(c) for c in columns], "column", "value"
         )
     else:
-        stacked = long_form(df, columns)
+        stacked = long_form(spread_out(df.select(*[col(c) for c in columns])), columns)
     rows = (
         stacked.where(F.col("value").isNotNull())
         .groupBy("column", "value")

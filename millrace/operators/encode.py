@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, columns_of, lit_sql, num, quote
+from ..functions.lineage import materialise, spread_out
 from ..functions.steps import ColumnStep, fitted
 from .lookup import lookup_join
 from .ordered import SMALL_VALUES
@@ -161,10 +162,11 @@ def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     Tokens are runs of two or more word characters of the lower-cased text.
     """
     n_docs = df.count()
-    tokens = df.select(
+    tokens = spread_out(df.select(col(key), col(text))).select(
         col(key).alias("key"), F.explode(F.regexp_extract_all(F.lower(col(text)), F.lit(TOKEN), F.lit(0))).alias("token")
     )
-    tf = tokens.groupBy("key", "token").agg(F.count(F.lit(1)).alias("tf"))
+    # written once: the document frequencies and the weights both read it
+    tf = materialise(tokens.groupBy("key", "token").agg(F.count(F.lit(1)).alias("tf")))
     doc_freq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("n")).select(
         F.col("token").alias("__token"),
         (F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("n"))) + 1.0).alias("idf"),

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import tails
 from ..functions.columns import col, columns_of, is_numeric, dtype_of, local_rows, long_form, num, present
-from ..functions.gram import pairwise_correlation
-from ..functions.lineage import materialise
+from ..functions.gram import EXPRESSION_WIDTH, pairwise_correlation
+from ..functions.lineage import materialise, spread_out
 from ..functions.moments import moments, value_profile
 from ..functions.quantiles import exact_quantiles
 from .clean import missing_counts, outlier_report
@@ -207,12 +207,16 @@ def percentiles(df: DataFrame, columns: Sequence[str] | None = None, percents: S
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]):
+    if len(columns) <= EXPRESSION_WIDTH:
+        return pairwise_correlation(df, columns, [0.0] * len(columns))
+    # the matrix path sums raw products, so columns are centred first
     means = {c: m["mean"] or 0.0 for c, m in moments(df, columns, ["mean"]).items()}
     return pairwise_correlation(df, columns, [means[c] for c in columns])
 
 
 def rank_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each numeric column by its average rank; other columns are kept."""
+    df = spread_out(df)
     counts = (
         long_form(df, columns)
         .where(F.col("value").isNotNull())

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import tails
 from ..functions.columns import col, columns_of, local_rows, num
 from ..functions.hashing import hash_hex
+from ..functions.lineage import materialise
 from ..functions.moments import moments
 from ..functions.quantiles import exact_quantiles
 from .ordered import ordered_scan
@@ -172,6 +173,7 @@ def rank_summary(df: DataFrame, group: str, value: str) -> dict[str, Any]:
     counts = slim.groupBy("x").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("g") == g).alias(f"k{i}") for i, g in enumerate(labels)]
     )
+    counts = materialise(counts)  # read by the size check, the range sample and the scan
     a, b = F.col("k0"), F.col("k1")
     scan = ordered_scan(counts, [F.col("x")], {"cum": F.col("n"), "cum0": a, "cum1": b})
     rank = F.col("cum") - F.col("n") + (F.col("n") + 1) / F.lit(2.0)

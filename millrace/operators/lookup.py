@@ -9,6 +9,7 @@ from .ordered import SMALL_VALUES
 
 # A value holding more than 1/HOT_SHARE of the rows is hot; there can be at most HOT_SHARE of them.
 HOT_SHARE = 10_000
+MIN_HOT = 100_000  # rows of one value that any single task can hold
 
 
 def lookup_join(big: DataFrame, key: Column, table: DataFrame, value: str, n: str, small: bool | None = None) -> DataFrame:
@@ -22,8 +23,10 @@ def lookup_join(big: DataFrame, key: Column, table: DataFrame, value: str, n: st
         small = table.limit(SMALL_VALUES + 1).count() <= SMALL_VALUES
     if small:
         return big.join(F.broadcast(table.drop(n)), key == F.col(value), "left").drop(value)
-    total = table.agg(F.sum(n)).collect()[0][0] or 0
-    is_hot = F.col(n) > F.lit(total / HOT_SHARE)
+    total, most = table.agg(F.sum(n), F.max(n)).collect()[0]
+    if not total or most <= max(total / HOT_SHARE, MIN_HOT):
+        return big.join(table.drop(n), key == F.col(value), "left").drop(value)
+    is_hot = F.col(n) > F.lit(max(total / HOT_SHARE, MIN_HOT))
     hot, cold = table.where(is_hot).drop(n), table.where(~is_hot).drop(n)
     keyed = big.withColumn("__key", key)
     with_hot = keyed.join(F.broadcast(hot), F.col("__key") == F.col(value), "inner").drop(value, "__key")

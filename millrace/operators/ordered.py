@@ -122,6 +122,8 @@ def average_ranks(counts: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     Ties share the mean of the ranks they cover.  ``within`` ranks several columns' values side by
     side in one pass: the order is (within..., value), and the rows of earlier groups are taken off.
     """
+    # the grouped counts are read several times below (size check, range sample, scan)
+    counts = materialise(counts)
     keys = [F.col(k) for k in within] + [F.col("value")]
     scanned = ordered_scan(counts, keys, {"__cum": F.col("n")}).drop("row_index")
     if within:

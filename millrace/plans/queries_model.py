@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions.columns import local_rows
+from ..functions.lineage import spread_out
 from ..operators import models, select, split, tuning
 from ..sources import sinks
 from . import inputs as I
@@ -242,7 +243,12 @@ def logistic(t):
 
 
 def _reg(t, name, **params):
-    df = keyed_charge(t)
+    raw = spread_out(t.lineitem)
+    df = raw.select(
+        F.xxhash64(*raw.columns).alias("row_key"),
+        *LI,
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("charge"),
+    )
     train, test = split.parts(split.split_random(df, "row_key", 0.3))
     model = models.fit_model(train, LI, "charge", name, params, key="row_key")
     return models.predict(model, test).select("row_key", "charge", "prediction")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, columns_of, local_rows, num
+from ..functions.lineage import spread_out
 from ..functions.steps import ColumnStep
 from ..operators import clean, convert, encode, engineer, evaluate, explore, models, resample, scale, tuning
 from ..operators.select import Selection, kbest, select_features
@@ -173,7 +174,8 @@ def regression_run(
     full_evaluation: bool = False,
 ) -> Run:
     """Split, preprocess, engineer, select, tune, train and evaluate one model."""
-    df = clean.drop_null_target(df, target)
+    # every fitting step below reads these rows again; a lost executor recomputes only its share
+    df = spread_out(clean.drop_null_target(df, target)).persist()
     train, test = parts(split_random(df, key, test_size, seed))
     prep = fit_preprocessor(train, strategy, scaling, exclude=[target, key], encode_labels=True)
     chain = Chain(list(prep.chain.steps))
@@ -204,6 +206,7 @@ def regression_run(
     if isinstance(fitted, PipelineModel):
         whole = PipelineModel(chain.stages() + fitted.stages)
     report = evaluate.complete_evaluation(scored, target, "prediction", key, names) if full_evaluation else None
+    df.unpersist()
     return Run(whole, scored, results, chosen, best, report)
 
 
