@@ -107,6 +107,15 @@ def to_double(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -
     return df.select(*[col(k) for k in keep], *[num(df, c).alias(c) for c in columns])
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over the rows where both are present; null for a constant column.
+
+    The built-in aggregate divides by zero on a constant column under ANSI rules.
+    """
+    xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(xs)) * F.sqrt(F.var_pop(ys)))
+
+
 def local_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A result table whose size is bounded by the number of columns, tests or bins."""
     return spark.createDataFrame(rows, schema).coalesce(1)

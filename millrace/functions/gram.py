@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import num
+from .columns import correlation, num
 
 EXPRESSION_WIDTH = 12
 
@@ -95,7 +95,7 @@ def pairwise_correlation(df: DataFrame, columns: Sequence[str], means: Sequence[
         for i, j in pairs:
             x, y = F.col(f"g{i}"), F.col(f"g{j}")
             aggs.append(F.count(x + y if i != j else x).alias(f"n{i}_{j}"))
-            aggs.append((F.corr(x, y) if i != j else F.var_pop(x)).alias(f"r{i}_{j}"))
+            aggs.append((correlation(x, y) if i != j else F.var_pop(x)).alias(f"r{i}_{j}"))
         row = slim.agg(*aggs).collect()[0]
         n, r = np.zeros((p, p)), np.full((p, p), np.nan)
         for i, j in pairs:

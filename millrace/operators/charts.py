@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from ..functions.columns import col, columns_of, local_rows, num, present
+from ..functions.columns import col, columns_of, correlation, local_rows, num, present
 from ..functions.hashing import hash_unit
 from ..functions.moments import moments
 from ..functions.quantiles import exact_quantiles
@@ -179,9 +179,10 @@ def scatter_sample(df: DataFrame, x: str, y: str, key: str, share: float, seed:
 
 def fit_line(df: DataFrame, x: str, y: str) -> DataFrame:
     a, b = num(df, y), num(df, x)
-    return df.agg(
-        F.regr_slope(a, b).alias("slope"), F.regr_intercept(a, b).alias("intercept"), F.regr_r2(a, b).alias("r2")
-    )
+    xs, ys = F.when(a.isNotNull(), b), F.when(b.isNotNull(), a)
+    slope = F.try_divide(F.covar_pop(a, b), F.var_pop(xs))
+    r = correlation(a, b)
+    return df.agg(slope.alias("slope"), (F.avg(ys) - slope * F.avg(xs)).alias("intercept"), (r * r).alias("r2"))
 
 
 def heatmap(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:

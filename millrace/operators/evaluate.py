@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from ..functions.columns import col, local_rows, num
+from ..functions.columns import col, correlation, local_rows, num
 from ..functions.quantiles import exact_quantiles
 from .ordered import lagged, ordered_scan
 
@@ -115,8 +115,8 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     scan, pos, neg = _score_scan(df, label, score)
     points = scan.select(
         F.col("score").alias("threshold"),
-        (F.col("fp") / F.lit(neg)).alias("fpr"),
-        (F.col("tp") / F.lit(pos)).alias("tpr"),
+        F.try_divide(F.col("fp"), F.lit(neg)).alias("fpr"),
+        F.try_divide(F.col("tp"), F.lit(pos)).alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -131,8 +131,8 @@ def prediction_correlation(df: DataFrame, y_true: str, y_pred: str, features: Se
     """Correlation of truth with prediction, and of each feature with the residual."""
     e = num(df, y_true) - num(df, y_pred)
     row = df.agg(
-        F.corr(num(df, y_true), num(df, y_pred)).alias("p"),
-        *[F.corr(num(df, c), e).alias(f"c{i}") for i, c in enumerate(features)],
+        correlation(num(df, y_true), num(df, y_pred)).alias("p"),
+        *[correlation(num(df, c), e).alias(f"c{i}") for i, c in enumerate(features)],
     ).collect()[0]
     rows = [("prediction", row["p"])] + [(c, row[f"c{i}"]) for i, c in enumerate(features)]
     return local_rows(df.sparkSession, rows, "column string, correlation double")
@@ -142,7 +142,7 @@ def breusch_pagan(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
     """Squared residual regressed on the prediction: LM = n r^2, one aggregate."""
     s = _scored(df, y_true, y_pred)
     e2 = (F.col("y") - F.col("p")) * (F.col("y") - F.col("p"))
-    row = s.agg(F.count(F.lit(1)).alias("n"), F.corr(e2, F.col("p")).alias("r")).collect()[0]
+    row = s.agg(F.count(F.lit(1)).alias("n"), correlation(e2, F.col("p")).alias("r")).collect()[0]
     lm = row["n"] * row["r"] * row["r"] if row["r"] is not None else 0.0
     p = breusch_pagan_p(lm)
     verdict = "Homoscedastic" if p > 0.05 else "Heteroscedastic"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from ..functions.columns import col, columns_of, is_numeric, dtype_of, local_rows, long_form, num, present
+from ..functions.columns import col, columns_of, correlation, is_numeric, dtype_of, local_rows, long_form, num, present
 from ..functions.gram import EXPRESSION_WIDTH, pairwise_correlation
 from ..functions.lineage import materialise, spread_out
 from ..functions.moments import moments, value_profile
@@ -182,7 +182,7 @@ def basic_summary(df: DataFrame, target: str | None = None) -> DataFrame:
     target = target or df.columns[-1]
     numeric = columns_of(df, "numeric")
     m = moments(df, numeric, ["n_rows", "n", "mean", "std", "min", "max"])
-    row = df.agg(*[F.corr(num(df, c), num(df, target)).alias(f"c{i}") for i, c in enumerate(numeric)]).collect()[0]
+    row = df.agg(*[correlation(num(df, c), num(df, target)).alias(f"c{i}") for i, c in enumerate(numeric)]).collect()[0]
     rows = [
         (c, m[c]["n"], m[c]["n_rows"] - m[c]["n"], m[c]["mean"], m[c]["std"], m[c]["min"], m[c]["max"], row[i])
         for i, c in enumerate(numeric)

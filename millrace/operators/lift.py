@@ -47,7 +47,7 @@ def gini_lorenz(df: DataFrame, target: str, prediction: str, key: str) -> DataFr
     """
     slim = df.select(num(df, target).alias("y"), num(df, prediction).alias("p"), col(key).alias("k"))
     scan = ordered_scan(slim, [-F.col("p"), F.col("k")], {"cum": F.col("y")})
-    return scan.agg((1.0 - 2.0 * F.avg("cum") / F.sum("y")).alias("gini"), F.count(F.lit(1)).alias("n"))
+    return scan.agg((1.0 - 2.0 * F.try_divide(F.avg("cum"), F.sum("y"))).alias("gini"), F.count(F.lit(1)).alias("n"))
 
 
 def response_lift(df: DataFrame, target: str, score: str, bins: int = 10) -> DataFrame:
@@ -88,7 +88,7 @@ def lorenz_curve(df: DataFrame, column: str) -> DataFrame:
     points = cut.select("x", "n", "rows", "total", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("j"))
     curve = points.select(
         (F.col("rows") - F.col("n") + F.col("j")).alias("rank"),
-        ((F.col("total") - F.col("x") * (F.col("n") - F.col("j"))) / F.lit(total)).alias("cumulative_share"),
+        F.try_divide(F.col("total") - F.col("x") * (F.col("n") - F.col("j")), F.lit(total)).alias("cumulative_share"),
     )
     origin = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("rank"), F.lit(0.0).alias("cumulative_share"))
     return origin.unionByName(curve).select(

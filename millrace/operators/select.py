@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from ..functions.columns import col, columns_of, dtype_of, is_float, local_rows, num, num_sql
+from ..functions.columns import col, columns_of, correlation, dtype_of, is_float, local_rows, num, num_sql
 from ..functions.gram import gram_matrix
 from ..functions.moments import moments
 from .engineer import bin_expr, quantile_edges
@@ -70,7 +70,7 @@ def f_regression(df: DataFrame, features: Sequence[str], target: str) -> dict[st
     """F and p of each single-feature regression, from one aggregate of correlations."""
     y = num(df, target)
     row = df.agg(
-        *[F.corr(num(df, c), y).alias(f"r{i}") for i, c in enumerate(features)],
+        *[correlation(num(df, c), y).alias(f"r{i}") for i, c in enumerate(features)],
         *[F.count(num(df, c) + y).alias(f"n{i}") for i, c in enumerate(features)],
     ).collect()[0]
     out = {}

@@ -109,6 +109,18 @@ def test_spearman_re_ranks_shared_rows(spark):
     assert np.allclose(r, want)
 
 
+def test_constant_columns_have_no_correlation(spark):
+    df = spark.createDataFrame([(float(i), 5.0, None if i == 2 else i * 2.0) for i in range(5)], "a double, k double, b double")
+    got = {(r["column_1"], r["column_2"]): r["correlation"] for r in explore.corr_matrix(df, "pearson").collect()}
+    assert got[("a", "k")] is None and got[("k", "k")] is None and got[("a", "b")] == pytest.approx(1.0)
+    assert explore.high_corr_pairs(df).count() == 1
+    from millrace.operators import select
+
+    assert select.kbest(df, "a", 1, features=["k", "b"]).selected == ["b"]
+    line = charts.fit_line(df, "k", "a").collect()[0]
+    assert line["slope"] is None
+
+
 def test_lift_and_lorenz(spark):
     df = spark.createDataFrame([(i, float(i), float(i >= 15)) for i in range(20)], "id int, p double, y double")
     rows = lift.decile_lift(df, "y", "p").orderBy("decile").collect()
