@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import tails
 from ..functions.columns import col, columns_of, correlation, dtype_of, is_float, local_rows, num, num_sql
 from ..functions.gram import gram_matrix
+from ..functions.lineage import materialise
 from ..functions.moments import moments
 from .engineer import bin_expr, quantile_edges
 from .models import VECTOR, assembler, fit_model, importances
@@ -139,13 +140,21 @@ def mutual_info(df: DataFrame, features: Sequence[str], target: str, bins: int =
         .groupBy("column", "x", "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # at most bins x classes cells per feature from here on
-    n = F.sum("n").over(Window.partitionBy("column"))
-    nx = F.sum("n").over(Window.partitionBy("column", "x"))
-    ny = F.sum("n").over(Window.partitionBy("column", "y"))
-    term = F.col("n") / n * F.log(F.col("n") * n / (nx * ny))
-    rows = cells.withColumn("t", term).groupBy("column").agg(F.sum("t").alias("mi")).collect()
-    found = {r["column"]: max(r["mi"], 0.0) for r in rows}
+    cells = materialise(cells)
+
+    def weighted(*keys: str) -> DataFrame:
+        """Sum of n log n over the margin of the cells on ``keys``, per feature."""
+        margin = cells.groupBy("column", *keys).agg(F.sum("n").alias("n"))
+        return margin.groupBy("column").agg(F.sum(F.col("n") * F.log("n")).alias("s"))
+
+    # n * MI = sum over cells - sum over each margin + n log n
+    sides = {}
+    for name, keys in (("cells", ("x", "y")), ("x", ("x",)), ("y", ("y",))):
+        sides[name] = {r["column"]: r["s"] for r in weighted(*keys).collect()}
+    totals = {r["column"]: r["n"] for r in cells.groupBy("column").agg(F.sum("n").alias("n")).collect()}
+    found = {
+        c: max((sides["cells"][c] - sides["x"][c] - sides["y"][c]) / n + math.log(n), 0.0) for c, n in totals.items() if n
+    }
     return {c: (found.get(n_), None) for c, n_ in zip(features, names)}
 
 

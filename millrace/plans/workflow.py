@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, columns_of, local_rows, num
-from ..functions.lineage import spread_out
+from ..functions.lineage import materialise, spread_out
 from ..functions.steps import ColumnStep
 from ..operators import clean, convert, encode, engineer, evaluate, explore, models, resample, scale, tuning
 from ..operators.select import Selection, kbest, select_features
@@ -262,6 +262,7 @@ def classification_run(
     Returns (model, scored test rows, report).  Every later stage is fitted on the rows as the earlier
     ones left them, and resampling touches training rows only.
     """
+    df = spread_out(df).persist()
     train, test = parts(split_random(df, key, test_size, seed))
     chain = Chain()
     dates = columns_of(train, "datetime", exclude=[key, target])
@@ -300,7 +301,8 @@ def classification_run(
         comps = engineer.pca(train, names, pca_components)
         train = chain.add(train, comps.step)
         names = [c for c in train.columns if c.startswith("pca_component_")]
-    slim = train.select(col(key), *[col(c) for c in names], num(train, target).cast("int").alias(target))
+    # search, resampling and training all start from these rows
+    slim = materialise(train.select(col(key), *[col(c) for c in names], num(train, target).cast("int").alias(target)))
     best = dict(params or {})
     if grid:
         best.update(
@@ -309,6 +311,7 @@ def classification_run(
     fitted = models.fit_model(_rebalance(slim, imbalance, key, names, target, seed), names, target, model, best, "classification", key)
     scored = models.predict(fitted, chain.transform(test).select(col(key), *[col(c) for c in names], col(target)))
     report = classification_summary(scored, target)
+    df.unpersist()
     return fitted, scored, report
 
 
