@@ -8,9 +8,8 @@ from typing import Any, Callable, Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.columns import col, columns_of, is_numeric, dtype_of, lit_sql, local_rows, num_sql, quote
+from ..functions.columns import dtype_of, lit_sql, local_rows, num_sql, quote
 from ..functions.gram import gram_matrix
 from ..functions.moments import moments
 from ..functions.quantiles import exact_quantiles
@@ -263,6 +262,3 @@ def feature_info(df: DataFrame, *steps: ColumnStep) -> DataFrame:
     ]
     return local_rows(df.sparkSession, rows, "feature string, type string, operation string, source_columns string")
 
-
-def numeric_features(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [c for c in columns_of(df, "numeric", exclude=exclude) if is_numeric(dtype_of(df, c))]

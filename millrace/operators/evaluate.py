@@ -8,7 +8,6 @@ from typing import Any, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import tails
 from ..functions.columns import col, correlation, local_rows, num
 from ..functions.quantiles import exact_quantiles
 from .ordered import lagged, ordered_scan

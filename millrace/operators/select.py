@@ -303,7 +303,8 @@ def vif_select(
     initial = _vif(g)
     removed, current = {}, initial
     while len(left) > 1 and current.max() > threshold:
-        worst = int(np.argmax(current))
+        # equal factors (always the case for the last two) are told apart by position, not by rounding noise
+        worst = int(np.argmax([float(f"{v:.9g}") for v in current]))
         removed[features[left[worst]]] = float(current[worst])
         left.pop(worst)
         current = _vif(g[np.ix_(left, left)])

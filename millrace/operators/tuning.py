@@ -384,7 +384,7 @@ def permutation_importance(model, df: DataFrame, features, target: str, key: str
     A shuffle gives every row the value of the row before it in a random (hash) order, so one ordered
     pass per repeat serves all features, and the original and every shuffled copy are scored together.
     """
-    from .ordered import lagged, ordered_scan
+    from .ordered import lagged
 
     slim = df.select(col(key).alias("__key"), *[num(df, f).alias(f) for f in features], num(df, target).alias("__y"))
     out = None
