@@ -90,19 +90,33 @@ def pairwise_correlation(df: DataFrame, columns: Sequence[str], means: Sequence[
     p = len(columns)
     if p <= EXPRESSION_WIDTH:
         slim = _slim(df, columns, means)
-        pairs = [(i, j) for i in range(p) for j in range(i, p)]
-        aggs = []
-        for i, j in pairs:
-            x, y = F.col(f"g{i}"), F.col(f"g{j}")
-            aggs.append(F.count(x + y if i != j else x).alias(f"n{i}_{j}"))
-            aggs.append((correlation(x, y) if i != j else F.var_pop(x)).alias(f"r{i}_{j}"))
-        row = slim.agg(*aggs).collect()[0]
+        pairs = [(i, j) for i in range(p) for j in range(i + 1, p)]
+        one = slim.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count(f"g{i}").alias(f"n{i}") for i in range(p)],
+            *[F.var_pop(f"g{i}").alias(f"v{i}") for i in range(p)],
+            *[F.covar_pop(f"g{i}", f"g{j}").alias(f"c{i}_{j}") for i, j in pairs],
+        ).collect()[0]
         n, r = np.zeros((p, p)), np.full((p, p), np.nan)
+        for i in range(p):
+            n[i, i] = one[f"n{i}"]
+            if one[f"v{i}"]:
+                r[i, i] = 1.0
+        gaps = [(i, j) for i, j in pairs if min(one[f"n{i}"], one[f"n{j}"]) < one["rows"]]
         for i, j in pairs:
-            n[i, j] = n[j, i] = row[f"n{i}_{j}"]
-            value = row[f"r{i}_{j}"]
-            if value is not None and (i != j or value > 0):
-                r[i, j] = r[j, i] = value if i != j else 1.0
+            n[i, j] = n[j, i] = one["rows"]
+            if one[f"v{i}"] and one[f"v{j}"] and one[f"c{i}_{j}"] is not None:
+                r[i, j] = r[j, i] = one[f"c{i}_{j}"] / np.sqrt(one[f"v{i}"] * one[f"v{j}"])
+        if gaps:
+            # pairs touched by nulls need the variances of their shared rows
+            row = slim.agg(
+                *[correlation(F.col(f"g{i}"), F.col(f"g{j}")).alias(f"r{i}_{j}") for i, j in gaps],
+                *[F.count(F.col(f"g{i}") + F.col(f"g{j}")).alias(f"n{i}_{j}") for i, j in gaps],
+            ).collect()[0]
+            for i, j in gaps:
+                n[i, j] = n[j, i] = row[f"n{i}_{j}"]
+                value = row[f"r{i}_{j}"]
+                r[i, j] = r[j, i] = np.nan if value is None else value
         return n, r
     m = pairwise_moments(df, columns, means)
     n, sx, sxx, sxy = m["n"], m["sx"], m["sxx"], m["sxy"]
