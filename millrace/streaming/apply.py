@@ -1,6 +1,6 @@
 """Fitted steps and saved models on a stream.
 
-The reference workload has no streams; this only shows that fitted steps, being plain projections,
+No operator needs a stream; this only shows that fitted steps, being plain projections,
 and ``PipelineModel``s apply to a streaming table unchanged.
 """
 
