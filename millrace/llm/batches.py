@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from typing import Callable, Iterator, Sequence
 
@@ -94,3 +95,17 @@ class Memo(dict):
             missing = list(keys)
         if missing:
             self.update(zip(missing, self.make(missing)))
+
+
+SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+WIDE_SPACE = re.compile(r"\s\s|^\s|\s$")
+
+
+def chunks(text: str) -> list[str]:
+    """Pieces whose byte-level BPE tokens, joined, are those of the text.
+
+    The usual pre-tokenisation patterns match a lone space together with the word behind it and never
+    match across it, so a text may be cut before any space that stands between two other characters.
+    """
+    words = SAFE_SPACE.split(text) if WIDE_SPACE.search(text) else text.split(" ")
+    return [words[0], *[" " + w for w in words[1:]]] if text else []

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, sharding, urlrules
+from . import bpe, fingerprints, packing, sharding, simhash, urlrules
+from .batches import stored
 
 SHARDS = 40
 
@@ -27,6 +29,32 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    marked = stored(simhash.fingerprints(_documents(spark, folder), ["doc_id"]))
+    return simhash.groups(marked, "doc_id").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), ["doc_id"])
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = bpe.encode(_documents(spark, folder), ranks, public_tokenizers.PATTERN, ["doc_id"])
+    decoded = bpe.decode(coded, ranks, ["doc_id", "ids"])
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 #: The rules that the query fixes: verdict, host, path (fixed values).
 SITE_RULES = [
     ("allow", "com", "/"),
@@ -71,5 +99,7 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op6_url_rules, op7_sharding)}
+QUERIES = {
+    f.__name__: f for f in (op1_fingerprints, op2_simhash, op3_packing, op4_bpe, op6_url_rules, op7_sharding)
+}
 ORACLES = {"op6_url_rules": _op6_sql()}
