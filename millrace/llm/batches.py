@@ -80,20 +80,27 @@ def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 
 
 class Memo(dict):
-    """Results per key for the life of a worker; forgotten when full, which costs time only."""
+    """Results per key for the life of a worker.
 
-    def __init__(self, make: Callable[[list], Sequence], limit: int = 300_000):
+    When it is full, what the last ``limit`` new keys have not touched is forgotten; that costs time
+    only.  Keys over ``LONG`` characters are kept for the current batch alone.
+    """
+
+    LONG = 64
+
+    def __init__(self, make: Callable[[list], Sequence], limit: int = 250_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
-    def learn(self, keys) -> None:
+    def learn(self, keys: set) -> None:
         """Afterwards every one of ``keys`` is present; what is missing is made in one call."""
-        keys = keys if isinstance(keys, (set, frozenset)) else set(keys)
-        missing = [k for k in keys if k not in self]
-        if len(self) + len(missing) > self.limit:
+        if len(self) > self.limit:
+            self.old = {k: v for k, v in self.items() if len(k) <= self.LONG}
             self.clear()
-            missing = list(keys)
-        if missing:
+        new = [k for k in keys if k not in self]
+        old = self.old
+        self.update((k, old[k]) for k in new if k in old)
+        if missing := [k for k in new if k not in old]:
             self.update(zip(missing, self.make(missing)))
 
 

@@ -15,6 +15,7 @@ given up is never tried again, so the work is linear in the text and the result
 from __future__ import annotations
 
 import base64
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -42,6 +43,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.beyond = max(self.bytes_of, default=0) + 1
         self.automaton = ahocorasick.Automaton()
         self.halves = {i: self._last_merge(b, i) for b, i in ranks.items()}
         # a token that its own bytes don't merge to is used for a piece that equals it, never inside one
@@ -84,7 +86,7 @@ class Encoder:
     def _fits(self, left: int, right: int) -> bool:
         """Undo both tokens' merges at their common edge, latest first; no merge across it may come earlier."""
         ranks, bytes_of, halves = self.ranks, self.bytes_of, self.halves
-        undone = len(bytes_of) + max(bytes_of, default=0) + 1  # rank of the merge that was undone last
+        undone = self.beyond  # rank of the merge that was undone last
         ties = False  # of equal merges the left one comes first
         while True:
             across = ranks.get(bytes_of[left] + bytes_of[right])
@@ -105,10 +107,14 @@ class Encoder:
             return []
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
+        fits, text = self.fits, piece.decode("latin-1")
+        first = [token for _, (token, _) in self.automaton.iter_long(text)]
+        if all(map(fits, first, first[1:])):
+            return first  # nothing to step back from
         longest = [BLANK] * len(piece)
-        for end, (token, size) in self.automaton.iter(piece.decode("latin-1")):
+        for end, (token, size) in self.automaton.iter(text):
             longest[end - size + 1] = token  # later ends are longer tokens
-        bytes_of, shorter, fits = self.bytes_of, self.shorter, self.fits
+        bytes_of, shorter = self.bytes_of, self.shorter
         open_at = [True] * (len(piece) + 1)
         out: list[int] = []
         at, token = 0, longest[0]
@@ -129,6 +135,8 @@ class Encoder:
     def encode(self, text: str, pattern: regex.Pattern) -> list[int]:
         """Ids of a text or a chunk of one."""
         pieces = pattern.findall(text)
+        if len(pieces) == 1:
+            return self.encode_bytes(text.encode("utf-8", "replace"))
         short = {p for p in pieces if len(p) <= LONG}
         self.pieces.learn(short)
         return [i for p in pieces for i in (self.pieces[p] if p in short else self.encode_bytes(p.encode("utf-8", "replace")))]
@@ -159,7 +167,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[st
 
     def make():
         encoder, compiled = _worker_encoder(shared.value, name), regex.compile(pattern)
-        memo = Memo(lambda keys: [np.array(encoder.encode(k, compiled), np.int32).tobytes() for k in keys])
+        memo = Memo(lambda keys: [array("i", encoder.encode(k, compiled)).tobytes() for k in keys])
 
         def compute(texts: list) -> list[pa.Array]:
             cut = [chunks(t or "") for t in texts]
