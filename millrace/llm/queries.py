@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, packing, sharding, simhash, urlrules
+from . import bpe, fingerprints, langid, packing, pii, quality, sharding, simhash, toxicity, urlrules
 from .batches import stored
 
 SHARDS = 40
@@ -55,6 +55,14 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = quality.judge(_documents(spark, folder), labels, ["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
 #: The rules that the query fixes: verdict, host, path (fixed values).
 SITE_RULES = [
     ("allow", "com", "/"),
@@ -99,7 +107,48 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _remainder(modulus: int) -> Column:
+    return F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % modulus
+
+
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    # held out: remainder 2; rows without an id teach nothing
+    model = langid.train(stored(langid.sample(docs.where(_remainder(4) != 2))))
+    marked = docs.select("doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "text")
+    return langid.predict(marked, model, ["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.spans(_documents(spark, folder), ["doc_id"], rewrite=False)
+    name = F.array(*[F.lit(k) for k in pii.KINDS])
+    each = F.arrays_zip("starts", "ends", "kinds")
+    form = lambda s: F.concat_ws(":", F.get(name, s["kinds"]), s["starts"].cast("string"), s["ends"].cast("string"))
+    base = F.filter(each, lambda s: s["kinds"] < 4)
+    count = lambda k: F.size(F.filter("kinds", lambda x: x == k)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{pii.KINDS[k]}") for k in range(4)],
+        F.sha2(F.concat_ws(",", F.transform(base, form)).cast("binary"), 256).alias("base_sha256"),
+        F.concat_ws(",", F.transform(each, form)).alias("spans"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.train(stored(toxicity.sample(docs, labels.where(_remainder(5) != 0))))
+    marked = docs.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "text")
+    return toxicity.score(marked, model, ["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_fingerprints, op2_simhash, op3_packing, op4_bpe, op6_url_rules, op7_sharding)
+    f.__name__: f
+    for f in (
+        op1_fingerprints, op2_simhash, op3_packing, op4_bpe, op5_quality,
+        op6_url_rules, op7_sharding, op8_language, op9_pii, op10_toxicity,
+    )
 }
 ORACLES = {"op6_url_rules": _op6_sql()}
