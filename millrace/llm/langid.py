@@ -95,7 +95,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                 names=["lang", "gram", "n"],
             )
 
-    partial = rows.select("lang", "text").mapInArrow(run, "lang string, gram string, n bigint")
+    partial = rows.where("lang is not null").select("lang", "text").mapInArrow(run, "lang string, gram string, n bigint")
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -219,7 +219,7 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
 
         return compute
 
-    sums = over_texts(rows, ["lang"], [T.StructField("sums", T.ArrayType(T.DoubleType()))], make)
+    sums = over_texts(rows.where("lang is not null"), ["lang"], [T.StructField("sums", T.ArrayType(T.DoubleType()))], make)
     n = F.element_at("sums", -1)
     own = F.element_at("sums", F.element_at(F.create_map(*[F.lit(x) for k, j in number.items() for x in (k, j + 1)]), F.col("lang")))
     each = sums.where(n > 0).select("lang", (own / n).alias("h"), n.alias("n"))

@@ -37,7 +37,7 @@ EVIDENCE = 17.0  # and log-likelihood ratio against equal frequency: chance give
 ROUNDS = 60
 RATE = 0.5
 DECAY = 1e-4
-FLOOR = 0.02  # marginals below it don't add up
+FLOOR = 0.2  # marginals below it (words the field knows nothing about) do not add up
 STRIDES = 1024  # pieces of a batch's token chain that are worked on side by side
 WORD = re.compile(r"\S+")
 EDGE = re.compile(r"^\W+|\W+$")
