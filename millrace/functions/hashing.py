@@ -5,6 +5,7 @@ md5 is used so that the same choice can be restated in any SQL engine.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column
@@ -39,6 +40,20 @@ def hash_int(key: str | Column | Sequence[str], seed: object, modulus: int | Col
     return value % (F.lit(modulus) if isinstance(modulus, int) else modulus)
 
 
+def poisson_times(u: Column, mean: float = 1.0) -> Column:
+    """Poisson number for a uniform draw: how many cumulative probabilities it reaches.
+
+    Terms are taken until they are below the resolution of :func:`hash_unit`.
+    """
+    total, term, k, times = 0.0, math.exp(-mean), 0, F.lit(0)
+    while k < mean or term > 2.0**-53:
+        total += term
+        times = times + (u >= F.lit(total)).cast("int")
+        k += 1
+        term *= mean / k
+    return times
+
+
 def hash_normal(key: str | Column | Sequence[str], seed: object) -> Column:
     """Standard normal draw by the Box-Muller transform of two uniform draws."""
     u = F.lit(1.0) - hash_unit(key, f"{seed}a")

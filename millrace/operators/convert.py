@@ -19,6 +19,7 @@ from ..functions.columns import (
     storage_kind,
 )
 from ..functions.steps import ColumnStep, fitted
+from .lookup import lookup_join
 from .ordered import ranked_values
 
 # Spellings accepted as booleans.
@@ -48,7 +49,7 @@ def column_kinds(df: DataFrame, categories_below: int = 10) -> dict[str, str]:
     """numeric, boolean, datetime, categorical (fewer than ten distinct values) or text."""
     kinds = {f.name: storage_kind(f.dataType) for f in df.schema.fields}
     strings = [c for c, k in kinds.items() if k in ("string", "other")]
-    counts = distinct_counts(df, strings)
+    counts = distinct_counts(df, strings, max(1000, 2 * categories_below))
     for c in strings:
         kinds[c] = "categorical" if counts[c] < categories_below else "text"
     return kinds
@@ -61,7 +62,7 @@ def column_kind_table(df: DataFrame, categories_below: int = 10) -> DataFrame:
 def group_candidates(df: DataFrame, max_unique_values: int = 20) -> list[str]:
     """Non-numeric columns with few enough values to group by."""
     names = columns_of(df, "string", "boolean", "datetime")
-    counts = distinct_counts(df, names)
+    counts = distinct_counts(df, names, max(1000, 2 * max_unique_values))
     return [c for c in names if counts[c] <= max_unique_values]
 
 
@@ -122,8 +123,8 @@ def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by the rank of its value in sorted order, missing as -1."""
     for c in columns:
         values, small = ranked_values(df, c)
-        values = values.select(F.col("value").alias("__v"), F.col("rank").alias("__code"))
-        joined = df.join(F.broadcast(values) if small else values, col(c) == F.col("__v"), "left")
+        values = values.select(F.col("value").alias("__v"), F.col("rank").alias("__code"), F.col("n").alias("__n"))
+        joined = lookup_join(df, col(c), values, "__v", "__n", small)
         df = joined.select(
             *[
                 F.coalesce(F.col("__code"), F.lit(-1)).cast("bigint").alias(c) if n == c else col(n)

@@ -12,7 +12,7 @@ from ..functions.columns import col, columns_of, lit_sql, num, quote
 from ..functions.lineage import materialise, spread_out
 from ..functions.steps import ColumnStep, fitted
 from .lookup import lookup_join
-from .ordered import SMALL_VALUES
+from .ordered import SMALL_VALUES, ranked_values
 
 MAX_LEVELS = 1000
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -64,17 +64,34 @@ def label_encode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def label_step(df: DataFrame, columns: Sequence[str] | None = None) -> ColumnStep:
-    """:func:`label_encode` as a saveable step for columns of few values; unseen values give null."""
+    """:func:`label_encode` as a saveable step for columns of few values; unseen values share the next code."""
     columns = list(columns) if columns is not None else columns_of(df, "string")
     levels = distinct_values(df, columns)
     exprs = {}
     for c in columns:
         known = sorted({*levels[c], "nan"}) if _has_null(df, c) else levels[c]
         known = ", ".join(lit_sql(v) for v in known)
-        exprs[c] = f"CAST(nullif(array_position(array({known}), coalesce(CAST({quote(c)} AS STRING), 'nan')), 0) - 1 AS DOUBLE)"
+        place = f"nullif(array_position(array({known}), coalesce(CAST({quote(c)} AS STRING), 'nan')), 0) - 1"
+        exprs[c] = f"CAST(coalesce({place}, cardinality(array({known}))) AS DOUBLE)"
     return fitted(df, exprs, state={c: {"levels": levels[c]} for c in columns})
 
 
+def label_steps(df: DataFrame, columns: Sequence[str]) -> list:
+    """Steps that replace text columns by sorted-order codes: one expression for columns of few values, a
+    joined table of ranks for each of the others, where missing and unseen values share the next code."""
+    from .convert import distinct_counts
+
+    counts = distinct_counts(df, list(columns), 2 * MAX_LEVELS)
+    few = [c for c in columns if counts[c] <= MAX_LEVELS]
+    steps: list = [label_step(df, few)] if few else []
+    for c in columns:
+        if c not in few:
+            ranked, _ = ranked_values(df, c)
+            ranked = materialise(ranked)
+            steps.append(_encoder(df, c, None, ranked, F.col("rank").cast("double"), float(ranked.count())))
+    return steps
+
+
 def _has_null(df: DataFrame, column: str) -> bool:
     return not df.where(col(column).isNull()).isEmpty()
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from typing import Any, Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +20,12 @@ from ..functions.hashing import hash_hex
 from ..functions.lineage import materialise
 from ..functions.moments import moments
 from ..functions.quantiles import exact_quantiles
-from .ordered import ordered_scan
+from .ordered import average_ranks, ordered_scan
 
 MAX_GROUPS = 1000
 EXACT_PAIRS = 50
 EXACT_GROUP = 8
+EXACT_TERMS = 10_000_000  # numbers held for an exact distribution; the normal one agrees to 1e-6 there
 
 
 def _present(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -92,7 +94,7 @@ def _two(groups: Mapping[str, Any]) -> tuple | None:
 
 def ttest(df: DataFrame, group: str, value: str) -> dict[str, Any] | None:
     """Pooled two-sample t of the two smallest labels."""
-    return ttest_from(_two(group_moments(df, group, value)))
+    return ttest_from(_two(group_moments(_first_two(df, group, value), group, value)))
 
 
 def ttest_from(pair) -> dict[str, Any] | None:
@@ -108,7 +110,7 @@ def ttest_from(pair) -> dict[str, Any] | None:
 
 
 def ttest_welch(df: DataFrame, group: str, value: str) -> dict[str, Any] | None:
-    pair = _two(group_moments(df, group, value))
+    pair = _two(group_moments(_first_two(df, group, value), group, value))
     if pair is None or pair[0]["n"] < 2 or pair[1]["n"] < 2:
         return None
     a, b = pair
@@ -137,7 +139,23 @@ def anova_from(groups: Sequence[Mapping[str, float]]) -> dict[str, Any] | None:
 
 
 def anova(df: DataFrame, group: str, value: str) -> dict[str, Any] | None:
-    return anova_from(list(group_moments(df, group, value).values()))
+    """One-way F; the groups' moments are added up in Spark, so there may be any number of them."""
+    groups = _present(df, group, value).groupBy("g").agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.var_pop("x").alias("var_pop")
+    )
+    groups = groups.where("n > 1")
+    n, mean = F.col("n"), F.col("mean")
+    row = groups.agg(
+        F.count(F.lit(1)).alias("k"), F.sum(n).alias("n"), F.sum(n * F.col("var_pop")).alias("within"), (F.sum(n * mean) / F.sum(n)).alias("grand")
+    ).collect()[0]
+    if row["k"] < 2:
+        return None
+    between = groups.agg(F.sum(n * (mean - F.lit(row["grand"])) ** 2)).collect()[0][0]
+    d1, d2 = row["k"] - 1, row["n"] - row["k"]
+    if row["within"] == 0 or d2 <= 0:
+        return None
+    f = (between / d1) / (row["within"] / d2)
+    return {"statistic": f, "p_value": tails.f_upper(f, d1, d2), "dof": float(d1)}
 
 
 def levene(df: DataFrame, first: str, second: str) -> dict[str, Any] | None:
@@ -191,33 +209,23 @@ def rank_summary(df: DataFrame, group: str, value: str) -> dict[str, Any]:
     }
 
 
-def kruskal_from(s: Mapping[str, Any]) -> dict[str, Any] | None:
-    n = s["n"]
-    total = sum(n.values())
-    if len(n) < 2:
-        return None
-    h = 12.0 / (total * (total + 1.0)) * sum(s["rank_sum"][g] ** 2 / n[g] for g in n) - 3.0 * (total + 1.0)
-    correction = 1.0 - s["ties"] / (float(total) ** 3 - total)
-    if correction == 0:
-        return None
-    h /= correction
-    return {"statistic": h, "p_value": tails.chi2_upper(h, len(n) - 1), "dof": float(len(n) - 1)}
-
-
 def _exact_u_p(u: float, n1: int, n2: int) -> float:
-    """Two-sided exact p of U by counting arrangements."""
-    # table[k][s]: ways to choose k of the first ranks with rank sum excess s
-    table = [[0] * (n1 * n2 + 1) for _ in range(n1 + 1)]
-    table[0][0] = 1
-    for position in range(n1 + n2):
-        for k in range(min(n1, position + 1), 0, -1):
-            shift = position - (k - 1)
-            for s in range(n1 * n2, shift - 1, -1):
-                table[k][s] += table[k - 1][s - shift]
-    counts = table[n1]
-    total = sum(counts)
-    reach = max(u, n1 * n2 - u)
-    return min(1.0, 2.0 * sum(c for s, c in enumerate(counts) if s >= reach) / total)
+    """Two-sided exact p of U by counting arrangements.
+
+    The arrangements with U = s are the coefficients of a product over i = 1 .. min(n1, n2) of
+    (1 - q^(max + i)) / (1 - q^i).  They are symmetric, so only those up to the smaller tail are made,
+    each from terms of lower order, and their share of all arrangements is the p-value.
+    """
+    few, many = sorted((n1, n2))
+    tail = math.floor(min(u, n1 * n2 - u))
+    counts = np.zeros(tail + 1)
+    counts[0] = 1.0
+    for i in range(1, few + 1):
+        if many + i <= tail:
+            counts[many + i :] -= counts[: -(many + i)].copy()
+        for start in range(min(i, tail + 1)):
+            counts[start::i] = np.cumsum(counts[start::i])
+    return min(1.0, 2.0 * float(counts.sum()) / math.comb(n1 + n2, few))
 
 
 def mannwhitney_from(s: Mapping[str, Any]) -> dict[str, Any] | None:
@@ -226,7 +234,7 @@ def mannwhitney_from(s: Mapping[str, Any]) -> dict[str, Any] | None:
     a, b = list(s["n"])[:2]
     n1, n2 = s["n"][a], s["n"][b]
     u = s["rank_sum"][a] - n1 * (n1 + 1) / 2.0
-    if s["ties"] == 0 and min(n1, n2) <= EXACT_GROUP and n1 * n2 <= 10_000:
+    if s["ties"] == 0 and min(n1, n2) <= EXACT_GROUP and n1 * n2 <= EXACT_TERMS:
         return {"statistic": u, "p_value": _exact_u_p(u, n1, n2)}
     n = n1 + n2
     sd = math.sqrt(n1 * n2 / 12.0 * ((n + 1.0) - s["ties"] / (n * (n - 1.0))))
@@ -245,14 +253,32 @@ def ks_from(s: Mapping[str, Any]) -> dict[str, Any] | None:
     return {"statistic": s["gap"], "p_value": tails.kolmogorov_upper(root * s["gap"])}
 
 
-def _first_two(df: DataFrame, group: str) -> DataFrame:
-    labels = df.where(col(group).isNotNull()).select(col(group).cast("string").alias("g")).distinct().orderBy("g").limit(2)
+def _first_two(df: DataFrame, group: str, value: str | None = None) -> DataFrame:
+    """Rows of the two smallest labels, of those that have a ``value`` if one is named."""
+    usable = df.where(col(group).isNotNull() & (num(df, value).isNotNull() if value else F.lit(True)))
+    labels = usable.select(col(group).cast("string").alias("g")).distinct().orderBy("g").limit(2)
     names = [r["g"] for r in labels.collect()]
     return df.where(col(group).cast("string").isin(names))
 
 
 def kruskal(df: DataFrame, group: str, value: str) -> dict[str, Any] | None:
-    return kruskal_from(rank_summary(df, group, value))
+    """Rank test of any number of groups: ranks of the distinct values, joined with (value, group) counts."""
+    cells = materialise(_present(df, group, value).groupBy("x", "g").agg(F.count(F.lit(1)).alias("k")))
+    values = average_ranks(cells.groupBy(F.col("x").alias("value")).agg(F.sum("k").alias("n")))
+    many = F.col("n").cast("double")
+    ties = values.agg(F.sum(many * many * many - many)).collect()[0][0]
+    by_group = cells.join(values, F.col("x") == F.col("value")).groupBy("g").agg(
+        F.sum("k").alias("size"), F.sum(F.col("k") * F.col("avg_rank")).alias("r")
+    )
+    row = by_group.agg(F.count(F.lit(1)).alias("groups"), F.sum("size").alias("n"), F.sum(F.col("r") ** 2 / F.col("size")).alias("s")).collect()[0]
+    if row["groups"] < 2:
+        return None
+    n = float(row["n"])
+    correction = 1.0 - ties / (n**3 - n)
+    if correction == 0:
+        return None
+    h = (12.0 / (n * (n + 1.0)) * row["s"] - 3.0 * (n + 1.0)) / correction
+    return {"statistic": h, "p_value": tails.chi2_upper(h, row["groups"] - 1), "dof": float(row["groups"] - 1)}
 
 
 def mannwhitney(df: DataFrame, group: str, value: str) -> dict[str, Any] | None:
@@ -308,7 +334,9 @@ def paired_by_order(df: DataFrame, group: str, value: str, order: str, sample: b
     """
     base = df.select(col(group).cast("string").alias("g"), num(df, value).alias("x"), col(order).alias("o"))
     base = base.where(F.col("g").isNotNull() & F.col("x").isNotNull())
-    sizes = sorted(base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS).collect())
+    first = [r["g"] for r in base.select("g").distinct().orderBy("g").limit(2).collect()]
+    base = base.where(F.col("g").isin(first))
+    sizes = sorted(base.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect())
     if len(sizes) < 2 or (sizes[0]["n"] != sizes[1]["n"] and not sample):
         return None
     if sample:
@@ -347,18 +375,38 @@ def contingency(df: DataFrame, first: str, second: str) -> DataFrame:
 
 def chi2_contingency(df: DataFrame, first: str, second: str) -> dict[str, Any] | None:
     """Independence test; two-by-two tables get the continuity correction."""
-    cells = contingency(df, first, second).collect()
-    r, c = len({x["first"] for x in cells}), len({x["second"] for x in cells})
+    cells = (
+        df.where(col(first).isNotNull() & col(second).isNotNull())
+        .groupBy(col(first).cast("string").alias("a"), col(second).cast("string").alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    cells = materialise(cells)
+    rows, columns = (cells.groupBy(k).agg(F.sum("n").alias(f"n_{k}")) for k in "ab")
+    r, total = rows.agg(F.count(F.lit(1)), F.sum("n_a")).collect()[0]
+    c = columns.count()
     dof = (r - 1) * (c - 1)
     if dof <= 0:
         return None
+    # cells nobody is in add their expectation, and all expectations add up to the total
+    expected = F.col("n_a") * F.col("n_b") / F.lit(float(total))
+    gap = F.abs(F.col("n") - expected)
+    if dof == 1:
+        gap = gap - F.least(F.lit(0.5), gap)
+    seen = cells.join(rows, "a").join(columns, "b").agg(F.sum(gap * gap / expected), F.sum(expected), F.count(F.lit(1))).collect()[0]
+    stat = seen[0]
+    if dof > 1:
+        stat += max(0.0, total - seen[1])
+    elif seen[2] < 4:  # a two-by-two table with an empty cell
+        stat = _two_by_two(df, first, second)
+    return {"statistic": stat, "p_value": tails.chi2_upper(stat, dof), "dof": float(dof)}
+
+
+def _two_by_two(df: DataFrame, first: str, second: str) -> float:
     stat = 0.0
-    for x in cells:
+    for x in contingency(df, first, second).collect():
         gap = abs(x["observed"] - x["expected"])
-        if dof == 1:
-            gap -= min(0.5, gap)
-        stat += gap * gap / x["expected"]
-    return {"statistic": stat, "p_value": tails.chi2_upper(stat, dof), "dof": float(dof)}
+        stat += (gap - min(0.5, gap)) ** 2 / x["expected"]
+    return stat
 
 
 # ---------------------------------------------------------------- batteries
@@ -445,6 +493,7 @@ def median_split_tests(df: DataFrame, columns: Sequence[str], order: str | None
     return local_rows(df.sparkSession, rows, f"column string, median double, n_low bigint, n_high bigint, {parts}")
 
 
+# Names of the tests in results.
 METHODS = {
     "pearson": "Pearson",
     "spearman": "Spearman",

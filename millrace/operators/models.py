@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import random
+import warnings
 from dataclasses import dataclass, field
 from typing import Any, Mapping, Sequence
 
@@ -31,17 +32,19 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, lit_sql, local_rows, num, num_sql
+from ..functions.hashing import hash_unit, poisson_times
 from ..functions.lineage import materialise
 from ..functions.moments import moments
 from .neighbours import knn_predict
 from .scale import scale_standard
 
 VECTOR = "__features"
-DEEPEST = 12  # stands for "no depth limit"
+DEEPEST = 12  # depth of forests and bagged trees for which none is given; Spark grows trees to 30 levels at most
+MAX_CLASSES = 10_000  # labels that a vote may be between
 
 # Other names of the same model.
 ALIASES = {
@@ -64,6 +67,7 @@ FOREST_PARAMS = {
     "max_features": "featureSubsetStrategy",
     "max_samples": "subsamplingRate",
     "bootstrap": "bootstrap",
+    "max_bins": "maxBins",
     "random_state": "seed",
 }
 BOOSTING_PARAMS = {
@@ -82,9 +86,10 @@ BOOSTING_PARAMS = {
     "gamma": "minInfoGain",
     "min_impurity_decrease": "minInfoGain",
     "loss": "lossType",
+    "max_bins": "maxBins",
     "random_state": "seed",
 }
-TREE_PARAMS = {k: v for k, v in FOREST_PARAMS.items() if v in ("maxDepth", "minInstancesPerNode", "minInfoGain", "seed")}
+TREE_PARAMS = {k: v for k, v in FOREST_PARAMS.items() if v in ("maxDepth", "minInstancesPerNode", "minInfoGain", "maxBins", "seed")}
 
 REGRESSORS = ("linear", "ridge", "lasso", "elastic_net", "random_forest", "gbt", "adaboost", "bagging", "knn", "rbf_regression", "tree")
 CLASSIFIERS = ("logistic", "random_forest", "gbt", "adaboost", "bagging", "linear_svc", "tree")
@@ -115,8 +120,11 @@ def spark_params(name: str, params: Mapping[str, Any], task: str) -> dict[str, A
             if v is None or task != "regression":
                 continue
         elif target == "maxDepth":
-            v = min(int(v), 30)
-        elif target in ("minInstancesPerNode", "maxIter", "numTrees"):
+            v = int(v)
+            if v > 30:
+                warnings.warn(f"Spark grows trees to at most 30 levels, {v} were asked for", stacklevel=2)
+                v = 30
+        elif target in ("minInstancesPerNode", "maxIter", "numTrees", "maxBins"):
             v = max(1, int(v))
         elif target == "subsamplingRate":
             v = float(v)
@@ -168,7 +176,8 @@ def native_estimator(name: str, params: Mapping[str, Any] | None = None, task: s
             boost = GBTClassifier(**common, **{"seed": 42, **set_})
             return boost if classes <= 2 else OneVsRest(classifier=boost, **common)
         if name == "linear_svc":
-            return LinearSVC(**common, regParam=1.0 / (float(given.get("C", 1.0)) * (n or 1)), **{"maxIter": 200, **set_})
+            margin = LinearSVC(**common, regParam=1.0 / (float(given.get("C", 1.0)) * (n or 1)), **{"maxIter": 200, **set_})
+            return margin if classes <= 2 else OneVsRest(classifier=margin, **common)
         if name == "tree":
             return DecisionTreeClassifier(**common, **{"seed": 42, **set_})
     return None
@@ -273,11 +282,35 @@ def _adaboost_reg(df: DataFrame, features: Sequence[str], target: str, p: Mappin
     return AveragedTrees(list(features), trees, [None] * len(trees), weights, "median")
 
 
+def _classes(rows: DataFrame) -> list[float]:
+    """All labels ``y``, sorted; more than MAX_CLASSES are refused, none is left out."""
+    found = sorted(r["y"] for r in rows.select("y").distinct().limit(MAX_CLASSES + 1).collect())
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return found
+
+
+def _copies(rows: DataFrame, seed: int, share: float, replace: bool) -> DataFrame:
+    """A row sample that depends on the rows alone, not on how they are partitioned.
+
+    With replacement every row is repeated a Poisson(share) number of times drawn from its hash.
+    Equal rows are drawn apart by their number among their equals.
+    """
+    twin = F.row_number().over(Window.partitionBy("__hash").orderBy("y"))
+    rows = rows.withColumn("__hash", F.xxhash64(F.hash(vector_to_array(VECTOR)), vector_to_array(VECTOR), F.col("y")))
+    u = hash_unit(F.concat_ws(":", F.col("__hash").cast("string"), twin.cast("string")), seed)
+    drawn = rows.withColumn("__u", u).drop("__hash")
+    if not replace:
+        return drawn.where(F.col("__u") < share).drop("__u")
+    times = poisson_times(F.col("__u"), share)
+    return drawn.withColumn("__copy", F.explode(F.sequence(F.lit(0), times))).where("__copy > 0").drop("__copy", "__u")
+
+
 def _adaboost_cls(df: DataFrame, features: Sequence[str], target: str, p: Mapping[str, Any]) -> AveragedTrees:
     """SAMME: misclassified rows gain weight, each tree votes with its log odds."""
     rounds, rate = int(p.get("n_estimators", 50)), float(p.get("learning_rate", 1.0))
     base = assembler(features).transform(df).select(VECTOR, num(df, target).alias("y"))
-    classes = sorted(r["y"] for r in base.select("y").distinct().limit(1000).collect())
+    classes = _classes(base)
     state = materialise(base.withColumn("w", F.lit(1.0 / base.count())))
     trees, weights = [], []
     for i in range(rounds):
@@ -309,16 +342,16 @@ def _bagging(df: DataFrame, features: Sequence[str], target: str, p: Mapping[str
     seed = int(p.get("random_state") or 42)
     rng = random.Random(seed)
     base = materialise(assembler(features).transform(df).select(VECTOR, num(df, target).alias("y")))
-    classes = sorted(r["y"] for r in base.select("y").distinct().limit(1000).collect()) if task != "regression" else []
+    classes = _classes(base) if task != "regression" else []
     take = max(1, round(width * len(features)))
     trees, slices = [], []
     for i in range(count):
         cut = None
         rows = base
         if p.get("bootstrap", True):
-            rows = rows.sample(withReplacement=True, fraction=share, seed=seed + i)
+            rows = _copies(rows, seed + i, share, True)
         elif share < 1.0:
-            rows = rows.sample(withReplacement=False, fraction=share, seed=seed + i)
+            rows = _copies(rows, seed + i, share, False)
         vector = VECTOR
         if take < len(features) or p.get("bootstrap_features"):
             pool = range(len(features))
@@ -400,7 +433,7 @@ def fit_model(
         stage, names = fourier_stage(df, features, p.get("gamma", "scale"), int(p.get("width", 64)))
         n = df.count()
         huber = LinearRegression(
-            featuresCol=VECTOR, labelCol=target, loss="huber", regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=min(int(p.get("max_iter", 200)), 1000) if int(p.get("max_iter", 200)) > 0 else 200
+            featuresCol=VECTOR, labelCol=target, loss="huber", regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=int(p.get("max_iter", 200)) if int(p.get("max_iter", 200)) > 0 else 200
         )
         return Pipeline(stages=[stage, assembler(names), huber]).fit(df)
     n = sd = None
@@ -408,7 +441,7 @@ def fit_model(
     if name in ("ridge", "elastic_net", "logistic", "linear_svc"):
         row = df.agg(F.count(num(df, target)).alias("n"), F.stddev_samp(num(df, target)).alias("sd")).collect()[0]
         n, sd = row["n"], row["sd"]
-    if task != "regression" and name == "gbt":
+    if task != "regression" and name in ("gbt", "linear_svc"):
         classes = df.select(target).distinct().limit(3).count()
     est = native_estimator(name, p, task, target, classes, n, sd)
     return Pipeline(stages=[assembler(features), est]).fit(df)

@@ -362,22 +362,27 @@ def knn_predict(
     return near.groupBy(col(test_key)).agg(value.alias(output))
 
 
-def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5) -> DataFrame:
+def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, donors_from: DataFrame | None = None) -> DataFrame:
     """Fill each missing cell with the mean of the column over the k nearest rows that have it.
 
+    The rows are those of ``donors_from`` (a training table with the same columns), else of ``df``.
+
     Distance is nan-Euclidean over all ``columns``; a cell without any comparable row gets the
     column mean.
     """
     from ..functions.moments import moments
 
-    means = moments(df, columns, ["n", "n_rows", "mean"])
+    source = df if donors_from is None else donors_from
+    means = moments(source, columns, ["mean"])
+    gaps = moments(df, columns, ["n", "n_rows"])
     slim = df.select(col(key), *[num(df, c).alias(c) for c in columns])
+    giving = source.select(col(key), *[num(source, c).alias(c) for c in columns])
     out = df
     for c in columns:
-        if means[c]["n"] == means[c]["n_rows"]:
+        if gaps[c]["n"] == gaps[c]["n_rows"]:
             continue
         ask = slim.where(col(c).isNull())
-        donors = slim.where(col(c).isNotNull()).withColumn("__donor", col(c))
+        donors = giving.where(col(c).isNotNull()).withColumn("__donor", col(c))
         near = knn_join(ask, donors, key, key, columns, k, carry=["__donor"], allow_missing=True)
         fills = near.groupBy(col(key).alias("__key")).agg(F.avg("__donor").alias("__fill"))
         joined = out.join(fills, col(key) == F.col("__key"), "left")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, local_rows, num
-from ..functions.hashing import hash_hex, hash_unit
+from ..functions.hashing import hash_hex, hash_unit, poisson_times
 from .evaluate import regression_aggregates
 from .models import VECTOR, assembler, canonical, fit_model, native_estimator, predict, spark_params
 from .split import kfold, parts, split_random
@@ -58,8 +58,9 @@ def evaluator(metric: str, target: str):
     if metric in ("mse", "mae", "rmse", "r2"):
         return RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName=metric)
     if metric == "roc_auc":
-        return BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    return MulticlassClassificationEvaluator(labelCol=target, predictionCol="prediction", metricName=metric)
+        return BinaryClassificationEvaluator(labelCol=target, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
+    name = {"precision": "weightedPrecision", "recall": "weightedRecall"}.get(metric, metric)
+    return MulticlassClassificationEvaluator(labelCol=target, predictionCol="prediction", metricName=name)
 
 
 @dataclass
@@ -123,13 +124,40 @@ def _loop_score(preds: DataFrame, metric: str) -> list[float]:
 
         folds = sorted(r[0] for r in preds.select(FOLD).distinct().collect())
         return [roc_auc(preds.where(F.col(FOLD) == f), "y", "s").collect()[0][0] for f in folds]
-    if metric in ("accuracy", "f1"):
+    if metric in WEIGHTED:
+        return _weighted_scores(preds, WEIGHTED[metric])
+    if metric == "accuracy":
         value = F.avg((F.col("y") == F.col("p")).cast("double"))
     else:
         value = regression_aggregates(F.col("y"), F.col("p"))[metric]
     return [r["v"] for r in preds.groupBy(FOLD).agg(value.alias("v")).orderBy(FOLD).collect()]
 
 
+# Metrics averaged over the classes, weighted by their true rows.
+WEIGHTED = {
+    "f1": "f1", "weightedPrecision": "precision", "precision": "precision", "weightedRecall": "recall", "recall": "recall",
+}
+
+
+def _weighted_scores(preds: DataFrame, kind: str) -> list[float]:
+    """Per fold: the class measure from the counts of (true, predicted), weighted by class size."""
+    cells = preds.groupBy(FOLD, "y", "p").agg(F.count(F.lit(1)).alias("n"))
+    hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
+    true = cells.groupBy(FOLD, F.col("y").alias("label")).agg(F.sum("n").alias("size"), F.sum(hit).alias("hits"))
+    said = cells.groupBy(FOLD, F.col("p").alias("label")).agg(F.sum("n").alias("named"))
+    both = true.join(said, [FOLD, "label"], "left").fillna(0, ["named"])
+    precision = F.coalesce(F.try_divide(F.col("hits"), F.col("named")), F.lit(0.0))
+    recall = F.col("hits") / F.col("size")
+    measure = {"precision": precision, "recall": recall, "f1": 2.0 * F.col("hits") / (F.col("size") + F.col("named"))}[kind]
+    value = F.sum(measure * F.col("size")) / F.sum("size")
+    return [r["v"] for r in both.groupBy(FOLD).agg(value.alias("v")).orderBy(FOLD).collect()]
+
+
+def _one_vs_rest(df: DataFrame, target: str, task: str, name: str) -> bool:
+    """Boosted trees of several classes are wrapped, and the wrapper hides their parameters from a search."""
+    return task == "classification" and name == "gbt" and df.select(num(df, target)).distinct().limit(3).count() > 2
+
+
 def search(
     df: DataFrame,
     features: Sequence[str],
@@ -155,7 +183,7 @@ def search(
     name_ = canonical(name)
     scores: list[float] = []
     try:
-        if name_ in LOOP_MODELS or resample is not None:
+        if name_ in LOOP_MODELS or resample is not None or _one_vs_rest(folded, target, task, name_):
             for c in candidates:
                 preds = _fold_predictions(folded, cv, lambda t: fit_model(prepare(t), features, target, name, c, task, key), target)
                 got = _loop_score(preds, metric)
@@ -204,7 +232,8 @@ def narrowed_grid(best: Mapping[str, Any]) -> dict[str, list]:
         n = int(best["n_estimators"])
         grid["n_estimators"] = sorted({max(1, n - 20), n, n + 20})
     if "learning_rate" in best:
-        grid["learning_rate"] = [best["learning_rate"] * f for f in (0.8, 1.0, 1.2) if best["learning_rate"] * f <= 1.0]
+        # Spark's boosting takes rates up to 1
+        grid["learning_rate"] = sorted({min(1.0, best["learning_rate"] * f) for f in (0.8, 1.0, 1.2)})
     if "max_depth" in best:
         d = int(best["max_depth"])
         grid["max_depth"] = sorted({max(1, d - 1), d, d + 1})
@@ -328,13 +357,7 @@ def validation_curve(
 
 def bootstrap(df: DataFrame, key: str, seed: object) -> DataFrame:
     """Rows repeated a Poisson(1) number of times drawn from the hash: a bootstrap with no shuffle."""
-    u = hash_unit(key, seed)
-    # cumulative Poisson(1) probabilities; beyond 12 repeats nothing is left at double precision of interest
-    total, term, times = 0.0, 0.36787944117144233, F.lit(0)
-    for k in range(12):
-        total += term
-        times = times + (u >= F.lit(total)).cast("int")
-        term /= k + 1
+    times = poisson_times(hash_unit(key, seed))
     return df.withColumn("__copy", F.explode(F.sequence(F.lit(0), times))).where(F.col("__copy") > 0).drop("__copy")
 
 

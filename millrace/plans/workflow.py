@@ -37,10 +37,25 @@ class Chain:
         self.steps.append(step)
         return step.transform(df)
 
+    def is_pipeline(self) -> bool:
+        """Whether all steps are expressions, which a saved pipeline can hold."""
+        return all(isinstance(s, ColumnStep) for s in self.steps)
+
     def stages(self) -> list:
         return [s.stage() for s in self.steps if isinstance(s, ColumnStep) and (s.exprs or s.drop or s.where)]
 
 
+@dataclass
+class ChainedModel:
+    """A model behind steps that join tables; it scores raw rows but is no saveable pipeline."""
+
+    chain: Chain
+    model: Any
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.chain.transform(df))
+
+
 # ---------------------------------------------------------------- exploration
 
 
@@ -95,7 +110,8 @@ def fit_preprocessor(
     imputation = clean.impute(df, strategy, custom_values, columns)
     df = chain.add(df, imputation)
     if encode_labels:
-        df = chain.add(df, encode.label_step(df, [c for c in columns_of(df, "string") if c in columns]))
+        for step in encode.label_steps(df, [c for c in columns_of(df, "string") if c in columns]):
+            df = chain.add(df, step)
     numeric = [c for c in columns_of(df, "numeric") if c in columns]
     if scaling == "standard":
         scaler = scale.scale_standard(df, numeric)
@@ -204,7 +220,7 @@ def regression_run(
     results = results_table(df.sparkSession, run_id, {model: sides})
     whole = fitted
     if isinstance(fitted, PipelineModel):
-        whole = PipelineModel(chain.stages() + fitted.stages)
+        whole = PipelineModel(chain.stages() + fitted.stages) if chain.is_pipeline() else ChainedModel(chain, fitted)
     report = evaluate.complete_evaluation(scored, target, "prediction", key, names) if full_evaluation else None
     df.unpersist()
     return Run(whole, scored, results, chosen, best, report)
@@ -279,9 +295,11 @@ def classification_run(
         train = chain.add(train, filled)
         from ..operators.neighbours import knn_impute
 
+        known = materialise(train)
+
         class _Neighbours:
             def transform(self, d: DataFrame) -> DataFrame:
-                return knn_impute(d, key, numeric)
+                return knn_impute(d, key, numeric, donors_from=known)
 
         train = chain.add(train, _Neighbours())
     else:
