@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .batches import _pieces, over_texts
 from .tokens import Table
 
-SAMPLE = 1500  # labelled documents of each class, in hash order
+SAMPLE = 1000  # labelled documents of each class, in hash order
 SAMPLE_CHARS = 20_000  # of at most so many characters each
 HEADS = (3, 4, 5)  # lengths of word beginnings
 FEATURES = 1 << 18
@@ -148,8 +148,8 @@ def _chain(gain: np.ndarray, first: np.ndarray, step: np.ndarray, start: float)
     return out.reshape(-1)[:n]
 
 
-def marginals(scores: np.ndarray, ends: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Chance of the toxic state at every token, and of every ordered pair of states before it (n x 4)."""
+def marginals(scores: np.ndarray, ends: np.ndarray, step: np.ndarray, pairs: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+    """Chance of the toxic state at every token, and of every ordered pair of states up to it (n x 4)."""
     n = len(scores)
     if not n:
         return np.zeros(0), np.zeros((0, 4))
@@ -161,11 +161,13 @@ def marginals(scores: np.ndarray, ends: np.ndarray, step: np.ndarray) -> tuple[n
     forward = _chain(gain, first, potential, 1.0)
     backward = _chain(gain[::-1], last[::-1], potential.T, 1.0)[::-1]  # with the token's own gain
     odds = forward * backward / gain
-    pairs = np.zeros((n, 4))
+    if not pairs:
+        return odds / (1 + odds), None
     before = np.concatenate([[0.0], forward[:-1]])
     joint = np.stack([np.full(n, potential[0, 0]), potential[0, 1] * backward, potential[1, 0] * before, potential[1, 1] * before * backward], 1)
-    pairs[~first] = (joint / joint.sum(axis=1, keepdims=True))[~first]
-    return odds / (1 + odds), pairs
+    joint /= joint.sum(axis=1, keepdims=True)
+    joint[first] = 0.0
+    return odds / (1 + odds), joint
 
 
 def any_toxic(p: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -217,7 +219,7 @@ def train(rows: DataFrame) -> Model | None:
         bias += RATE * g_b / past_b**0.5
         step += (RATE * g_s / np.sqrt(past_s)).reshape(2, 2)
     word_score = np.bincount(owner, weights=weights[flat], minlength=len(words)) + bias
-    odds = any_toxic(marginals(word_score[place], ends, step)[0], ends)
+    odds = any_toxic(marginals(word_score[place], ends, step, False)[0], ends)
     slope, shift = _logistic(odds, label)
     return Model(weights.astype(np.float32), float(bias), step, slope, shift)
 
@@ -269,7 +271,7 @@ def score(docs: DataFrame, model: Model | None, keep: list[str], text: str = "te
                 return [pa.array([0.0] * len(texts)), pa.array([[]] * len(texts), pa.list_(pa.string()))]
             bodies = [t or "" for t in texts]
             values_of, places, ends = table.rows([t.split() for t in bodies])
-            p, _ = marginals(values_of[places, 0].astype(np.float64), ends, model.step)
+            p, _ = marginals(values_of[places, 0].astype(np.float64), ends, model.step, False)
             odds = model.slope * any_toxic(p, ends) + model.shift
             toxic = p >= 0.5
             some = np.diff(np.concatenate([[0], np.cumsum(toxic)])[ends]) > 0
