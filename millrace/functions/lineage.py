@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name under the checkpoint folder, which every executor can reach."""
+    ensure_checkpoint_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{named.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def spread_out(df: DataFrame) -> DataFrame:
     """Use all cores when the input comes in fewer pieces than half of them.
 

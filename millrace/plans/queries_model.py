@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions.columns import local_rows
-from ..functions.lineage import spread_out
+from ..functions.lineage import shared_folder, spread_out
 from ..operators import models, select, split, tuning
 from ..sources import sinks
 from . import inputs as I
@@ -648,3 +648,63 @@ def evaluation_json(t):
     return text.select(
         pick("$.error_metrics.mse").alias("mse"), pick("$.error_metrics.r2").alias("r2"), pick("$.error_metrics.adjusted_r2").alias("adjusted")
     )
+
+
+# ---------------------------------------------------------------- saved models and run records
+
+_FIT = "(SELECT *, my - cxy / vx * mx AS b0, cxy / vx AS b1 FROM " + _S + ")"
+
+
+def _saved_line(t) -> str:
+    """Path of a saved regression of charge on quantity."""
+    path = shared_folder(t.spark)
+    models.save_model(models.fit_model(I.li_charge(t), ["l_quantity"], "charge", "linear"), path)
+    return path
+
+
+@query(
+    "model_save_load",
+    f"""SELECT l_quantity, count(*) AS n, avg(b0 + b1 * l_quantity) AS prediction
+ FROM {I.LI_CHARGE} AS x, {_FIT} AS f GROUP BY l_quantity""",
+    doubles="prediction",
+    digits=3,
+)
+def model_save_load(t):
+    scored = models.predict(models.load_model(_saved_line(t)), I.li_charge(t))
+    return scored.groupBy("l_quantity").agg(F.count("*").alias("n"), F.avg("prediction").alias("prediction"))
+
+
+@query(
+    "evaluate_saved",
+    f"""SELECT count(*) AS n, avg((charge - b0 - b1 * l_quantity) ** 2) AS mse,
+ avg(abs(charge - b0 - b1 * l_quantity)) AS mae, regr_r2(charge, l_quantity) AS r2 FROM {I.LI_CHARGE} AS x, {_FIT} AS f""",
+    doubles="mse mae r2",
+    per_column={"mse": 0, "mae": 3, "r2": 6},
+)
+def evaluate_saved(t):
+    report = workflow.evaluate_saved(_saved_line(t), I.li_charge(t), "charge")
+    return report.select("error_metrics.n", "error_metrics.mse", "error_metrics.mae", "error_metrics.r2")
+
+
+@query(
+    "run_record",
+    f"""SELECT 'q1' AS run_id, 'linear' AS model, 'none' AS tuning, regr_slope(charge, l_quantity) AS slope,
+ regr_r2(charge, l_quantity) AS r2 FROM {I.LI_CHARGE}""",
+    doubles="slope r2",
+    digits=3,
+)
+def run_record(t):
+    df = I.li_charge(t)
+    fitted = models.fit_model(df, ["l_quantity"], "charge", "linear")
+    scored = models.predict(fitted, df)
+    from ..operators import evaluate
+
+    r2 = evaluate.regression_metrics(scored, "charge", "prediction").collect()[0]["r2"]
+    slope = {r["term"]: r["coefficient"] for r in models.coefficients(fitted, ["l_quantity"], t.spark).collect()}["l_quantity"]
+    path = shared_folder(t.spark)
+    sinks.write_run_record(t.spark, path, "q1", {"model": "linear", "tuning": "none", "metrics": {"slope": slope, "r2": r2}})
+    part = lambda p: F.get_json_object("record", f"$.{p}")
+    return t.spark.read.schema("run_id string, record string").json(path).select(
+        "run_id", part("model").alias("model"), part("tuning").alias("tuning"),
+        part("metrics.slope").cast("double").alias("slope"), part("metrics.r2").cast("double").alias("r2"),
+    )
