@@ -135,12 +135,12 @@ def basic_summary(t):
     "percentiles",
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", " + ", ".join(f'quantile_cont({c}, {p / 100}) AS "P{p}"' for p in explore.PERCENTS) + " FROM lineitem"
-        for c in LI[:2]
+        for c in LI
     ),
     doubles=" ".join(f"P{p}" for p in explore.PERCENTS),
 )
 def percentiles(t):
-    return explore.percentiles(t.lineitem, LI[:2])
+    return explore.percentiles(t.lineitem, LI)
 
 
 def _corr_sql(pairs, t, fn="corr({a}, {b})"):

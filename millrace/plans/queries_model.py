@@ -78,9 +78,9 @@ def _mi(c, edges):
     return f"SELECT '{c}' AS feature, greatest(sum(t), 0) AS score FROM (SELECT n / sum(n) OVER () * ln(n * sum(n) OVER () / (sum(n) OVER (PARTITION BY x) * sum(n) OVER (PARTITION BY y))) AS t FROM {cells})"
 
 
-@query("kbest_mutual_info", _topk([_mi(c, 5) for c in LI[:2]], 1), doubles="score", digits=8)
+@query("kbest_mutual_info", _topk([_mi(c, 5) for c in LI], 1), doubles="score", digits=8)
 def kbest_mutual_info(t):
-    return _scores(select.kbest(t.lineitem, "l_returnflag", 1, "mutual_info", LI[:2], bins=5), t)
+    return _scores(select.kbest(t.lineitem, "l_returnflag", 1, "mutual_info", LI, bins=5), t)
 
 
 @query(
@@ -255,8 +255,8 @@ def _reg(t, name, **params):
 
 
 def _cls(t, name, **params):
-    df = I.vectors(t, 8).withColumn("target", (F.col("label") < 5).cast("int"))
-    feats = [f"e{i}" for i in range(8)]
+    df = I.vectors(t).withColumn("target", (F.col("label") < 5).cast("int"))
+    feats = [f"e{i}" for i in range(64)]
     model = models.fit_model(df, feats, "target", name, params, "classification", "vec_id")
     return models.predict(model, df).select("vec_id", "target", "prediction")
 
@@ -313,7 +313,7 @@ def rbf_regression(t):
 
 @query("kmeans")
 def kmeans(t):
-    return models.cluster_labels(I.vectors(t, 8), [f"e{i}" for i in range(8)], 5, 42, "cluster").select("vec_id", "cluster")
+    return models.cluster_labels(I.vectors(t), [f"e{i}" for i in range(64)], 5, 42, "cluster").select("vec_id", "cluster")
 
 
 @query("split_cluster")
