@@ -49,11 +49,12 @@ def over_texts(
     fields: Sequence[T.StructField],
     make: Callable[[], Callable[[list], list[pa.Array]]],
     text: str = "text",
+    raw: bool = False,
 ) -> DataFrame:
     """Columns ``keep`` and new columns computed from the text, batch by batch.
 
-    ``make()`` runs once per task and returns a function from a list of texts (None for null) to one
-    Arrow array per field.  Rows stay where they are: no shuffle.
+    ``make()`` runs once per task and returns a function from a list of texts (None for null), or with
+    ``raw`` from their Arrow array, to one Arrow array per field.  Rows stay where they are: no shuffle.
     """
     picked = df.select(*[col(c).alias(c) for c in keep], col(text).alias("__text"))
     schema = T.StructType([*picked.schema.fields[:-1], *fields])
@@ -63,7 +64,8 @@ def over_texts(
         compute = make()
         for batch in batches:
             for part in _pieces(batch, width):
-                new = compute(part.column(width).to_pylist())
+                texts = part.column(width)
+                new = compute(texts if raw else texts.to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], *new], names=names)
 
     return picked.mapInArrow(run, schema)

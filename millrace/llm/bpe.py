@@ -16,19 +16,21 @@ from __future__ import annotations
 
 import base64
 from array import array
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .batches import Memo, chunks, over_texts
 
-LONG = 64  # characters of a piece beyond which it isn't remembered
-PAIRS = 2_000_000  # remembered token pairs
+PAIRS = 500_000  # remembered token pairs
 BLANK = -1
+BETWEEN = "\u0100"  # stands for no byte
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,11 +51,13 @@ class Encoder:
         # a token that its own bytes don't merge to is used for a piece that equals it, never inside one
         self.merged = {b: i for b, i in ranks.items() if len(b) == 1 or self.halves[i][0] != i}
         for token, i in self.merged.items():
-            self.automaton.add_word(token.decode("latin-1"), (i, len(token)))
+            self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
         self.shorter = {i: self._prefix(b) for b, i in self.merged.items()}
-        self.compatible: dict[tuple[int, int], bool] = {}
-        self.pieces = Memo(lambda keys: [self.encode_bytes(k.encode("utf-8", "replace")) for k in keys])
+        self.size = [len(self.bytes_of.get(i, b"")) for i in range(self.beyond)]
+        self.widest = max(map(len, self.merged), default=1)
+        self.compatible: dict[int, bool] = {}
+        self.pieces = Memo(lambda keys: self.encode_many([k.encode("utf-8", "replace") for k in keys]), 150_000)
 
     def _prefix(self, token: bytes) -> int:
         for end in range(len(token) - 1, 0, -1):
@@ -76,11 +80,14 @@ class Encoder:
         return self.ranks[parts[0]], self.ranks[parts[1]]
 
     def fits(self, left: int, right: int) -> bool:
-        known = self.compatible.get((left, right))
+        return self._fits_pair(left * self.beyond + right)
+
+    def _fits_pair(self, pair: int) -> bool:
+        known = self.compatible.get(pair)
         if known is None:
             if len(self.compatible) > PAIRS:
                 self.compatible.clear()
-            known = self.compatible[left, right] = self._fits(left, right)
+            known = self.compatible[pair] = self._fits(*divmod(pair, self.beyond))
         return known
 
     def _fits(self, left: int, right: int) -> bool:
@@ -103,43 +110,80 @@ class Encoder:
                 undone, ties, right = right, True, halves[right][0]
 
     def encode_bytes(self, piece: bytes) -> list[int]:
-        if not piece:
-            return []
-        if (whole := self.ranks.get(piece)) is not None:
-            return [whole]
-        fits, text = self.fits, piece.decode("latin-1")
-        first = [token for _, (token, _) in self.automaton.iter_long(text)]
-        if all(map(fits, first, first[1:])):
-            return first  # nothing to step back from
-        longest = [BLANK] * len(piece)
-        for end, (token, size) in self.automaton.iter(text):
-            longest[end - size + 1] = token  # later ends are longer tokens
-        bytes_of, shorter = self.bytes_of, self.shorter
-        open_at = [True] * (len(piece) + 1)
-        out: list[int] = []
-        at, token = 0, longest[0]
-        while at < len(piece):
-            end = at + len(bytes_of[token])
-            if open_at[end] and (not out or fits(out[-1], token)):
-                out.append(token)
-                at = end
-                token = longest[at] if at < len(piece) else BLANK
-                continue
+        return np.frombuffer(self.encode_many([piece])[0], np.int32).tolist()
+
+    def encode_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of every piece, as the bytes of 32-bit numbers.
+
+        The longest tokens of all pieces come from one run of the automaton over the pieces behind each
+        other, with a character between them that no token has.  Where all neighbours are compatible
+        they are the result; the other pieces are worked on from their first misfit.
+        """
+        out = [np.int32(i).tobytes() if i is not None else b"" for i in map(self.ranks.get, pieces)]
+        rest = [n for n, done in enumerate(out) if not done and pieces[n]]
+        if not rest:
+            return out
+        text = BETWEEN.join([pieces[n].decode("latin-1") for n in rest])
+        ends, tokens = map(np.array, zip(*self.automaton.iter_long(text)))
+        limits = np.cumsum([len(pieces[n]) + 1 for n in rest])
+        stops = np.searchsorted(ends, limits)
+        left, right = tokens[:-1], tokens[1:]
+        keys, number = np.unique(left * self.beyond + right, return_inverse=True)
+        fits = np.fromiter(map(self._fits_pair, keys.tolist()), bool, len(keys))
+        misfits = np.flatnonzero(~fits[number]) + 1
+        inner = misfits[~np.isin(misfits, stops)]  # neighbours of one piece
+        owners, firsts = np.unique(np.searchsorted(stops, inner, "right"), return_index=True)
+        wrong = dict(zip(owners.tolist(), inner[firsts].tolist()))
+        flat = tokens.astype(np.int32).tobytes()
+        start = 0
+        for n, (place, stop) in enumerate(zip(rest, stops.tolist())):
+            if n in wrong:
+                kept = tokens[start : wrong[n]].tolist()
+                ids = self._stepped_back(pieces[place].decode("latin-1"), kept, int(tokens[wrong[n]]))
+                out[place] = array("i", ids).tobytes()
+            else:
+                out[place] = flat[4 * start : 4 * stop]
+            start = stop
+        return out
+
+    def _stepped_back(self, text: str, out: list[int], token: int) -> list[int]:
+        """Finish a piece from its first tokens and the next longest one, which doesn't fit behind them."""
+        size, shorter, longest, widest = self.size, self.shorter, self.automaton.iter_long, self.widest
+        known, fits, beyond = self.compatible.get, self._fits_pair, self.beyond
+        closed: set[int] = set()  # places from which the rest can't be encoded
+        at, stop = sum([size[i] for i in out]), len(text)
+        while True:
+            end = at + size[token]
+            if end not in closed:
+                pair = out[-1] * beyond + token if out else BLANK
+                compatible = pair == BLANK or known(pair)
+                if compatible is None:
+                    compatible = fits(pair)
+                if compatible:
+                    if end == stop:
+                        return [*out, token]
+                    out.append(token)
+                    at = end
+                    token = next(longest(text[at : at + widest]))[1]
+                    continue
             token = shorter[token]
             if token == BLANK:
-                open_at[at] = False
+                closed.add(at)
                 token = out.pop()
-                at -= len(bytes_of[token])
-        return out
+                at -= size[token]
 
     def encode(self, text: str, pattern: regex.Pattern) -> list[int]:
-        """Ids of a text or a chunk of one."""
-        pieces = pattern.findall(text)
-        if len(pieces) == 1:
-            return self.encode_bytes(text.encode("utf-8", "replace"))
-        short = {p for p in pieces if len(p) <= LONG}
-        self.pieces.learn(short)
-        return [i for p in pieces for i in (self.pieces[p] if p in short else self.encode_bytes(p.encode("utf-8", "replace")))]
+        """Ids of a text."""
+        return np.frombuffer(self.encode_chunks([text], pattern)[0], np.int32).tolist()
+
+    def encode_chunks(self, texts: list[str], pattern: regex.Pattern) -> list[bytes]:
+        """Ids of every text, as the bytes of 32-bit numbers."""
+        cut = list(map(pattern.findall, texts))
+        single = [len(ps) == 1 for ps in cut]
+        alone = self.encode_many([t.encode("utf-8", "replace") for t, one in zip(texts, single) if one])
+        self.pieces.learn({p for ps, one in zip(cut, single) if not one for p in ps})
+        known, own = self.pieces.__getitem__, iter(alone)
+        return [next(own) if one else b"".join(map(known, ps)) for ps, one in zip(cut, single)]
 
 
 _WORKER: dict[bytes, Encoder] = {}
@@ -167,11 +211,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[st
 
     def make():
         encoder, compiled = _worker_encoder(shared.value, name), regex.compile(pattern)
-        memo = Memo(lambda keys: [array("i", encoder.encode(k, compiled)).tobytes() for k in keys])
+        memo = Memo(lambda keys: encoder.encode_chunks(keys, compiled), 250_000)
 
         def compute(texts: list) -> list[pa.Array]:
             cut = [chunks(t or "") for t in texts]
-            memo.learn({c for cs in cut for c in cs})
+            memo.learn(set(chain.from_iterable(cut)))
             return [_list_array([b"".join(map(memo.__getitem__, cs)) for cs in cut])]
 
         return compute
@@ -180,11 +224,30 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[st
 
 
 def decode(coded: DataFrame, ranks: dict[bytes, int], keep: list[str], ids: str = "ids") -> DataFrame:
-    """Columns ``keep`` and ``bytes``: what the ids stand for; null ids give no bytes."""
-    shared = coded.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
+    """Columns ``keep`` and ``bytes``: what the ids stand for; null ids give no bytes.
+
+    The tokens' bytes lie behind each other in one array; all ids of a batch are looked up at once.
+    """
+    by_id = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, i in ranks.items():
+        by_id[i] = token
+    lengths = np.array([*map(len, by_id)], np.int64)
+    shared = coded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(by_id), np.uint8), lengths))
 
     def make():
-        lookup = shared.value.__getitem__
-        return lambda lists: [pa.array([b"".join(map(lookup, x or ())) for x in lists], pa.binary())]
+        flat, length = shared.value
+        begin = np.cumsum(length) - length
+
+        def compute(lists: pa.ListArray) -> list[pa.Array]:
+            numbers = lists.flatten().to_numpy()
+            each = length[numbers]
+            after = np.cumsum(each)
+            total = int(after[-1]) if len(after) else 0
+            data = flat[np.repeat(begin[numbers] - (after - each), each) + np.arange(total)]
+            stops = np.cumsum([0, *pc.list_value_length(lists).fill_null(0).to_numpy()])
+            offsets = np.concatenate([[0], after])[stops].astype(np.int32)
+            return [pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(data)])]
+
+        return compute
 
-    return over_texts(coded, keep, [T.StructField("bytes", T.BinaryType())], make, ids)
+    return over_texts(coded, keep, [T.StructField("bytes", T.BinaryType())], make, ids, raw=True)
