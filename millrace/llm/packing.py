@@ -16,26 +16,66 @@ no group is ever gathered.  Tokens are written once to the shared folder and rea
 
 from __future__ import annotations
 
+import json
 import os
-from typing import Iterator
+from array import array
+from itertools import chain
+from typing import Callable, Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from ..functions.columns import col
 from .batches import Memo, _pieces, chunks, stored
 
 CAPACITY = 2048
 END = 0  # token behind every document
-SMALL_OFFSETS = 2_000_000  # (task, length) totals that may be broadcast, 16 bytes each
+SMALL_OFFSETS = 500_000  # (task, length) totals that may be broadcast, 16 bytes each
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+def _merge_ranks(definition: dict) -> dict[bytes, int] | None:
+    """Token bytes and ids, if the tokenizer is byte-level BPE whose ids follow the order of its merges.
+
+    Such a tokenizer is fully described by them and the usual pattern; any other gives None.
+    """
+    model, before = definition["model"], definition.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or definition.get("normalizer") or before.get("type") != "ByteLevel":
+        return None
+    if before.get("add_prefix_space") or not before.get("use_regex", True):
+        return None
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    byte_of = {chr(b): b for b in plain}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in byte_of.values())}
+    named = {t["content"] for t in definition.get("added_tokens", [])}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in named}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"].get(a + b, -1) for a, b in pairs]
+    single = max((i for token, i in ranks.items() if len(token) == 1), default=-1)
+    ordered = made == sorted(made) and min(made, default=0) > single
+    return ranks if ordered and len(ranks) == len(made) + 256 else None
+
+
+def _coder(text: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of chunks as bytes.  The general library keeps offsets and strings of every token, most of its
+    time; where merge ranks say the same, the library made for those gives the ids."""
+    if ranks := _merge_ranks(json.loads(text)):
+        pattern = public_tokenizers.PATTERN
+        encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return lambda keys: [array("I", encode(k)).tobytes() for k in keys]
+    tokenizer = Tokenizer.from_str(text)
+    tokenizer.encode_special_tokens = True
+    return lambda keys: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(keys, add_special_tokens=False)]
+
+
 def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: ``keep``, piece, start, length, ids (little-endian unsigned 32-bit numbers)
     and ``task``, ``nth``: the piece is the nth of its length that the task made.
@@ -50,23 +90,14 @@ def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "te
     width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.encode_special_tokens = True
         end, task = np.array([END], "<u4").tobytes(), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
 
-        def make(keys: list[str]) -> list[bytes]:
-            coded = tokenizer.encode_batch_fast(keys, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in coded]
-
-        memo = Memo(make)
+        memo = Memo(_coder(shared.value))
         for batch in batches:
             for part in _pieces(batch, width):
                 cut = [chunks(t or "") for t in part.column(width).to_pylist()]
-                memo.learn({c for cs in cut for c in cs})
+                memo.learn(set(chain.from_iterable(cut)))
                 rows, made = [], []
                 for row, cs in enumerate(cut):
                     ids = b"".join(map(memo.__getitem__, cs)) + end
