@@ -34,6 +34,7 @@ from .batches import _pieces, over_texts
 from .tokens import Table, gram_hashes, laid_out, per_text
 
 ORDER = 4
+LANGUAGES = 1000
 SAMPLE = 1500  # documents per language, about
 SAMPLE_CHARS = 100_000  # of at most so many characters each
 MIN_GRAM = 2  # occurrences of the longest n-grams in the sample
@@ -67,12 +68,16 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """(lang, text) of about SAMPLE documents per language, chosen by a hash of the text."""
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.char_length(text) <= SAMPLE_CHARS))
     usable = usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    rows = usable.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()
+    if len(rows) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
+    counts = {r.lang: r.n for r in rows}
     if not counts:
         return usable
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE / n))])
     draw = F.pmod(F.xxhash64(F.lit(8), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return usable.where(draw < F.element_at(share, F.col("lang")))
+    # copies of a text are drawn together; they teach once
+    return usable.where(draw < F.element_at(share, F.col("lang"))).distinct()
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:

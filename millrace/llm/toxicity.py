@@ -70,13 +70,15 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(toxic, text) of at most SAMPLE labelled documents of each class."""
+    """(toxic, text) of at most SAMPLE labelled documents of each class; of rows that share an id, the one
+    of the greatest text."""
     one = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.lit(10), "label_id"), F.col("label_id")
     ids = one.where("toxic = 1").orderBy(*order).limit(SAMPLE).union(one.where("toxic = 0").orderBy(*order).limit(SAMPLE))
     usable = docs.where(F.col(text).isNotNull() & (F.char_length(text) <= SAMPLE_CHARS))
     # the ids are at most 2 * SAMPLE
-    return usable.join(F.broadcast(ids), F.col(key) == F.col("label_id")).select("toxic", F.col(text).alias("text"))
+    chosen = usable.join(F.broadcast(ids), F.col(key) == F.col("label_id"))
+    return chosen.groupBy("label_id").agg(F.max("toxic").alias("toxic"), F.max(text).alias("text")).drop("label_id")
 
 
 def markers(rows: DataFrame) -> set[str]:
