@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from ..functions.columns import col
 from ..functions.lineage import ensure_checkpoint_dir
 
-ROWS = 1000  # rows handled at once
-CHARS = 4_000_000  # and characters, so that very long texts come in smaller groups
+ROWS = 500  # rows handled at once
+CHARS = 2_000_000  # and characters, so that very long texts come in smaller groups
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -67,6 +67,7 @@ def over_texts(
                 texts = part.column(width)
                 new = compute(texts if raw else texts.to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], *new], names=names)
+        pa.default_memory_pool().release_unused()  # workers live on for later stages
 
     return picked.mapInArrow(run, schema)
 
@@ -89,13 +90,14 @@ class Memo(dict):
     """
 
     LONG = 64
+    BLOCK = 10_000  # keys made in one call, which bounds the arrays behind it
 
-    def __init__(self, make: Callable[[list], Sequence], limit: int = 250_000):
+    def __init__(self, make: Callable[[list], Sequence], limit: int = 150_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
     def learn(self, keys: set) -> None:
-        """Afterwards every one of ``keys`` is present; what is missing is made in one call."""
+        """Afterwards every one of ``keys`` is present; what is missing is made in blocks."""
         if len(self) > self.limit:
             self.old = {k: v for k, v in self.items() if len(k) <= self.LONG}
             self.clear()
@@ -103,7 +105,9 @@ class Memo(dict):
         old = self.old
         self.update((k, old[k]) for k in new if k in old)
         if missing := [k for k in new if k not in old]:
-            self.update(zip(missing, self.make(missing)))
+            for i in range(0, len(missing), self.BLOCK):
+                block = missing[i : i + self.BLOCK]
+                self.update(zip(block, self.make(block)))
 
 
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
