@@ -19,11 +19,12 @@ are sanitised wherever they occur: generalised to ``[TERM]``, as values are to t
 from __future__ import annotations
 
 import re
+from collections import Counter
 from typing import Iterator
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,7 @@ WINDOW = 8
 TERM_LENGTH = 4
 MIN_PLACES = 3
 DISCLOSURE = 0.9
+ANY = ""  # stands for all values together
 SMALL_TERMS = 200_000  # terms that may be sent to every task
 
 # The patterns (fixed values), written so that no start is tried twice in a run of their characters.
@@ -85,22 +87,31 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
 
 
 def _near(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, str, int]]:
-    """(value, term, surroundings) for the words around every value."""
+    """(value, term, surroundings) for the words around every value, and once (ANY, term, 0) for every
+    word that is near some value."""
     reach = WINDOW * 24  # characters in which the words are looked for
+    met: set[int] = set()
     for start, end, kind in spans:
         value = f"{kind}:{text[start:end].lower()}"
-        left = text[max(0, start - reach) : start].split(" ")[-WINDOW - 1 :]
-        right = text[end : end + reach].split(" ")[: WINDOW + 1]
-        place = crc32("\n".join([*left, "", *right]).encode("utf-8", "replace"))
-        for term in TERM.findall(" ".join([*left[1:], " ", *right[:-1]]).lower()):
-            if len(term) >= TERM_LENGTH and not term.isdigit():
-                yield value, term, place
+        left = text[max(0, start - reach) : start].split(" ")[-WINDOW - 1 :][1:]
+        right = text[end : end + reach].split(" ")[: WINDOW + 1][:-1]
+        before, after = " ".join(left), " ".join(right)
+        place = crc32(f"{before}\n{after}".encode("utf-8", "replace"))
+        for part, offset in ((before, start - len(before)), (after, end)):
+            for m in TERM.finditer(part):
+                term = m[0].lower()
+                if len(term) >= TERM_LENGTH and not term.isdigit():
+                    yield value, term, place
+                    if (at := offset + m.start()) not in met:
+                        met.add(at)
+                        yield ANY, term, 0
 
 
 def neighbours(docs: DataFrame, text: str = "text") -> DataFrame:
     """(value, term, place, n): terms near values, with a number for their surroundings.
 
-    At most 2 * WINDOW rows per value: no pairs of all words of a document are made.
+    At most 4 * WINDOW words per value are looked at: no pairs of all words of a document are made.
+    The value ANY counts words that are near some value, each once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,28 +128,58 @@ def neighbours(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("value", "term", "place").agg(F.count("*").alias("n"))
 
 
-def _term_counts(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
-    """(term, n_term, n_all is not kept): occurrences of the terms in all documents."""
-    words = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{Nd}]+"), F.lit(0)))
-    each = docs.select(words.alias("term"))
-    return each.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+def _term_counts(docs: DataFrame, terms: DataFrame, few: bool, text: str) -> DataFrame:
+    """(term, n_term): occurrences of the terms in all documents.
+
+    Few terms are sent to every task, which adds up its own documents; many are joined with the words.
+    """
+    if not few:
+        words = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{Nd}]+"), F.lit(0)))
+        return docs.select(words.alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(r.term for r in terms.collect()))  # at most SMALL_TERMS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, counts = shared.value, Counter()
+        for batch in batches:
+            for part in _pieces(batch, 0):
+                for body in part.column(0).to_pylist():
+                    if body:
+                        counts.update(filter(wanted.__contains__, TERM.findall(body.lower())))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n_term"]
+        )
+
+    partial = docs.select(col(text).alias("text")).mapInArrow(run, "term string, n_term bigint")
+    return partial.groupBy("term").agg(F.sum("n_term").alias("n_term"))
+
+
+def _disclosure(n_pair: Column, n_term: Column, n_value: Column, size: float) -> Column:
+    pmi = F.log(n_pair * F.lit(size) / (F.greatest(n_term, n_pair) * n_value))
+    return pmi / F.log(F.lit(size) / n_value)
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(term): terms that disclose some protected value; counted over all documents."""
+    """(term): terms that disclose some protected value; counted over all documents.
+
+    A term occurs at least as often as it occurs near values.  That bound settles nearly all terms, so
+    only the others are counted in the whole corpus.
+    """
     near = stored(neighbours(docs, text))
-    pairs = near.groupBy("value", "term").agg(F.sum("n").alias("n_pair"), F.count("*").alias("places"))
-    candidates = pairs.where(F.col("places") >= MIN_PLACES)
-    terms = stored(candidates.select("term").distinct())
-    if terms.isEmpty():
+    size = float(docs.agg(F.sum(F.size(F.split(F.trim(F.col(text)), " ")))).first()[0] or 0) + 1.0
+    values = near.where(F.col("value") != ANY)
+    pairs = values.groupBy("value", "term").agg(F.sum("n").alias("n_pair"), F.count("*").alias("places"))
+    n_values = values.groupBy("value").agg(F.greatest(F.sum("n") / (2 * WINDOW), F.lit(1.0)).alias("n_value"))
+    n_near = near.where(F.col("value") == ANY).groupBy("term").agg(F.sum("n").alias("n_near"))
+    candidates = pairs.where(F.col("places") >= MIN_PLACES).join(n_values, "value").join(n_near, "term")
+    bound = _disclosure(F.col("n_pair"), F.col("n_near"), F.col("n_value"), size)
+    candidates = stored(candidates.where(bound >= DISCLOSURE))
+    terms = candidates.select("term").distinct()
+    n_terms = terms.count()
+    if not n_terms:
         return terms
-    counts = _term_counts(docs, F.broadcast(terms) if terms.count() <= SMALL_TERMS else terms, text)
-    size = docs.agg(F.sum(F.size(F.split(F.trim(F.col(text)), " "))).cast("double")).first()[0]
-    values = near.groupBy("value").agg((F.sum("n") / (2 * WINDOW)).alias("n_value"))
-    n_value = F.greatest("n_value", F.lit(1.0))
-    pmi = F.log(F.col("n_pair") * F.lit(size) / (F.greatest("n_term", "n_pair") * n_value))
-    scored = candidates.join(counts, "term").join(values, "value").withColumn("disclosure", pmi / F.log(F.lit(size) / n_value))
-    return stored(scored.where(F.col("disclosure") >= DISCLOSURE).select("term").distinct())
+    counts = _term_counts(docs, terms, n_terms <= SMALL_TERMS, text)
+    exact = _disclosure(F.col("n_pair"), F.col("n_term"), F.col("n_value"), size)
+    return stored(candidates.join(counts, "term").where(exact >= DISCLOSURE).select("term").distinct())
 
 
 FIELDS = [
