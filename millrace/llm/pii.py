@@ -19,6 +19,7 @@ are sanitised wherever they occur: generalised to ``[TERM]``, as values are to t
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from typing import Iterator
 from zlib import crc32
@@ -89,28 +90,32 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
 def _near(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, str, int]]:
     """(value, term, surroundings) for the words around every value, and once (ANY, term, 0) for every
     word that is near some value."""
-    reach = WINDOW * 24  # characters in which the words are looked for
+    if not spans:
+        return
+    words = [(m.start(), m.end()) for m in TERM.finditer(text)]
+    starts, ends = [a for a, _ in words], [b for _, b in words]
     met: set[int] = set()
     for start, end, kind in spans:
         value = f"{kind}:{text[start:end].lower()}"
-        left = text[max(0, start - reach) : start].split(" ")[-WINDOW - 1 :][1:]
-        right = text[end : end + reach].split(" ")[: WINDOW + 1][:-1]
-        before, after = " ".join(left), " ".join(right)
-        place = crc32(f"{before}\n{after}".encode("utf-8", "replace"))
-        for part, offset in ((before, start - len(before)), (after, end)):
-            for m in TERM.finditer(part):
-                term = m[0].lower()
-                if len(term) >= TERM_LENGTH and not term.isdigit():
-                    yield value, term, place
-                    if (at := offset + m.start()) not in met:
-                        met.add(at)
-                        yield ANY, term, 0
+        # words that reach into the value are none
+        before, after = bisect_right(ends, start), bisect_left(starts, end)
+        near = [*range(max(0, before - WINDOW), before), *range(after, min(len(words), after + WINDOW))]
+        around = [text[a:b] for a, b in map(words.__getitem__, near)]
+        left = min(before, WINDOW)
+        place = crc32("\n".join([" ".join(around[:left]), " ".join(around[left:])]).encode("utf-8", "replace"))
+        for i, word in zip(near, around):
+            term = word.lower()
+            if len(term) >= TERM_LENGTH and not term.isdigit():
+                yield value, term, place
+                if i not in met:
+                    met.add(i)
+                    yield ANY, term, 0
 
 
 def neighbours(docs: DataFrame, text: str = "text") -> DataFrame:
     """(value, term, place, n): terms near values, with a number for their surroundings.
 
-    At most 4 * WINDOW words per value are looked at: no pairs of all words of a document are made.
+    At most 2 * WINDOW words per value are looked at: no pairs of all words of a document are made.
     The value ANY counts words that are near some value, each once.
     """
 

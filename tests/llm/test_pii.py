@@ -104,3 +104,19 @@ def test_query(spark, data):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[2] == k for s in base) for k in range(4)]
         assert r.base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
         assert set(named) <= set(r.spans.split(","))
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Zephyrine boss@corp.example.com", {"zephyrine"}),
+        ("boss@corp.example.com Zephyrine", {"zephyrine"}),
+        ("zero1 one1 two2 three four five seven eight nine9 boss@corp.example.com", {"one1", "two2", "three", "four", "five", "seven", "eight", "nine9"}),
+        ("boss@corp.example.com zero1 one1 two2 three four five seven eight nine9", {"zero1", "one1", "two2", "three", "four", "five", "seven", "eight"}),
+        (" ".join(c * 300 for c in "abcdefgh") + " boss@corp.example.com", {c * 300 for c in "abcdefgh"}),
+    ],
+)
+def test_whole_words_around_a_value(text, want):
+    near = list(pii._near(text, pii.base_spans(text)))
+    assert {term for value, term, _ in near if value != pii.ANY} == want
+    assert {term for value, term, _ in near if value == pii.ANY} == want
