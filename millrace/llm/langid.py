@@ -35,9 +35,8 @@ from .tokens import Table, gram_hashes, laid_out, per_text
 
 ORDER = 4
 LANGUAGES = 1000
-SAMPLE = 1500  # documents per language, about
-SAMPLE_CHARS = 100_000  # of at most so many characters each
-MIN_GRAM = 2  # occurrences of the longest n-grams in the sample
+SAMPLE = 1500  # distinct texts per language, about, besides the root of their number
+MIN_GRAM = 2  # occurrences of the longest n-grams in samples of SAMPLE texts or more
 DISCOUNT = 0.75
 EVIDENCE = 40
 CALIBRATION = 6.0
@@ -65,16 +64,18 @@ class Model:
 
 
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, text) of about SAMPLE documents per language, chosen by a hash of the text."""
-    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.char_length(text) <= SAMPLE_CHARS))
+    """(lang, text) of about SAMPLE distinct texts per language and the root of their number, chosen by a
+    hash of the text; all of a language that has no more."""
+    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     usable = usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    rows = usable.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()
+    distinct = usable.select("lang", F.xxhash64("text").alias("h")).distinct()
+    rows = distinct.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()
     if len(rows) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages to learn")
     counts = {r.lang: r.n for r in rows}
     if not counts:
         return usable
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE / n))])
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, (SAMPLE + n**0.5) / n))])
     draw = F.pmod(F.xxhash64(F.lit(8), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # copies of a text are drawn together; they teach once
     return usable.where(draw < F.element_at(share, F.col("lang"))).distinct()
@@ -141,10 +142,12 @@ def _hashes_of(grams: list[str]) -> np.ndarray:
 
 def train(rows: DataFrame) -> Model:
     """Models of every language in ``rows`` (lang, text).  What reaches the driver are the n-grams of the
-    sample that occur at least MIN_GRAM times, or once in a small sample: bounded by SAMPLE."""
+    sample that occur at least MIN_GRAM times, or once in a sample under SAMPLE texts: bounded by the sample."""
     counts = gram_counts(rows)
+    sizes = rows.where("lang is not null").groupBy("lang").agg(F.count("*").alias("texts"))
+    small = [r.lang for r in sizes.where(F.col("texts") < SAMPLE).collect()]  # at most LANGUAGES
     by_lang: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in counts.where(f"n >= {MIN_GRAM} or length(gram) < {ORDER}").collect():
+    for r in counts.where((F.col("n") >= MIN_GRAM) | (F.length("gram") < ORDER) | F.col("lang").isin(small)).collect():
         by_lang[r.lang][r.gram] = r.n
     languages = sorted(by_lang)
     parts = [_kneser_ney(by_lang[lang]) for lang in languages]
