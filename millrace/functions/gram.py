@@ -1,20 +1,21 @@
 """Cross-product matrices of many columns from one scan.
 
 Up to a dozen columns the products are ordinary aggregates.  Beyond that each task multiplies its
-own batches with numpy and emits one small matrix, and the matrices are added by Spark; only p x p
-numbers reach the driver, whatever the number of rows.
+own batches with numpy and emits one array per matrix; the arrays are added in a tree, so that a few
+p x p matrices reach the driver, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import correlation, num
+from .treesum import rows_of, tree_sum
 
 EXPRESSION_WIDTH = 12
 
@@ -26,27 +27,17 @@ def _slim(df: DataFrame, columns: Sequence[str], shift: Sequence[float]) -> Data
 def _partials(slim: DataFrame, p: int, blocks) -> dict[str, np.ndarray]:
     names = [f"g{i}" for i in range(p)]
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = None
-        for pdf in batches:
-            x = pdf[names].to_numpy(dtype=float)
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1).astype(float)
             part = blocks(x)
             acc = part if acc is None else {k: acc[k] + part[k] for k in part}
         if acc is not None:
-            for k, m in acc.items():
-                i, j = np.indices(m.shape)
-                yield pd.DataFrame({"block": k, "i": i.ravel(), "j": j.ravel(), "v": m.ravel()})
-
-    rows = (
-        slim.mapInPandas(run, "block string, i int, j int, v double")
-        .groupBy("block", "i", "j")
-        .agg(F.sum("v").alias("v"))
-        .collect()
-    )
-    out: dict[str, np.ndarray] = {}
-    for r in rows:
-        out.setdefault(r["block"], np.zeros((p, p)))[r["i"], r["j"]] = r["v"]
-    return out
+            yield rows_of(acc)
+
+    sums = tree_sum(slim.mapInArrow(run, "block string, v array<double>"))
+    return {k: v.reshape(p, p) for k, v in sums.items()}
 
 
 def gram_matrix(df: DataFrame, columns: Sequence[str], shift: Sequence[float] | None = None) -> tuple[int, np.ndarray]:
