@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, packing, pii, quality, sharding, simhash, toxicity, urlrules
+from . import bpe, fim, fingerprints, langid, lm, packing, pii, quality, sharding, simhash, toxicity, urlrules, whiten
 from .batches import stored
 
 SHARDS = 40
@@ -144,11 +144,36 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    # held out: remainder 2; rows without an id teach nothing
+    model = lm.train(docs.where(_remainder(7) != 2))
+    marked = docs.select("doc_id", F.coalesce(_remainder(7) == 2, F.lit(False)).alias("held_out"), "text")
+    return lm.score(marked, model, ["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    return whiten.apply(vectors, whiten.fit(vectors), ["vec_id"])
+
+
+def op13_fim(spark: SparkSession, folder: str) -> DataFrame:
+    made = fim.transform(_documents(spark, folder), ["doc_id"])
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    made = made.withColumn("output_sha256", sha("output"))
+    back = fim.restore(made, ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"])
+    return back.withColumn("restored_sha256", sha("restored")).drop("restored")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_simhash, op3_packing, op4_bpe, op5_quality,
         op6_url_rules, op7_sharding, op8_language, op9_pii, op10_toxicity,
+        op11_lm, op12_whitening, op13_fim,
     )
 }
 ORACLES = {"op6_url_rules": _op6_sql()}
