@@ -385,7 +385,8 @@ class NeighbourModel:
         else:
             power = float(p.get("p", 2))
         found = knn_predict(
-            self.train, df, self.key, self.key, self.features, self.target, int(p.get("n_neighbors", 5)), p.get("weights", "uniform"), power
+            self.train, df, self.key, self.key, self.features, self.target, int(p.get("n_neighbors", 5)),
+            p.get("weights", "uniform"), power, mode=p.get("mode", "exact"),
         )
         return df.join(found, self.key, "left")
 

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,6 +121,64 @@ def _box_gaps(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, p: float, partial:
     return near ** (1.0 / p) * (1.0 - 1e-9), far ** (1.0 / p) * (1.0 + 1e-9)
 
 
+def vectors(batch: pa.RecordBatch | pa.Table, width: int) -> np.ndarray:
+    """Column ``v`` as a matrix; missing entries are NaN."""
+    column = batch.column("v")
+    flat = pa.concat_arrays([c.flatten() for c in column.chunks]) if isinstance(column, pa.ChunkedArray) else column.flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
+
+
+def complete(df: DataFrame, width: int) -> DataFrame:
+    """Rows without missing entries.
+
+    A filter over many columns would do, but the optimiser restates it for every subset of their names.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~np.isnan(vectors(batch, width)).any(axis=1)))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _with(batch: pa.RecordBatch, **more) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, more.values())], names=[*batch.schema.names, *more])
+
+
+def _boxes(blocked: DataFrame, width: int) -> pd.DataFrame:
+    """block, n, lo, hi of every block: one partial row per task and block, merged per block."""
+    ddl = "block bigint, n bigint, lo array<double>, hi array<double>"
+
+    def rows(found: dict[int, tuple]) -> pd.DataFrame:
+        return pd.DataFrame([(b, n, lo, hi) for b, (n, lo, hi) in found.items()], columns=["block", "n", "lo", "hi"])
+
+    def joined(a: tuple | None, n: int, lo: np.ndarray, hi: np.ndarray) -> tuple:
+        return (n, lo, hi) if a is None else (a[0] + n, np.fmin(a[1], lo), np.fmax(a[2], hi))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, block = vectors(batch, width), batch.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            names, first, n = np.unique(block[order], return_index=True, return_counts=True)
+            lo, hi = np.fmin.reduceat(x[order], first, axis=0), np.fmax.reduceat(x[order], first, axis=0)
+            for i, b in enumerate(names.tolist()):
+                found[b] = joined(found.get(b), int(n[i]), lo[i], hi[i])
+        if found:
+            yield pa.RecordBatch.from_pandas(rows(found), preserve_index=False)
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = None
+        for r in pdf.itertuples():
+            total = joined(total, r.n, np.asarray(r.lo, float), np.asarray(r.hi, float))
+        return rows({int(pdf["block"].iloc[0]): total})
+
+    merged = blocked.select("block", "v").mapInArrow(partial, ddl).groupBy("block").applyInPandas(merge, ddl)
+    return merged.toPandas().sort_values("block")
+
+
 def knn_join(
     queries: DataFrame,
     corpus: DataFrame,
@@ -133,25 +192,33 @@ def knn_join(
     allow_missing: bool = False,
     block_rows: int | None = None,
     query_rows: int | None = None,
+    mode: str = "exact",
+    recall: float = 0.95,
 ) -> DataFrame:
     """(query_key, neighbour, distance, rank, carried columns) for the k nearest corpus rows.
 
     Ties are broken by corpus key.  ``allow_missing`` switches to nan-Euclidean distance; otherwise
-    rows with a missing coordinate are left out.
+    rows with a missing coordinate are left out.  Mode ``approx`` finds about ``recall`` of them by
+    random-projection buckets; it is meant for wide vectors, where boxes no longer prune.
     """
+    if mode == "approx":
+        if allow_missing:
+            raise ValueError("mode approx needs complete rows")
+        from .approximate import knn_approx
+
+        return knn_approx(queries, corpus, query_key, corpus_key, columns, k, p, exclude_self, carry, recall)
+    if mode != "exact":
+        raise ValueError("mode must be exact or approx")
     block_rows, query_rows = block_rows or BLOCK_ROWS, query_rows or QUERY_ROWS
     spark = corpus.sparkSession
     d = len(columns)
-    feats = [f"f{j}" for j in range(d)]
     extra = [f"c{i}" for i in range(len(carry))]
 
     def slim(df: DataFrame, key: str, more: Sequence[str]) -> DataFrame:
-        out = df.select(
-            col(key).alias("key"),
-            *[num(df, c).alias(f) for c, f in zip(columns, feats)],
-            *[col(c).alias(x) for c, x in zip(more, extra)],
-        )
-        return out if allow_missing else out.na.drop(subset=feats)
+        # one array, since hundreds of columns make the optimiser slow
+        v = F.array(*[num(df, c).cast("double") for c in columns]).alias("v")
+        out = df.select(col(key).alias("key"), v, *[col(c).alias(x) for c, x in zip(more, extra)])
+        return out if allow_missing else complete(out, d)
 
     base, ask = slim(corpus, corpus_key, carry), slim(queries, query_key, ())
     q_type, c_type = dtype_of(ask, "key").simpleString(), dtype_of(base, "key").simpleString()
@@ -163,17 +230,18 @@ def knn_join(
     block_rows = max(block_rows, math.ceil(2 * n / MAX_BLOCKS))
 
     # --- blocks
-    pattern = F.concat(*[F.when(F.col(f).isNull(), "0").otherwise("1") for f in feats]) if allow_missing else F.lit("")
+    mark = F.transform("v", lambda x: F.when(x.isNull(), "0").otherwise("1"))
+    base = base.withColumn("pattern", F.array_join(mark, "") if allow_missing else F.lit(""))
     pure, leaves = True, math.ceil(n / block_rows)
     if allow_missing:
         # blocks hold one pattern of missing coordinates each, unless there are too many patterns
-        patterns = base.select(pattern.alias("p")).distinct().limit(MAX_PATTERNS + 1).count()
+        patterns = base.select("pattern").distinct().limit(MAX_PATTERNS + 1).count()
         pure = patterns <= MAX_PATTERNS
         leaves = max(1, min(leaves, MAX_BLOCKS // (2 * patterns)))
     if leaves > 1:
         share = min(1.0, min(SAMPLE_LIMIT, 32 * leaves) / n)
-        sample = base.where(hash_unit("key", "tree") < F.lit(share)).select(*feats).limit(2 * SAMPLE_LIMIT).toPandas()
-        tree = build_tree(sample.to_numpy(dtype=float), leaves) if len(sample) else None
+        sample = base.where(hash_unit("key", "tree") < F.lit(share)).select("v").limit(2 * SAMPLE_LIMIT).toArrow()
+        tree = build_tree(vectors(sample, d), leaves) if sample.num_rows else None
     else:
         tree = None
     if tree is None:
@@ -181,12 +249,11 @@ def knn_join(
     else:
 
         def place(batches):
-            for pdf in batches:
-                pdf["leaf"] = tree.leaves(pdf[feats].to_numpy(dtype=float))
-                yield pdf
+            for batch in batches:
+                yield _with(batch, leaf=tree.leaves(vectors(batch, d)))
 
-        placed = base.mapInPandas(place, T.StructType(base.schema.fields + [T.StructField("leaf", T.LongType())]))
-    placed = materialise(placed.withColumn("pattern", pattern))
+        placed = base.mapInArrow(place, T.StructType(base.schema.fields + [T.StructField("leaf", T.LongType())]))
+    placed = materialise(placed)
     group = ["leaf", "pattern"] if pure else ["leaf"]
     sizes = sorted(
         tuple(r) for r in placed.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -201,33 +268,22 @@ def knn_join(
     plan = spark.createDataFrame(rows, f"{names_ddl}, first bigint, pieces bigint")
     # the plan has one row per leaf, bounded by MAX_BLOCKS
     blocked = placed.join(F.broadcast(plan), group).select(
-        (F.col("first") + F.pmod(F.xxhash64("key"), F.col("pieces"))).alias("block"), "key", *feats, *extra
+        (F.col("first") + F.pmod(F.xxhash64("key"), F.col("pieces"))).alias("block"), "key", "v", *extra
     )
 
     # --- bounding boxes
     if n_blocks > 1:
-        boxes = (
-            blocked.groupBy("block")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.min(f).alias(f"lo_{f}") for f in feats],
-                *[F.max(f).alias(f"hi_{f}") for f in feats],
-            )
-            .toPandas()
-            .sort_values("block")
-        )
-        ids = boxes["block"].to_numpy(dtype=np.int64)
-        counts = boxes["n"].to_numpy(dtype=float)
-        lo = boxes[[f"lo_{f}" for f in feats]].to_numpy(dtype=float)
-        hi = boxes[[f"hi_{f}" for f in feats]].to_numpy(dtype=float)
+        boxes = _boxes(blocked, d)
+        ids, counts = boxes["block"].to_numpy(dtype=np.int64), boxes["n"].to_numpy(dtype=float)
+        lo, hi = (np.stack([np.asarray(v, float) for v in boxes[c]]) for c in ("lo", "hi"))
         shared = spark.sparkContext.broadcast((ids, counts, lo, hi))
     need = k + (1 if exclude_self else 0)
     prune = pure
 
     def first_block(batches):
         ids, counts, lo, hi = shared.value
-        for pdf in batches:
-            q = pdf[feats].to_numpy(dtype=float)
+        for batch in batches:
+            q = vectors(batch, d)
             best = np.empty(len(q), dtype=np.int64)
             bound = np.full(len(q), np.inf)
             step = max(8, BOX_CELLS // len(ids))
@@ -242,37 +298,34 @@ def knn_join(
                 at = np.argmax(reach, axis=1)
                 limit = np.take_along_axis(far, np.take_along_axis(order, at[:, None], 1), 1)[:, 0]
                 bound[s : s + step] = np.where(enough, limit, np.inf)
-            pdf["block"], pdf["bound"] = best, bound
-            yield pdf
+            yield _with(batch, block=best, bound=bound)
 
     def other_blocks(batches):
         ids, counts, lo, hi = shared.value
-        for pdf in batches:
-            q = pdf[feats].to_numpy(dtype=float)
+        for batch in batches:
+            q, own = vectors(batch, d), batch.column("block").to_numpy()
+            bound = batch.column("bound").to_numpy(zero_copy_only=False).astype(float)
+            slim = batch.select(["key", "v"])
             step = max(8, BOX_CELLS // len(ids))
             for s in range(0, len(q), step):
-                part = pdf.iloc[s : s + step]
+                part = slice(s, s + step)
+                keep = np.ones((len(q[part]), len(ids)), dtype=bool)
                 if prune:
-                    near, _ = _box_gaps(q[s : s + step], lo, hi, p, allow_missing)
-                    keep = near <= part["bound"].to_numpy(dtype=float)[:, None]
-                else:
-                    keep = np.ones((len(part), len(ids)), dtype=bool)
-                keep &= ids[None, :] != part["block"].to_numpy()[:, None]
+                    keep = _box_gaps(q[part], lo, hi, p, allow_missing)[0] <= bound[part, None]
+                keep &= ids[None, :] != own[part, None]
                 r, b = np.nonzero(keep)
                 if len(r):
-                    out = part.iloc[r][["key", *feats]].copy()
-                    out["block"] = ids[b]
-                    yield out
+                    yield _with(slim.take(pa.array(r + s)), block=ids[b])
 
     def nearest(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         frames = []
         if len(left) and len(right):
             right = right.sort_values("key", kind="stable")
-            c, keys = right[feats].to_numpy(dtype=float), right["key"].to_numpy()
+            c, keys = np.stack([np.asarray(v, float) for v in right["v"]]), right["key"].to_numpy()
             take = min(k, len(c))
             for s in range(0, len(left), 256):
                 part = left.iloc[s : s + 256]
-                dist = _distances(part[feats].to_numpy(dtype=float), c, p, allow_missing)
+                dist = _distances(np.stack([np.asarray(v, float) for v in part["v"]]), c, p, allow_missing)
                 if exclude_self:
                     dist[part["key"].to_numpy()[:, None] == keys[None, :]] = np.nan
                 kth = np.partition(np.where(np.isnan(dist), np.inf, dist), take - 1, axis=1)[:, take - 1]
@@ -301,8 +354,8 @@ def knn_join(
         right = blocked.join(F.broadcast(lanes), "block").withColumn(
             "lane", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lanes") - 1))
         )
-        pairs = left.select("block", "lane", "key", *feats).groupBy("block", "lane").cogroup(
-            right.select("block", "lane", "key", *feats, *extra).groupBy("block", "lane")
+        pairs = left.select("block", "lane", "key", "v").groupBy("block", "lane").cogroup(
+            right.select("block", "lane", "key", "v", *extra).groupBy("block", "lane")
         )
         return pairs.applyInPandas(nearest, out_ddl)
 
@@ -311,15 +364,15 @@ def knn_join(
         found = visit(ask.withColumn("block", F.lit(0).cast("bigint")))
     else:
         fields = ask.schema.fields + [T.StructField("block", T.LongType()), T.StructField("bound", T.DoubleType())]
-        start = materialise(ask.mapInPandas(first_block, T.StructType(fields)))
+        start = materialise(ask.mapInArrow(first_block, T.StructType(fields)))
         opening = materialise(visit(start))
         kth = opening.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
         kth = kth.select(F.col("query").alias("key"), F.when(F.col("n") >= k, F.col("far")).alias("far"))
         tightened = start.join(kth, "key", "left").select(
-            "key", *feats, "block", F.least(F.col("bound"), F.coalesce("far", F.lit(float("inf")))).alias("bound")
+            "key", "v", "block", F.least(F.col("bound"), F.coalesce("far", F.lit(float("inf")))).alias("bound")
         )
         fields = ask.schema.fields + [T.StructField("block", T.LongType())]
-        rest = materialise(tightened.mapInPandas(other_blocks, T.StructType(fields)))
+        rest = materialise(tightened.mapInArrow(other_blocks, T.StructType(fields)))
         found = opening.unionByName(visit(rest))
     ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return _named(ranked, query_key, carry)
@@ -346,9 +399,10 @@ def knn_predict(
     weights: str = "uniform",
     p: float = 2.0,
     output: str = "prediction",
+    mode: str = "exact",
 ) -> DataFrame:
     """Mean target of the k nearest training rows, optionally weighted by inverse distance."""
-    near = knn_join(test, train, test_key, train_key, features, k, p, carry=[target])
+    near = knn_join(test, train, test_key, train_key, features, k, p, carry=[target], mode=mode)
     y = F.col(target).cast("double")
     if weights == "uniform":
         value = F.avg(y)

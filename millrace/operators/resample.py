@@ -55,33 +55,39 @@ def _synthesise(
 ) -> DataFrame:
     """Points on the segments from each row to hash-chosen ones of its neighbours.
 
-    ``near`` carries the neighbours' features; at most k neighbours are gathered per row.
+    ``near`` carries the neighbours' vectors (:data:`POINT`); at most k neighbours are gathered per row.
     """
-    choices = near.groupBy(col(key).alias("__key")).agg(
-        F.array_sort(F.collect_list(F.struct("rank", *[col(f).alias(f"n{i}") for i, f in enumerate(features)]))).alias("__near")
-    )
-    base = rows.select(col(key).alias("__key"), *[num(rows, f).alias(f"b{i}") for i, f in enumerate(features)], *[col(c) for c in carry], copies.alias("__copies"))
+    choices = near.groupBy(col(key).alias("__key")).agg(F.array_sort(F.collect_list(F.struct("rank", POINT))).alias("__near"))
+    base = _pointed(rows, features).select(col(key).alias("__key"), POINT, *[col(c) for c in carry], copies.alias("__copies"))
     seeds = base.where(F.col("__copies") > 0).join(choices, "__key")
     copy = seeds.select("*", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("copy"))
     tag = F.concat_ws(":", F.col("__key").cast("string"), F.col("copy").cast("string"))
     picked = copy.withColumn(
         "__pick", F.get(F.col("__near"), hash_int(tag, f"{seed}pick", F.size("__near").cast("bigint")).cast("int"))
     ).withColumn("__gap", hash_unit(tag, f"{seed}gap"))
-    return picked.select(
-        F.col("__key").alias("seed_key"),
-        "copy",
-        *[(F.col(f"b{i}") + F.col("__gap") * (F.col("__pick")[f"n{i}"] - F.col(f"b{i}"))).alias(f) for i, f in enumerate(features)],
-        *[col(c) for c in carry],
-    )
+    made = F.zip_with(POINT, F.col("__pick")[POINT], lambda a, b: a + F.col("__gap") * (b - a))
+    placed = picked.select(F.col("__key").alias("seed_key"), "copy", made.alias("__made"), *[col(c) for c in carry])
+    return placed.select("seed_key", "copy", *[F.get("__made", F.lit(i)).alias(f) for i, f in enumerate(features)], *[col(c) for c in carry])
+
+
+POINT = "__point"  # a row's features as one array: plans with hundreds of columns are slow to optimise
+
+
+def _pointed(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return df.withColumn(POINT, F.array(*[num(df, f).cast("double") for f in features]))
+
+
+def _own_neighbours(rows: DataFrame, key: str, features: Sequence[str], k: int, mode: str) -> DataFrame:
+    return knn_join(rows, _pointed(rows, features), key, key, features, k, exclude_self=True, carry=[POINT], mode=mode)
 
 
 def smote(
-    df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42
+    df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42, mode: str = "exact"
 ) -> DataFrame:
     """Synthetic rows that bring every smaller class up to the largest.
 
     Returns only the new rows as (seed_key, copy, features..., label); append them to the table with
-    :func:`append_synthetic`.
+    :func:`append_synthetic`.  ``mode`` is that of the neighbour join.
     """
     sizes = stratum_sizes(df, label)
     most = max(sizes.values())
@@ -90,7 +96,7 @@ def smote(
         if n == most or n < 2:
             continue
         rows = df.where(stratum(label) == F.lit(s))
-        near = knn_join(rows, rows, key, key, features, min(k, n - 1), exclude_self=True, carry=features)
+        near = _own_neighbours(rows, key, features, min(k, n - 1), mode)
         made = _synthesise(rows, near, key, features, _copies_by_rank(rows, key, n, most - n, seed), seed, [label])
         out = made if out is None else out.unionByName(made)
     return out if out is not None else _empty(df, key, features, [label])
@@ -115,7 +121,7 @@ def append_synthetic(df: DataFrame, made: DataFrame, key: str, features: Sequenc
 
 
 def adasyn(
-    df: DataFrame, key: str, features: Sequence[str], label: str, minority: object, k: int = 5, seed: int = 42
+    df: DataFrame, key: str, features: Sequence[str], label: str, minority: object, k: int = 5, seed: int = 42, mode: str = "exact"
 ) -> DataFrame:
     """Synthetic minority rows, more where a row's neighbours belong to other classes.
 
@@ -130,7 +136,7 @@ def adasyn(
     rows = df.where(stratum(label) == F.lit(name))
     if total == 0 or sizes[name] < 2:
         return _empty(df, key, features, [label])
-    around = knn_join(rows, df, key, key, features, k, exclude_self=True, carry=[label])
+    around = knn_join(rows, df, key, key, features, k, exclude_self=True, carry=[label], mode=mode)
     ratio = around.groupBy(col(key)).agg(
         F.avg((stratum(label) != F.lit(name)).cast("double")).alias("__ratio")
     )
@@ -138,14 +144,14 @@ def adasyn(
     if not whole:
         return _empty(df, key, features, [label])
     weighted = rows.join(ratio, key)
-    near = knn_join(rows, rows, key, key, features, min(k, sizes[name] - 1), exclude_self=True, carry=features)
+    near = _own_neighbours(rows, key, features, min(k, sizes[name] - 1), mode)
     copies = F.round(F.col("__ratio") / F.lit(whole) * F.lit(float(total))).cast("int")
     return _synthesise(weighted, near, key, features, copies, seed, [label])
 
 
-def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str) -> DataFrame:
+def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str, mode: str = "exact") -> DataFrame:
     """Keys of rows that are each other's nearest neighbour across classes."""
-    near = knn_join(df, df, key, key, features, 1, exclude_self=True, carry=[label])
+    near = knn_join(df, df, key, key, features, 1, exclude_self=True, carry=[label], mode=mode)
     mine = df.select(col(key).alias("a"), stratum(label).alias("a_label"))
     one = near.select(col(key).alias("a"), F.col("neighbour").alias("b"), stratum(label).alias("b_label")).join(mine, "a")
     one = one.where(F.col("a_label") != F.col("b_label")).select("a", "b")
@@ -154,18 +160,18 @@ def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str) ->
 
 
 def smote_tomek(
-    df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42
+    df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42, mode: str = "exact"
 ) -> DataFrame:
     """SMOTE, then drop both ends of every cross-class mutual-nearest pair."""
     from ..functions.lineage import materialise
 
-    both = materialise(append_synthetic(df, smote(df, key, features, label, k, seed), key, features, label))
-    links = tomek_links(both, "row_id", features, label)
+    both = materialise(append_synthetic(df, smote(df, key, features, label, k, seed, mode), key, features, label))
+    links = tomek_links(both, "row_id", features, label, mode)
     return both.join(links, "row_id", "left_anti")
 
 
 def smote_regression(
-    df: DataFrame, key: str, features: Sequence[str], target: str, bins: int = 5, k: int = 5, seed: int = 42
+    df: DataFrame, key: str, features: Sequence[str], target: str, bins: int = 5, k: int = 5, seed: int = 42, mode: str = "exact"
 ) -> DataFrame:
     """Balance the quantile bins of a numeric target; a synthetic row takes its bin's mean target.
 
@@ -173,7 +179,7 @@ def smote_regression(
     """
     edges = quantile_edges(df, target, bins, duplicates="drop")
     binned = df.withColumn("__bin", F.expr(bin_expr(num_sql(df, target), edges))).where(F.col("__bin").isNotNull())
-    made = smote(binned, key, features, "__bin", k, seed)
+    made = smote(binned, key, features, "__bin", k, seed, mode)
     means = binned.groupBy("__bin").agg(F.avg(num(df, target)).alias(target))
     # one row per bin
     return made.join(F.broadcast(means), "__bin").select("seed_key", "copy", *[col(f) for f in features], col(target), F.col("__bin").alias("bin"))

@@ -116,7 +116,7 @@ def class_weight(t):
 
 # ---------------------------------------------------------------- neighbours
 
-WIDTH = 8
+WIDTH = 64
 FEATS = [f"e{i}" for i in range(WIDTH)]
 VEC = f"(SELECT vec_id, label, label = 0 AS rare, CAST(list_slice(embedding, 1, {WIDTH}) AS DOUBLE[]) AS v FROM embeddings)"
 
@@ -158,18 +158,28 @@ def knn_reg_distance(t):
     return neighbours.knn_predict(train, test, "vec_id", "vec_id", FEATS, "label", 5, weights="distance")
 
 
-_GAPS = "(SELECT vec_id, embedding[1]::DOUBLE AS e0, embedding[2]::DOUBLE AS e1, embedding[3]::DOUBLE AS e2, CASE WHEN vec_id % 5 = 0 THEN NULL ELSE embedding[4]::DOUBLE END AS e3 FROM embeddings)"
+_REST = "list_concat(list_slice(embedding, 1, 3), list_slice(embedding, 5, 64))"
+_CELLS = ", ".join("CASE WHEN vec_id % 5 = 0 THEN NULL ELSE embedding[4]::DOUBLE END AS e3" if i == 3 else f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in range(WIDTH))
 
 
 @query(
     "knn_impute",
-    f"""WITH g AS {_GAPS}, p AS (SELECT a.vec_id AS q, b.e3 AS y, row_number() OVER (PARTITION BY a.vec_id ORDER BY (a.e0 - b.e0) * (a.e0 - b.e0) + (a.e1 - b.e1) * (a.e1 - b.e1) + (a.e2 - b.e2) * (a.e2 - b.e2), b.vec_id) AS r
- FROM g a, g b WHERE a.e3 IS NULL AND b.e3 IS NOT NULL) SELECT vec_id, e0, e1, e2, coalesce(e3, (SELECT avg(y) FROM p WHERE q = vec_id AND r <= 5)) AS e3 FROM g""",
-    doubles="e0 e1 e2 e3",
+    f"""WITH g AS (SELECT vec_id, CAST({_REST} AS DOUBLE[]) AS rest, {_CELLS} FROM embeddings),
+ p AS (SELECT a.vec_id AS q, b.e3 AS y, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.rest, b.rest), b.vec_id) AS r
+ FROM g a, g b WHERE a.e3 IS NULL AND b.e3 IS NOT NULL)
+ SELECT * EXCLUDE (rest) REPLACE (coalesce(e3, (SELECT avg(y) FROM p WHERE q = vec_id AND r <= 5)) AS e3) FROM g""",
+    doubles=FEATS,
 )
 def knn_impute(t):
-    df = I.vectors(t, 4).drop("label").withColumn("e3", F.when(F.col("vec_id") % 5 != 0, F.col("e3")))
-    return neighbours.knn_impute(df, "vec_id", ["e0", "e1", "e2", "e3"])
+    df = I.vectors(t, WIDTH).drop("label").withColumn("e3", F.when(F.col("vec_id") % 5 != 0, F.col("e3")))
+    return neighbours.knn_impute(df, "vec_id", FEATS)
+
+
+@query("knn_approx")
+def knn_approx(t):
+    """Neighbours by random-projection buckets; the share of the exact ones is held in tests."""
+    df = I.vectors(t, WIDTH)
+    return neighbours.knn_join(df, df, "vec_id", "vec_id", FEATS, 10, exclude_self=True, mode="approx", recall=0.95)
 
 
 def _smote_sql():
