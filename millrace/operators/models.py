@@ -2,8 +2,9 @@
 
 ``fit_model`` returns an object whose ``transform`` adds ``prediction`` (and ``score``, the positive
 class probability or margin, for binary classifiers).  Everything that is a Spark ML estimator comes
-back as a ``PipelineModel`` and can be saved; boosting, bagging and nearest neighbours that Spark ML
-lacks are small loops over its trees or over the neighbour join.
+back as a ``PipelineModel``; penalised regressions are solved from cross products; boosting, bagging and
+nearest neighbours that Spark ML lacks are small loops over its trees or over the neighbour join.  All of
+them can be saved.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from ..functions.columns import col, lit_sql, local_rows, num, num_sql
 from ..functions.hashing import hash_unit, poisson_times
 from ..functions.lineage import materialise
 from ..functions.moments import moments
+from . import penalised
 from .neighbours import knn_predict
 from .scale import scale_standard
 
@@ -258,7 +260,7 @@ def _adaboost_reg(df: DataFrame, features: Sequence[str], target: str, p: Mappin
     trees, weights = [], []
     for i in range(rounds):
         tree = DecisionTreeRegressor(
-            featuresCol=VECTOR, labelCol="y", weightCol="w", maxDepth=int(p.get("max_depth", 3)), seed=int(p.get("random_state") or 42) + i
+            featuresCol=VECTOR, labelCol="y", weightCol="w", maxDepth=int(p.get("max_depth", 3)), maxBins=int(p.get("max_bins", 32)), seed=int(p.get("random_state") or 42) + i
         ).fit(state)
         scored = tree.transform(state).withColumn("e", F.abs(F.col("y") - F.col("prediction")))
         top = scored.agg(F.max("e")).collect()[0][0]
@@ -315,7 +317,7 @@ def _adaboost_cls(df: DataFrame, features: Sequence[str], target: str, p: Mappin
     trees, weights = [], []
     for i in range(rounds):
         tree = DecisionTreeClassifier(
-            featuresCol=VECTOR, labelCol="y", weightCol="w", maxDepth=int(p.get("max_depth", 1)), seed=int(p.get("random_state") or 42) + i
+            featuresCol=VECTOR, labelCol="y", weightCol="w", maxDepth=int(p.get("max_depth", 1)), maxBins=int(p.get("max_bins", 32)), seed=int(p.get("random_state") or 42) + i
         ).fit(state)
         miss = (F.col("prediction") != F.col("y")).cast("double")
         scored = tree.transform(state)
@@ -361,7 +363,7 @@ def _bagging(df: DataFrame, features: Sequence[str], target: str, p: Mapping[str
             rows = VectorSlicer(inputCol=VECTOR, outputCol=vector, indices=cut).transform(rows)
         kind = DecisionTreeRegressor if task == "regression" else DecisionTreeClassifier
         depth = int(p.get("max_depth", DEEPEST))
-        trees.append(kind(featuresCol=vector, labelCol="y", maxDepth=depth, seed=seed + i).fit(rows))
+        trees.append(kind(featuresCol=vector, labelCol="y", maxDepth=depth, maxBins=int(p.get("max_bins", 32)), seed=seed + i).fit(rows))
         slices.append(cut)
     return AveragedTrees(list(features), trees, slices, [1.0] * count, "mean" if task == "regression" else "vote", classes)
 
@@ -437,9 +439,11 @@ def fit_model(
             featuresCol=VECTOR, labelCol=target, loss="huber", regParam=1.0 / (float(p.get("C", 1.0)) * n), maxIter=int(p.get("max_iter", 200)) if int(p.get("max_iter", 200)) > 0 else 200
         )
         return Pipeline(stages=[stage, assembler(names), huber]).fit(df)
+    if name in penalised.PENALISED:
+        return penalised.fit(df, features, target, name, p)
     n = sd = None
     classes = 2
-    if name in ("ridge", "elastic_net", "logistic", "linear_svc"):
+    if name in ("logistic", "linear_svc"):
         row = df.agg(F.count(num(df, target)).alias("n"), F.stddev_samp(num(df, target)).alias("sd")).collect()[0]
         n, sd = row["n"], row["sd"]
     if task != "regression" and name in ("gbt", "linear_svc"):
@@ -465,7 +469,9 @@ def cluster_labels(df: DataFrame, features: Sequence[str], k: int, seed: int, ou
 
 
 def inner_model(model):
-    return model.stages[-1] if isinstance(model, PipelineModel) else model
+    if isinstance(model, PipelineModel):
+        return model.stages[-1]
+    return inner_model(model.model) if hasattr(model, "chain") else model
 
 
 def importances(model, features: Sequence[str]) -> list[tuple[str, float]]:
@@ -496,9 +502,14 @@ def coefficients(model, features: Sequence[str], spark) -> DataFrame:
     return local_rows(spark, rows, "term string, coefficient double")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """Write any fitted model, with the steps before it if it is chained; see :mod:`.persist`."""
+    from .persist import save
 
+    save(model, path)
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+
+def load_model(path: str):
+    from .persist import load
+
+    return load(path)

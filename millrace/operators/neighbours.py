@@ -443,3 +443,16 @@ def knn_impute(df: DataFrame, key: str, columns: Sequence[str], k: int = 5, dono
         value = F.coalesce(num(df, c), F.col("__fill"), F.lit(means[c]["mean"]))
         out = joined.select(*[value.alias(n) if n == c else col(n) for n in df.columns])
     return out
+
+
+@dataclass
+class NeighbourFill:
+    """:func:`knn_impute` as a fitted step: the donors are the training rows."""
+
+    key: str
+    columns: list[str]
+    donors: DataFrame
+    k: int = 5
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return knn_impute(df, self.key, self.columns, self.k, self.donors)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass, field
 from typing import Any, Sequence
 
@@ -17,6 +18,7 @@ from ..functions.columns import col, columns_of, correlation, dtype_of, is_float
 from ..functions.gram import gram_matrix
 from ..functions.lineage import materialise
 from ..functions.moments import moments
+from . import penalised
 from .engineer import bin_expr, quantile_edges
 from .models import VECTOR, assembler, fit_model, importances
 from .ordered import ordered_scan
@@ -186,21 +188,33 @@ def lasso_select(
     ``alpha=None`` chooses it by 5-fold cross-validation over a falling path (needs ``key``).
     """
     features = numeric_features(df, target, features)
-    scaled = scale_standard(df, features).transform(df)
+    step = scale_standard(df, features)
+    scaled = step.transform(df)
     if alpha is None:
-        from .tuning import grid_search
-
-        y = num(scaled, target)
-        top = scaled.agg(*[F.abs(F.covar_pop(num(scaled, c), y)).alias(f"c{i}") for i, c in enumerate(features)]).collect()[0]
-        peak = max(v for v in top if v is not None)
-        path = [peak * 10 ** (-3 * i / 9) for i in range(10)]
-        alpha = grid_search(scaled, features, target, "lasso", {"alpha": path}, key=key).best_params["alpha"]
-    model = fit_model(scaled, features, target, "lasso", {"alpha": alpha})
-    weight = dict(importances(model, features))
+        from .tuning import FOLD, with_folds
+
+        scaled = with_folds(scaled, key, 5, 42)
+        # scaled features have mean zero; the target is shifted by one of its values, which costs no scan
+        stats = penalised.statistics(scaled, features, target, FOLD, {**dict.fromkeys(features, 0.0), target: _some_value(df, target)})
+        total = stats.all()
+        centred = total[1:, 1:] - total[1:, :1] * total[:1, 1:] / total[0, 0]
+        peak = float(np.abs(centred[:-1, -1]).max() / total[0, 0])
+        path = [{"alpha": peak * 10 ** (-3 * i / 9)} for i in range(10)]
+        scores = penalised.cross_validated(scaled, stats, target, "lasso", path, "mse", FOLD)
+        alpha = path[int(np.argmin(scores))]["alpha"]
+    else:
+        stats = penalised.statistics(scaled, features, target, means={**dict.fromkeys(features, 0.0), target: _some_value(df, target)})
+    weight = dict(importances(penalised.from_statistics(stats, "lasso", {"alpha": alpha}), features))
     chosen = [c for c in features if weight[c] > threshold] or [max(features, key=lambda c: weight[c])]
     return Selection("lasso", weight, chosen, extra={"alpha": alpha})
 
 
+def _some_value(df: DataFrame, column: str) -> float:
+    """Any value of the column; products of differences from it stay small."""
+    row = df.select(num(df, column).alias("y")).where(F.col("y").isNotNull()).limit(1).collect()
+    return float(row[0]["y"]) if row else 0.0
+
+
 def ridge_select(df: DataFrame, target: str, alpha: float = 1.0, features: Sequence[str] | None = None) -> Selection:
     """Features whose ridge coefficient is at least the mean coefficient in size."""
     features = numeric_features(df, target, features)
@@ -228,7 +242,8 @@ def rfe(
             worst = sorted(weight, key=lambda r: (r[1], -int(r[0])))[: min(step, len(left) - n_features)]
             dropped.append([int(i) for i, _ in worst])
             left = [i for i in left if i not in dropped[-1]]
-    except Exception:  # the fallback of the method, not of a bug: any estimator may be passed in
+    except Exception as failure:  # the fallback of the method, not of a bug: any estimator may be passed in
+        warnings.warn(f"recursive elimination failed, ranking by F score instead: {failure}", stacklevel=2)
         return kbest(df, target, n_features, features=features)
     finally:
         vectors.unpersist()

@@ -21,20 +21,21 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, local_rows, num
 from ..functions.hashing import hash_hex, hash_unit, poisson_times
+from . import penalised
 from .evaluate import regression_aggregates
-from .models import VECTOR, assembler, canonical, fit_model, native_estimator, predict, spark_params
+from .models import VECTOR, assembler, canonical, drop_unset, fit_model, native_estimator, predict, spark_params
 from .split import kfold, parts, split_random
 
 FOLD = "__fold"
 PARALLEL = 4
-LOOP_MODELS = ("adaboost", "bagging", "knn", "rbf_regression", "ridge", "elastic_net", "logistic", "linear_svc")
+LOOP_MODELS = ("adaboost", "bagging", "knn", "rbf_regression", *penalised.PENALISED, "logistic", "linear_svc")
 
 # Default search spaces by model, for parameters that act on a Spark model.
 DEFAULT_GRIDS: dict[str, dict[str, list]] = {
     "linear": {"fit_intercept": [True, False]},
     "ridge": {"alpha": [0.0001, 0.001, 0.01, 0.1, 1, 10], "fit_intercept": [True, False]},
     "lasso": {"alpha": [0.0001, 0.001, 0.01, 0.1, 1, 10], "fit_intercept": [True, False]},
-    "elastic_net": {"alpha": [0.0001, 0.001, 0.01, 0.1, 1, 10], "l1_ratio": [0.1, 0.3, 0.5, 0.7, 0.9]},
+    "elastic_net": {"alpha": [0.0001, 0.001, 0.01, 0.1, 1, 10], "l1_ratio": [0.1, 0.3, 0.5, 0.7, 0.9], "fit_intercept": [True, False]},
     "logistic": {"penalty": ["l1", "l2", "elasticnet", "none"], "C": [0.0001, 0.001, 0.01, 0.1, 1, 10, 100]},
     "random_forest": {"n_estimators": [100, 200, 500], "max_depth": [10, 20, 30], "min_samples_leaf": [1, 2, 4]},
     "gbt": {"n_estimators": [100, 200, 500], "max_depth": [3, 5, 7], "learning_rate": [0.01, 0.05, 0.1], "subsample": [0.6, 0.8, 1.0]},
@@ -179,8 +180,11 @@ def search(
     """
     prepare = resample or (lambda t: t)
     metric = metric or default_metric(task)
-    folded = with_folds(df, key, cv, seed, target if task == "classification" and key else None).persist()
+    folded = with_folds(df, key, cv, seed, target if task == "classification" and key else None)
     name_ = canonical(name)
+    if task == "regression" and name_ in penalised.PENALISED and metric in penalised.METRICS and resample is None:
+        return _penalised_search(folded, features, target, name_, candidates, metric, refit)
+    folded = folded.persist()
     scores: list[float] = []
     try:
         if name_ in LOOP_MODELS or resample is not None or _one_vs_rest(folded, target, task, name_):
@@ -192,10 +196,7 @@ def search(
             est = native_estimator(name, {}, task, target)
             maps = []
             for c in candidates:
-                if name_ == "lasso":
-                    settings = {"regParam": float(c.get("alpha", 1.0)), **spark_params(name, c, task)}
-                else:
-                    settings = spark_params(name, c, task)
+                settings = spark_params(name, c, task)
                 maps.append({est.getParam(k): v for k, v in settings.items()})
             validator = CrossValidator(
                 estimator=Pipeline(stages=[assembler(features), est]),
@@ -208,12 +209,28 @@ def search(
             scores = list(validator.fit(folded).avgMetrics)
     finally:
         folded.unpersist()
+    found = _ranked(df, candidates, scores, metric)
+    if refit:
+        found.model = fit_model(prepare(df), features, target, name, found.best_params, task, key)
+    return found
+
+
+def _ranked(df: DataFrame, candidates: Sequence[Mapping[str, Any]], scores: Sequence[float], metric: str) -> Search:
     order = sorted(range(len(scores)), key=lambda i: (-scores[i] if larger_is_better(metric) else scores[i], i))
-    best = dict(candidates[order[0]])
     rows = [(rank + 1, {k: str(v) for k, v in candidates[i].items()}, metric, float(scores[i])) for rank, i in enumerate(order)]
     table = local_rows(df.sparkSession, rows, "rank int, params map<string,string>, metric string, score double")
-    model = fit_model(prepare(df), features, target, name, best, task, key) if refit else None
-    return Search(best, float(scores[order[0]]), table, model)
+    return Search(dict(candidates[order[0]]), float(scores[order[0]]), table, None)
+
+
+def _penalised_search(folded: DataFrame, features, target: str, name: str, candidates, metric: str, refit: bool) -> Search:
+    """All candidates, folds and the final fit from cross products: two scans, a third for absolute errors."""
+    candidates = [drop_unset(c) for c in candidates]
+    stats = penalised.statistics(folded, features, target, FOLD)
+    scores = penalised.cross_validated(folded, stats, target, name, candidates, metric, FOLD)
+    found = _ranked(folded, candidates, scores, metric)
+    if refit:
+        found.model = penalised.from_statistics(stats, name, found.best_params)
+    return found
 
 
 def grid_search(df, features, target, name, grid: Mapping[str, Sequence] | None = None, **options) -> Search:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import local_rows
 from ..functions.lineage import shared_folder, spread_out
-from ..operators import models, select, split, tuning
+from ..operators import encode, models, select, split, tuning
 from ..sources import sinks
 from . import inputs as I
 from . import workflow
@@ -708,3 +708,51 @@ def run_record(t):
         "run_id", part("model").alias("model"), part("tuning").alias("tuning"),
         part("metrics.slope").cast("double").alias("slope"), part("metrics.r2").cast("double").alias("r2"),
     )
+
+
+def _scored_again(t, model, df):
+    """Predictions of a model that was saved and loaded."""
+    path = shared_folder(t.spark)
+    models.save_model(model, path)
+    return models.predict(models.load_model(path), df)
+
+
+@query(
+    "saved_ridge",
+    f"""SELECT l_quantity, count(*) AS n, avg(my + cxy * n / (vx * n + 1000) * (l_quantity - mx)) AS prediction
+ FROM {I.LI_CHARGE} AS x, {_S} AS f GROUP BY l_quantity""",
+    doubles="prediction",
+    digits=3,
+)
+def saved_ridge(t):
+    df = I.li_charge(t)
+    scored = _scored_again(t, models.fit_model(df, ["l_quantity"], "charge", "ridge", {"alpha": 1000.0}), df)
+    return scored.groupBy("l_quantity").agg(F.count("*").alias("n"), F.avg("prediction").alias("prediction"))
+
+
+@query(
+    "saved_chain",
+    """WITH e AS (SELECT p_partkey, p_retailprice AS y, count(*) OVER (PARTITION BY p_brand)::DOUBLE AS x FROM part),
+ f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM e) SELECT p_partkey, a + b * x AS prediction FROM e, f""",
+    doubles="prediction",
+    digits=3,
+)
+def saved_chain(t):
+    """A joined encoder and a line, saved together and applied to raw rows."""
+    raw = t.part.select("p_partkey", "p_brand", "p_retailprice")
+    chain = workflow.Chain()
+    ready = chain.add(raw, encode.count_encode(raw, "p_brand"))
+    whole = workflow.ChainedModel(chain, models.fit_model(ready, ["p_brand"], "p_retailprice", "linear"))
+    return _scored_again(t, whole, raw).select("p_partkey", "prediction")
+
+
+@query(
+    "saved_adaboost",
+    """SELECT p_partkey, CASE WHEN p_size <= 25 THEN 1.0::DOUBLE ELSE 0 END AS prediction FROM part""",
+    doubles="prediction",
+)
+def saved_adaboost(t):
+    """Boosted stumps on a label that one cut separates: the cut is found, saved and applied."""
+    df = t.part.select("p_partkey", "p_size", (F.col("p_size") <= 25).cast("int").alias("small"))
+    model = models.fit_model(df, ["p_size"], "small", "adaboost", {"n_estimators": 5, "max_bins": 64}, "classification")
+    return _scored_again(t, model, df).select("p_partkey", "prediction")

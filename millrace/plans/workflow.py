@@ -17,45 +17,13 @@ from ..functions.columns import col, columns_of, local_rows, num
 from ..functions.lineage import materialise, spread_out
 from ..functions.steps import ColumnStep
 from ..operators import clean, convert, encode, engineer, evaluate, explore, models, resample, scale, tuning
+from ..operators.neighbours import NeighbourFill
+from ..operators.persist import Chain, ChainedModel
 from ..operators.select import Selection, kbest, select_features
 from ..operators.split import parts, split_random
 from ..sources.sinks import results_table
 
 
-@dataclass
-class Chain:
-    """Fitted steps applied in order."""
-
-    steps: list[Any] = field(default_factory=list)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        for s in self.steps:
-            df = s.transform(df)
-        return df
-
-    def add(self, df: DataFrame, step: Any) -> DataFrame:
-        self.steps.append(step)
-        return step.transform(df)
-
-    def is_pipeline(self) -> bool:
-        """Whether all steps are expressions, which a saved pipeline can hold."""
-        return all(isinstance(s, ColumnStep) for s in self.steps)
-
-    def stages(self) -> list:
-        return [s.stage() for s in self.steps if isinstance(s, ColumnStep) and (s.exprs or s.drop or s.where)]
-
-
-@dataclass
-class ChainedModel:
-    """A model behind steps that join tables; it scores raw rows but is no saveable pipeline."""
-
-    chain: Chain
-    model: Any
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self.chain.transform(df))
-
-
 # ---------------------------------------------------------------- exploration
 
 
@@ -218,9 +186,8 @@ def regression_run(
     scored = models.predict(fitted, held)
     sides = {"train": _metrics(models.predict(fitted, ready), target), "test": _metrics(scored, target), "params": best}
     results = results_table(df.sparkSession, run_id, {model: sides})
-    whole = fitted
-    if isinstance(fitted, PipelineModel):
-        whole = PipelineModel(chain.stages() + fitted.stages) if chain.is_pipeline() else ChainedModel(chain, fitted)
+    one = isinstance(fitted, PipelineModel) and chain.is_pipeline()
+    whole = PipelineModel(chain.stages() + fitted.stages) if one else ChainedModel(chain, fitted)
     report = evaluate.complete_evaluation(scored, target, "prediction", key, names) if full_evaluation else None
     df.unpersist()
     return Run(whole, scored, results, chosen, best, report)
@@ -275,7 +242,7 @@ def classification_run(
 ) -> tuple[Any, DataFrame, DataFrame]:
     """Dates, imputation, scaling, encoding, selection, components, resampling, tuning and report.
 
-    Returns (model, scored test rows, report).  Every later stage is fitted on the rows as the earlier
+    Returns (model with its preprocessing, scored test rows, report).  Every later stage is fitted on the rows as the earlier
     ones left them, and resampling touches training rows only.
     """
     df = spread_out(df).persist()
@@ -293,15 +260,7 @@ def classification_run(
     if imputer == "knn":
         filled = clean.impute(train, {c: "mode" for c in texts + flags}, columns=texts + flags)
         train = chain.add(train, filled)
-        from ..operators.neighbours import knn_impute
-
-        known = materialise(train)
-
-        class _Neighbours:
-            def transform(self, d: DataFrame) -> DataFrame:
-                return knn_impute(d, key, numeric, donors_from=known)
-
-        train = chain.add(train, _Neighbours())
+        train = chain.add(train, NeighbourFill(key, numeric, materialise(train)))
     else:
         train = chain.add(train, clean.impute(train, plan, columns=numeric + texts + flags))
     scalers = {"standard": scale.scale_standard, "robust": scale.scale_robust, "minmax": scale.scale_minmax}
@@ -330,7 +289,7 @@ def classification_run(
     scored = models.predict(fitted, chain.transform(test).select(col(key), *[col(c) for c in names], col(target)))
     report = classification_summary(scored, target)
     df.unpersist()
-    return fitted, scored, report
+    return ChainedModel(chain, fitted), scored, report
 
 
 def classification_summary(scored: DataFrame, target: str) -> DataFrame:
