@@ -114,11 +114,17 @@ SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 WIDE_SPACE = re.compile(r"\s\s|^\s|\s$")
 
 
-def chunks(text: str) -> list[str]:
-    """Pieces whose byte-level BPE tokens, joined, are those of the text.
+def chunk_words(text: str) -> list[str]:
+    """Pieces whose byte-level BPE tokens, joined, are those of the text, all but the first without the space
+    before them.
 
     The usual pre-tokenisation patterns match a lone space together with the word behind it and never
     match across it, so a text may be cut before any space that stands between two other characters.
     """
-    words = SAFE_SPACE.split(text) if WIDE_SPACE.search(text) else text.split(" ")
-    return [words[0], *[" " + w for w in words[1:]]] if text else []
+    return (SAFE_SPACE.split(text) if WIDE_SPACE.search(text) else text.split(" ")) if text else []
+
+
+def chunks(text: str) -> list[str]:
+    """:func:`chunk_words` with their spaces."""
+    words = chunk_words(text)
+    return [*words[:1], *[" " + w for w in words[1:]]]

@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from itertools import chain
+from itertools import chain, islice
 from typing import Callable, Iterator
 
 import numpy as np
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..functions.columns import col
-from .batches import Memo, _pieces, chunks, stored
+from .batches import Memo, _pieces, chunk_words, stored
 
 CAPACITY = 2048
 END = 0  # token behind every document
@@ -93,14 +93,17 @@ def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "te
         end, task = np.array([END], "<u4").tobytes(), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
 
-        memo = Memo(_coder(shared.value))
+        coder = _coder(shared.value)
+        first, memo = Memo(coder), Memo(lambda words: coder([" " + w for w in words]))
         for batch in batches:
             for part in _pieces(batch, width):
-                cut = [chunks(t or "") for t in part.column(width).to_pylist()]
-                memo.learn(set(chain.from_iterable(cut)))
+                cut = [chunk_words(t or "") for t in part.column(width).to_pylist()]
+                heads = ["".join(words[:1]) for words in cut]
+                first.learn(set(heads))
+                memo.learn(set(chain.from_iterable(islice(words, 1, None) for words in cut)))
                 rows, made = [], []
-                for row, cs in enumerate(cut):
-                    ids = b"".join(map(memo.__getitem__, cs)) + end
+                for row, (head, words) in enumerate(zip(heads, cut)):
+                    ids = first[head] + b"".join(map(memo.__getitem__, islice(words, 1, None))) + end
                     n, start = len(ids) // 4, 0
                     size = n % capacity or capacity
                     for piece in range(-(-n // capacity)):
