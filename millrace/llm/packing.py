@@ -64,13 +64,30 @@ def _merge_ranks(definition: dict) -> dict[bytes, int] | None:
     return ranks if ordered and len(ranks) == len(made) + 256 else None
 
 
+def _in_one_call(encode: Callable[[str], list[int]], keys: list[str]) -> list[bytes]:
+    """Ids of every key.  Keys without white space inside are laid out as lines of one text: a line end
+    in front of a word or its space is matched alone, so its token shows where the next key begins."""
+    lines = [i for i, k in enumerate(keys) if len(k.split()) == 1 and not k[-1].isspace() and not k[1:2].isspace()]
+    out: list = [None] * len(keys)
+    mark = encode("\n")
+    if len(mark) == 1 and lines:
+        ids = np.array(encode("\n".join([keys[i] for i in lines])), np.uint32)
+        ends = np.append(np.flatnonzero(ids == mark[0]), len(ids)).tolist()
+        if len(ends) == len(lines):  # always, unless the pattern matches line ends with what precedes them
+            body, start = ids.astype("<u4").tobytes(), 0
+            for i, end in zip(lines, ends):
+                out[i] = body[4 * start : 4 * end]
+                start = end + 1
+    return [array("I", encode(k)).tobytes() if o is None else o for k, o in zip(keys, out)]
+
+
 def _coder(text: str) -> Callable[[list[str]], list[bytes]]:
     """Ids of chunks as bytes.  The general library keeps offsets and strings of every token, most of its
     time; where merge ranks say the same, the library made for those gives the ids."""
     if ranks := _merge_ranks(json.loads(text)):
         pattern = public_tokenizers.PATTERN
         encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        return lambda keys: [array("I", encode(k)).tobytes() for k in keys]
+        return lambda keys: _in_one_call(encode, keys)
     tokenizer = Tokenizer.from_str(text)
     tokenizer.encode_special_tokens = True
     return lambda keys: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(keys, add_special_tokens=False)]
