@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import uuid
 from typing import Callable, Iterator, Sequence
@@ -18,6 +20,13 @@ ROWS = 500  # rows handled at once
 CHARS = 2_000_000  # and characters, so that very long texts come in smaller groups
 
 
+def released() -> None:
+    """Give back to the system what tasks of this worker no longer use: workers live on for later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries lack it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a table as Parquet to the shared checkpoint folder and read it back.
 
@@ -61,13 +70,14 @@ def over_texts(
     width, names = len(keep), schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         compute = make()
         for batch in batches:
             for part in _pieces(batch, width):
                 texts = part.column(width)
                 new = compute(texts if raw else texts.to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], *new], names=names)
-        pa.default_memory_pool().release_unused()  # workers live on for later stages
+        released()
 
     return picked.mapInArrow(run, schema)
 

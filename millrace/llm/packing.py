@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..functions.columns import col
-from .batches import Memo, _pieces, chunk_words, stored
+from .batches import Memo, _pieces, chunk_words, released, stored
 
 CAPACITY = 2048
 END = 0  # token behind every document
@@ -110,6 +110,7 @@ def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "te
         end, task = np.array([END], "<u4").tobytes(), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
 
+        released()
         coder = _coder(shared.value)
         first, memo = Memo(coder), Memo(lambda words: coder([" " + w for w in words]))
         for batch in batches:
