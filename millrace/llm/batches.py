@@ -52,6 +52,15 @@ def packed(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text).alias("text"))
 
 
+def known_labels(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(label_id, label): one row per labelled id that some document with a text has, so that a sample of
+    labels is one of documents; of labels that share an id the greatest."""
+    one = labels.select(col("doc_id").alias("label_id"), col(label).alias("label")).where("label_id is not null")
+    one = one.groupBy("label_id").agg(F.max("label").alias("label"))
+    present = docs.where(col(text).isNotNull()).select(col(key).alias("label_id")).distinct()
+    return one.join(present, "label_id", "left_semi")
+
+
 def over_texts(
     df: DataFrame,
     keep: Sequence[str],

@@ -20,6 +20,7 @@ under 0.5 are rejected.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from typing import Iterator
@@ -36,14 +37,14 @@ from .tokens import Table, gram_hashes, laid_out, per_text
 ORDER = 4
 LANGUAGES = 1000
 SAMPLE = 1500  # distinct texts per language, about, besides the root of their number
-MIN_GRAM = 2  # occurrences of the longest n-grams in samples of SAMPLE texts or more
 DISCOUNT = 0.75
 EVIDENCE = 40
 CALIBRATION = 6.0
 SLACK = 0.3
 UNKNOWN = "und"
 START, STOP = "\x02", "\x03"
-LETTERS = re.compile(r"[^\W\d_]+")
+# numbers that are no decimal digits, such as superscripts and fractions, are word characters but no letters
+LETTERS = re.compile(r"[^\W\d_" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]+")
 
 
 def letter_words(text: str | None) -> list[str]:
@@ -141,13 +142,10 @@ def _hashes_of(grams: list[str]) -> np.ndarray:
 
 
 def train(rows: DataFrame) -> Model:
-    """Models of every language in ``rows`` (lang, text).  What reaches the driver are the n-grams of the
-    sample that occur at least MIN_GRAM times, or once in a sample under SAMPLE texts: bounded by the sample."""
-    counts = gram_counts(rows)
-    sizes = rows.where("lang is not null").groupBy("lang").agg(F.count("*").alias("texts"))
-    small = [r.lang for r in sizes.where(F.col("texts") < SAMPLE).collect()]  # at most LANGUAGES
+    """Models of every language in ``rows`` (lang, text).  What reaches the driver are all n-grams of the
+    sample, so that continuations are counted whole at every size: bounded by the sample."""
     by_lang: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in counts.where((F.col("n") >= MIN_GRAM) | (F.length("gram") < ORDER) | F.col("lang").isin(small)).collect():
+    for r in gram_counts(rows).collect():
         by_lang[r.lang][r.gram] = r.n
     languages = sorted(by_lang)
     parts = [_kneser_ney(by_lang[lang]) for lang in languages]

@@ -52,6 +52,8 @@ def _merge_ranks(definition: dict) -> dict[bytes, int] | None:
         return None
     if before.get("add_prefix_space") or not before.get("use_regex", True):
         return None
+    if any(model.get(k) for k in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")):
+        return None
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
     byte_of = {chr(b): b for b in plain}
     byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in byte_of.values())}

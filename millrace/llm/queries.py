@@ -140,7 +140,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(stored(toxicity.sample(docs, labels.where(_remainder(5) != 0))))
     marked = docs.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "text")
     return toxicity.score(marked, model, ["doc_id", "held_out"]).select(
-        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
     )
 
 

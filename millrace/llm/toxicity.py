@@ -9,7 +9,9 @@ more, and the document score is a calibrated function of the chance that any tok
 
 * null, empty and wordless texts have no tokens and the score of a document without toxic ones
 * no toxic document to learn from: every score is 0
-* long texts: every token counts; repeated rows get equal scores; other columns are never used
+* long texts: every token is scored; repeated rows get equal scores; other columns, also such as are named
+  like results or labels, are never used; an empty table gives no rows
+* ties: a score of just 0.5 counts as toxic
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import _pieces, over_texts
+from ..functions.columns import col
+from .batches import _pieces, known_labels, over_texts
 from .tokens import Table
 
 SAMPLE = 1000  # labelled documents of each class, in hash order
-SAMPLE_CHARS = 20_000  # of at most so many characters each
+SAMPLE_CHARS = 20_000  # characters that one of them teaches the field with, about
+PIECE = 50  # words that longer texts are cut into for that
 HEADS = (3, 4, 5)  # lengths of word beginnings
 FEATURES = 1 << 18
 ODDS = 25.0  # times more frequent among the words of toxic documents, for a marker,
@@ -72,13 +76,13 @@ class Model:
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(toxic, text) of at most SAMPLE labelled documents of each class; of rows that share an id, the one
     of the greatest text."""
-    one = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
+    one = known_labels(docs, labels, "toxic", key, text)
     order = F.xxhash64(F.lit(10), "label_id"), F.col("label_id")
-    ids = one.where("toxic = 1").orderBy(*order).limit(SAMPLE).union(one.where("toxic = 0").orderBy(*order).limit(SAMPLE))
-    usable = docs.where(F.col(text).isNotNull() & (F.char_length(text) <= SAMPLE_CHARS))
+    ids = one.where("label = 1").orderBy(*order).limit(SAMPLE).union(one.where("label = 0").orderBy(*order).limit(SAMPLE))
+    usable = docs.select(col(key).alias("key"), col(text).alias("text")).where("text is not null")
     # the ids are at most 2 * SAMPLE
-    chosen = usable.join(F.broadcast(ids), F.col(key) == F.col("label_id"))
-    return chosen.groupBy("label_id").agg(F.max("toxic").alias("toxic"), F.max(text).alias("text")).drop("label_id")
+    chosen = usable.join(F.broadcast(ids), F.col("key") == F.col("label_id"))
+    return chosen.groupBy("label_id").agg(F.max("label").alias("toxic"), F.max("text").alias("text")).drop("label_id")
 
 
 def markers(rows: DataFrame) -> set[str]:
@@ -117,6 +121,36 @@ def markers(rows: DataFrame) -> set[str]:
     return {r.mark for r in by_mark.where((k > 0) & (odds >= ODDS) & (evidence >= EVIDENCE)).select("mark").collect()}
 
 
+def shortened(text: str, marks: set[str]) -> str:
+    """The text, or of one over SAMPLE_CHARS its pieces with marked words, then others in the order of
+    their hashes, until there are so many characters; pieces keep their order."""
+    if len(text) <= SAMPLE_CHARS:
+        return text
+    words = text.split()
+    pieces = [words[i : i + PIECE] for i in range(0, len(words), PIECE)]
+    plain = [not any(m in marks for w in p for m in markers_of(normal(w))) for p in pieces]
+    joined = [" ".join(p) for p in pieces]
+    taken, size = [], 0
+    for _, _, i in sorted((q, crc32(p.encode("utf-8", "replace")), i) for i, (p, q) in enumerate(zip(joined, plain))):
+        if size >= SAMPLE_CHARS:
+            break
+        taken.append(i)
+        size += len(joined[i])
+    return " ".join(joined[i] for i in sorted(taken))
+
+
+def material(rows: DataFrame, marks: set[str]) -> DataFrame:
+    """The sample with long texts shortened, in the tasks that hold them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _pieces(batch, 1):
+                texts = [shortened(t, marks) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int32()), pa.array(texts, pa.string())], names=["toxic", "text"])
+
+    return rows.select("toxic", "text").mapInArrow(run, "toxic int, text string")
+
+
 def _chain(gain: np.ndarray, first: np.ndarray, step: np.ndarray, start: float) -> np.ndarray:
     """Ratios of the two states' messages along a chain that begins anew wherever ``first`` is set.
 
@@ -184,12 +218,13 @@ def any_toxic(p: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def train(rows: DataFrame) -> Model | None:
     """The field and its calibration from the sample (toxic, text); None without a toxic document.
 
-    The sample (at most 2 * SAMPLE texts of SAMPLE_CHARS) is the only text that reaches the driver.
+    Markers are counted in whole texts; what reaches the driver are at most 2 * SAMPLE texts of about
+    SAMPLE_CHARS each (a piece of PIECE words is never cut).
     """
     marks = markers(rows)
     if not marks:
         return None
-    taken = rows.collect()
+    taken = material(rows, marks).collect()
     texts = [[normal(w) for w in r.text.split()] for r in taken]
     label = np.array([r.toxic for r in taken], float)
     words = sorted({w for t in texts for w in t})

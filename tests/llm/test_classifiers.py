@@ -60,7 +60,7 @@ def test_counts_and_scores(spark):
     docs = [(1, "good words here"), (2, "bad*** words|||"), (3, None), (4, "good good more"), (1, "twice one id")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (4, 1), (9, 1), (None, 1)], "doc_id bigint, quality int")
-    sample = quality.labelled_sample(labels)
+    sample = quality.labelled_sample(df, labels)
     got = {r.bucket: (r.raw, r.target) for r in quality.counted(df, sample).collect()}
     raw, target = Counter(), Counter()
     for key, text in docs:
@@ -75,6 +75,37 @@ def test_counts_and_scores(spark):
         assert r.score == pytest.approx(want, abs=1e-5)
 
 
+def test_sample_leaves_out_labels_of_absent_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "good"), (2, "bad"), (3, None), (1, "again")], "doc_id bigint, text string")
+    absent = spark.range(10, 1000).selectExpr("id AS doc_id", "1 AS quality", "1 AS toxic")
+    known = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 1, 1)], "doc_id bigint, quality int, toxic int")
+    labels = known.union(absent)
+    assert {tuple(r) for r in quality.labelled_sample(docs, labels, limit=4).collect()} == {(1, 1), (2, 0)}
+    monkeypatch.setattr(toxicity, "SAMPLE", 2)
+    assert {tuple(r) for r in toxicity.sample(docs, labels).collect()} == {(1, "good"), (0, "bad")}
+
+
+@pytest.mark.parametrize("module, result", [(quality, "kept"), (toxicity, "score")])
+def test_columns_named_like_labels_change_nothing(spark, data, module, result):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    more = docs.selectExpr("*", "1 AS label", "2 AS label_id", "3 AS toxic", "4 AS quality", "5 AS key", "6 AS score", "7 AS kept")
+
+    def made(df):
+        if module is quality:
+            return {(r.doc_id, r.kept) for r in quality.judge(df, labels, ["doc_id"]).collect()}
+        return {(r.doc_id, r.score) for r in toxicity.score(df, toxicity.train(toxicity.sample(df, labels)), ["doc_id"]).collect()}
+
+    assert made(docs) == made(more)
+
+
+def test_many_distinct_words_repeat_nothing():
+    n = quality.MANY + 70_000
+    numbers = np.concatenate([np.arange(n), [5, 6, 7, 8]])
+    assert quality._repeated(np.arange(n), n) == 0
+    assert quality._repeated(numbers, n) == 8
+
+
 def test_threshold_separates(spark):
     make = lambda rows: quality.threshold(spark.createDataFrame(rows, "label int, score double"))
     assert -3 < make([(1, 0.1), (1, 0.2), (0, -3.0), (0, -4.0)]) < 0.1
@@ -84,7 +115,10 @@ def test_threshold_separates(spark):
 
 def test_quality_odd_tables(spark):
     labels = spark.createDataFrame([(11, 1), (0, 0)], "doc_id bigint, quality int")
-    assert quality.judge(table(spark), labels, ["doc_id"]).where("kept").count() >= 0
+    more = [*TEXTS, " ".join(f"good{i}" for i in range(60)), " ".join(f"@@{i}|" for i in range(60))]
+    both = spark.createDataFrame([(len(TEXTS), 1), (len(TEXTS) + 1, 0)], "doc_id bigint, quality int")
+    judged = {(r.doc_id, r.n_words): r.kept for r in quality.judge(table(spark, more), both, ["doc_id"]).collect()}
+    assert judged.pop((len(TEXTS), 60)) and not any(judged.values())  # the others are too short, repetitive or like the bad one
     assert quality.judge(table(spark).limit(0), labels, ["doc_id"]).count() == 0
     assert quality.judge(table(spark), labels.limit(0), ["doc_id"]).where("kept = base_failed").count() == 0
 
@@ -128,8 +162,7 @@ def plain_probability(top, char, context):
     return p
 
 
-def test_kneser_ney_by_definition(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MIN_GRAM", 1)
+def test_kneser_ney_by_definition(spark):
     rows = spark.createDataFrame([("aa", "banana band bandana"), ("bb", "titi tata toti")], "lang string, text string")
     model = langid.train(rows)
     words = ["banana", "tit", "xyz", "bo", "n"]
@@ -147,8 +180,7 @@ def test_kneser_ney_by_definition(spark, monkeypatch):
             assert got[i, -1] == len(w) + 1
 
 
-def test_probabilities_add_up(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MIN_GRAM", 1)
+def test_probabilities_add_up(spark):
     top = Counter({langid.START + "a": 2, langid.START + "ab": 1, "\x02ab\x03": 1})
     seen = ["a", "b", "\x03"]
     total = sum(plain_probability(top, c, "\x02a") for c in seen)
@@ -169,6 +201,27 @@ def test_language_odd_tables(spark):
     assert langid.predict(table(spark).limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_numbers_that_are_no_digits_are_no_letters(spark):
+    assert langid.letter_words("² ½ 12 ① Ⅷ a²b Ñandú_x 漢字") == ["a", "b", "ñandú", "x", "漢字"]
+    model = langid.train(spark.createDataFrame([("en", "the cat and the dog")], "lang string, text string"))
+    got = langid.predict(table(spark, ["² ½ 12", "①"]), model, ["text", "doc_id"]).where("doc_id < 2 and text not like 'again%'").collect()
+    assert {(r.lang_pred, r.score) for r in got} == {("und", 0.0)}
+
+
+def test_single_grams_count_at_every_size(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 1)
+    rows = spark.createDataFrame([("aa", "banana"), ("aa", "cabana")], "lang string, text string")
+    model = langid.train(rows)
+    top = Counter()
+    for w in ("banana", "cabana"):
+        marked = langid.START + w + langid.STOP
+        for end in range(2, len(marked) + 1):
+            top[marked[max(0, end - langid.ORDER) : end]] += 1
+    marked = langid.START + "caba" + langid.STOP
+    want = -sum(log(plain_probability(top, marked[k], marked[max(0, k - langid.ORDER + 1) : k])) for k in range(1, len(marked)))
+    assert langid.word_entropies(["caba"], model)[0, 0] == pytest.approx(want, rel=1e-4)
+
+
 def test_strange_text_is_rejected(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     model = langid.train(langid.sample(docs))
@@ -242,6 +295,26 @@ def test_toxicity_learns_spans_and_handles_odd_tables(spark):
     assert {r.score for r in toxicity.score(df, None, ["doc_id"]).collect()} == {0.0}
 
 
+def test_long_labelled_texts_teach(spark):
+    import random
+
+    rnd = random.Random(5)
+    plain = lambda n: " ".join(rnd.choice(["stone", "river", "cloud", "garden", "window"]) + str(rnd.randrange(900)) for _ in range(n))
+    rows = [(i, f"{plain(2000)} {rnd.choice(['vilemot', 'vilesor'])} {plain(2000)}" if i % 2 else plain(4000)) for i in range(60)]
+    assert min(len(t) for _, t in rows) > toxicity.SAMPLE_CHARS
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    sample = toxicity.sample(df, labels)
+    model = toxicity.train(sample)
+    got = toxicity.score(df, model, ["doc_id"]).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in got)
+    marks = toxicity.markers(sample)
+    assert "vile|" in marks
+    for r in toxicity.material(sample, marks).collect():
+        assert len(r.text) < toxicity.SAMPLE_CHARS + 1000 and ("vile" in r.text) == bool(r.toxic)
+    assert toxicity.shortened("a b", marks) == "a b"
+
+
 def test_toxicity_query(spark, data):
     import zlib
 
