@@ -93,6 +93,7 @@ BOOSTING_PARAMS = {
 }
 TREE_PARAMS = {k: v for k, v in FOREST_PARAMS.items() if v in ("maxDepth", "minInstancesPerNode", "minInfoGain", "maxBins", "seed")}
 
+HELD = "__held"
 REGRESSORS = ("linear", "ridge", "lasso", "elastic_net", "random_forest", "gbt", "adaboost", "bagging", "knn", "rbf_regression", "tree")
 CLASSIFIERS = ("logistic", "random_forest", "gbt", "adaboost", "bagging", "linear_svc", "tree")
 
@@ -449,9 +450,19 @@ def fit_model(
     if task != "regression" and name in ("gbt", "linear_svc"):
         classes = df.select(target).distinct().limit(3).count()
     est = native_estimator(name, p, task, target, classes, n, sd)
+    if isinstance(est, (GBTRegressor, GBTClassifier)) and (p.get("n_iter_no_change") or p.get("early_stopping_rounds")):
+        df = df.withColumn(HELD, _held(df, features, target, float(p.get("validation_fraction", 0.1))))
+        est.setParams(validationIndicatorCol=HELD, validationTol=float(p.get("tol", 1e-4)))
     return Pipeline(stages=[assembler(features), est]).fit(df)
 
 
+def _held(df: DataFrame, features: Sequence[str], target: str, fraction: float):
+    """Marks rows that boosting watches instead of learning from, by a hash of their values: the same in
+    every layout, with equal rows on one side.  Boosting ends when their error falls by less than ``tol``."""
+    draw = F.pmod(F.xxhash64(F.lit(42), *[col(c) for c in (*features, target)]), F.lit(1 << 30))
+    return draw < F.lit(int(fraction * (1 << 30)))
+
+
 def predict(model, df: DataFrame) -> DataFrame:
     """Rows with ``prediction`` and, for classifiers, ``score``; helper columns are removed."""
     out = with_score(model.transform(df))

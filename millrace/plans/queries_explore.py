@@ -708,9 +708,9 @@ def boxplot_stats(t):
 @query(
     "kde_grid",
     """WITH s AS (SELECT count(*)::DOUBLE AS n, stddev_samp(value) * pow(count(*), -0.2) AS h, min(value) AS lo, max(value) AS hi FROM events),
- b AS (SELECT least(CAST(floor((value - lo) / ((hi - lo) / 2048)) AS BIGINT), 2047) AS b, count(*)::DOUBLE AS c FROM events, s GROUP BY 1),
+ b AS (SELECT floor((value - lo) / (h / 8)) AS b, count(*)::DOUBLE AS c FROM events, s WHERE value IS NOT NULL GROUP BY 1),
  g AS (SELECT lo - 3 * h + i * (hi - lo + 6 * h) / 199 AS x FROM s, range(0, 200) t(i))
- SELECT x, sum(c * exp(-0.5 * pow((x - (lo + (b + 0.5) * (hi - lo) / 2048)) / h, 2))) / (max(n) * max(h) * sqrt(2 * pi())) AS density FROM g, b, s GROUP BY x""",
+ SELECT x, sum(c * exp(-0.5 * pow((x - (lo + (b + 0.5) * (h / 8))) / h, 2))) / (max(n) * max(h) * sqrt(2 * pi())) AS density FROM g, b, s GROUP BY x""",
     doubles="x density",
 )
 def kde_grid(t):

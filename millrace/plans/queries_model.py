@@ -281,6 +281,15 @@ def gbt_cls(t):
     return _cls(t, "lightgbm", n_estimators=5, max_depth=3)
 
 
+@query("gbt_early_stopping", "SELECT count(*) AS n, count(*) AS n_right, TRUE AS stopped FROM lineitem")
+def gbt_early_stopping(t):
+    rows = t.lineitem.select(F.col("l_quantity").cast("double").alias("q"), F.when(F.col("l_quantity") > 25, 10.0).otherwise(0.0).alias("y"))
+    model = models.fit_model(rows, ["q"], "y", "gbt", {"n_estimators": 20, "max_depth": 2, "max_bins": 64, "n_iter_no_change": 5})
+    right = F.count_if(F.abs(F.col("prediction") - F.col("y")) < 1e-6)
+    stopped = F.lit(model.stages[-1].getNumTrees < 20)
+    return models.predict(model, rows).agg(F.count("*").alias("n"), right.alias("n_right")).withColumn("stopped", stopped)
+
+
 @query("adaboost_reg")
 def adaboost_reg(t):
     return _reg(t, "adaboost", n_estimators=3, loss="linear")

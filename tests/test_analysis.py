@@ -1,6 +1,7 @@
 """Statistics, tests, lift, splits and neighbours against direct computation."""
 
 import hashlib
+import itertools
 import math
 import random
 
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions import tails
 from millrace.operators import charts, evaluate, explore, hypothesis, lift, neighbours, ordered, resample, split
 
 
@@ -224,3 +226,38 @@ def test_resampling_balances(spark):
     assert resample.undersample(df, "id", "y").groupBy("y").count().collect()[0]["count"] == 12
     box = made.agg(F.min("a"), F.max("a")).collect()[0]
     assert 0.0 <= box[0] and box[1] <= 6.0
+
+
+def test_exact_kolmogorov_by_enumeration():
+    for n1, n2 in itertools.product(range(1, 7), repeat=2):
+        gaps = []
+        for chosen in itertools.combinations(range(n1 + n2), n1):
+            a = np.cumsum(np.isin(np.arange(n1 + n2), chosen))
+            gaps.append(int(np.abs(a * n2 - (np.arange(1, n1 + n2 + 1) - a) * n1).max()))
+        for g in set(gaps):
+            want = sum(x >= g for x in gaps) / len(gaps)
+            assert tails.kolmogorov_exact(g / (n1 * n2), n1, n2) == pytest.approx(want, rel=1e-12)
+    assert tails.kolmogorov_exact(0.0, 3, 4) == 1.0
+    # large samples meet the limiting distribution, and small chances stay positive
+    assert tails.kolmogorov_exact(0.03, 5000, 4000) == pytest.approx(tails.kolmogorov_upper(0.03 * (5000 * 4000 / 9000) ** 0.5), rel=0.1)
+    assert 0 < tails.kolmogorov_exact(1.0, 40, 40) < 1e-22
+
+
+def test_ks_uses_the_exact_law_for_small_samples(spark, monkeypatch):
+    df = two(spark, [1, 2, 3], [4, 5, 6])
+    assert hypothesis.ks_2samp(df, "g", "x")["p_value"] == pytest.approx(0.1)
+    monkeypatch.setattr(hypothesis, "EXACT_SAMPLE", 2)
+    assert hypothesis.ks_2samp(df, "g", "x")["p_value"] == pytest.approx(tails.kolmogorov_upper(1.5**0.5))
+
+
+def test_density_with_a_long_tail_equals_the_direct_sum(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1, 4000), [2000.0, np.nan]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
+    got = np.array([tuple(r) for r in charts.kde_grid(df, "x", points=4001).orderBy("x").collect()])
+    x = x[:-1]
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = np.array([np.exp(-0.5 * ((g - x) / h) ** 2).sum() for g in got[:, 0]]) / (len(x) * h * math.sqrt(2 * math.pi))
+    assert got[0, 0] == pytest.approx(x.min() - 3 * h) and got[-1, 0] == pytest.approx(x.max() + 3 * h)
+    assert np.abs(got[:, 1] - want).max() < 2e-3 * want.max()
+    assert charts.kde_grid(df.where("x = 2000"), "x").count() == 0

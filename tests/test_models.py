@@ -181,3 +181,15 @@ def test_preprocessor_is_fitted_on_train_only(spark):
     got = prep.transform(test.where(F.col("id") == row["id"])).collect()[0]
     assert got["x"] == pytest.approx((row["x"] - m[0]) / m[1])
     assert prep.feature_names(df) == ["id", "x", "c"] and "x" in prep.scalers()
+
+
+def test_boosting_stops_early_and_repeats(spark):
+    rows = spark.range(4000).selectExpr("CAST(id % 50 AS DOUBLE) AS a", "CAST(id % 50 > 20 AS INT) AS y")
+    given = {"n_estimators": 15, "max_depth": 2, "max_bins": 64}
+    trees = lambda more, task: models.fit_model(rows, ["a"], "y", "gbt", {**given, **more}, task=task).stages[-1].getNumTrees
+    assert trees({}, "regression") == 15
+    assert trees({"n_iter_no_change": 5}, "regression") < 15
+    assert trees({"early_stopping_rounds": 5, "tol": 10.0}, "classification") < 15
+    held = rows.withColumn("h", models._held(rows, ["a"], "y", 0.3))
+    assert held.groupBy("a").agg(F.count_distinct("h").alias("n")).where("n > 1").count() == 0
+    assert 0 < held.where("h").count() < 4000
