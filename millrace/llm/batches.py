@@ -18,6 +18,7 @@ from ..functions.lineage import ensure_checkpoint_dir
 
 ROWS = 500  # rows handled at once
 CHARS = 2_000_000  # and characters, so that very long texts come in smaller groups
+ARROW_ROWS = 1000  # rows that travel to a worker at once
 
 
 def released() -> None:
@@ -27,6 +28,14 @@ def released() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts travel in batches of ARROW_ROWS, which take a tenth of the memory beside the Java heap, unless
+    the session sets another number than the default itself."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a table as Parquet to the shared checkpoint folder and read it back.
 
@@ -74,6 +83,7 @@ def over_texts(
     ``make()`` runs once per task and returns a function from a list of texts (None for null), or with
     ``raw`` from their Arrow array, to one Arrow array per field.  Rows stay where they are: no shuffle.
     """
+    small_batches(df.sparkSession)
     picked = df.select(*[col(c).alias(c) for c in keep], col(text).alias("__text"))
     schema = T.StructType([*picked.schema.fields[:-1], *fields])
     width, names = len(keep), schema.names

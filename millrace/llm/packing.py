@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..functions.columns import col
-from .batches import Memo, _pieces, chunk_words, released, stored
+from .batches import Memo, _pieces, chunk_words, released, small_batches, stored
 
 CAPACITY = 2048
 END = 0  # token behind every document
@@ -103,6 +103,7 @@ def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "te
     """
     with open(vocabulary, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    small_batches(docs.sparkSession)
     picked = docs.select(*[col(c).alias(c) for c in keep], col(text).alias("__text"))
     fields = "piece int, start bigint, length bigint, ids binary, task int, nth bigint"
     schema = T.StructType([*picked.schema.fields[:-1], *T._parse_datatype_string(fields).fields])
