@@ -43,13 +43,17 @@ CALIBRATION = 6.0
 SLACK = 0.3
 UNKNOWN = "und"
 START, STOP = "\x02", "\x03"
-# numbers that are no decimal digits, such as superscripts and fractions, are word characters but no letters
-LETTERS = re.compile(r"[^\W\d_" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]+")
+# word characters but digits; superscripts, fractions and other numerals among them are no letters
+WORDS = re.compile(r"[^\W\d_]+")
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 
 
 def letter_words(text: str | None) -> list[str]:
     """Runs of letters, lower-cased."""
-    return LETTERS.findall((text or "").lower())
+    lower = (text or "").lower()
+    words = WORDS.findall(lower)
+    return words if "".join(words).isalpha() else LETTERS.findall(lower)  # the wide class is slow
 
 
 @dataclass
