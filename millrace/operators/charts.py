@@ -175,7 +175,10 @@ def qq_points(df: DataFrame, column: str, points: int = 99) -> DataFrame:
 
 
 def lag_points(df: DataFrame, value: str, order: str, lag: int = 1, share: float = 1.0, seed: int = 42) -> DataFrame:
-    """(order, value, value ``lag`` rows earlier), optionally a hash sample of the points."""
+    """(order, value, value ``lag`` rows earlier), optionally a hash sample of the points.
+
+    ``order`` should be unique; rows that it leaves equal follow each other by value.
+    """
     slim = df.select(col(order).alias("order"), num(df, value).alias("value"))
     out = lagged(slim, [F.col("order")], [lag], "value").where(F.col(f"value_lag{lag}").isNotNull())
     out = out.select("order", F.col(f"value_lag{lag}").alias("previous"), "value")
@@ -183,9 +186,9 @@ def lag_points(df: DataFrame, value: str, order: str, lag: int = 1, share: float
 
 
 def residual_order(df: DataFrame, y_true: str, y_pred: str, order: str) -> DataFrame:
-    """Residuals against their 0-based position."""
+    """Residuals against their 0-based position; rows of equal ``order`` follow each other by residual."""
     slim = df.select(col(order).alias("order"), (num(df, y_true) - num(df, y_pred)).alias("residual"))
-    return ordered_scan(slim, [F.col("order")], index="position").select("position", "residual")
+    return ordered_scan(slim, [F.col("order"), F.col("residual")], index="position").select("position", "residual")
 
 
 def scatter_sample(df: DataFrame, x: str, y: str, key: str, share: float, seed: int = 42) -> DataFrame:

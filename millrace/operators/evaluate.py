@@ -126,6 +126,10 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 # ---------------------------------------------------------------- residuals
 
 
+def _order_struct(order: str | Sequence[str]) -> Column:
+    return F.struct(*[col(c) for c in ([order] if isinstance(order, str) else order)])
+
+
 def prediction_correlation(df: DataFrame, y_true: str, y_pred: str, features: Sequence[str] = ()) -> DataFrame:
     """Correlation of truth with prediction, and of each feature with the residual."""
     e = num(df, y_true) - num(df, y_pred)
@@ -152,8 +156,13 @@ def breusch_pagan_p(lm: float) -> float:
     return math.erfc(math.sqrt(lm / 2.0))
 
 
-def durbin_watson(df: DataFrame, y_true: str, y_pred: str, order: str) -> DataFrame:
-    s = _scored(df, y_true, y_pred, col(order).alias("o")).select("o", (F.col("y") - F.col("p")).alias("e"))
+def durbin_watson(df: DataFrame, y_true: str, y_pred: str, order: str | Sequence[str]) -> DataFrame:
+    """Sum of squared steps between residuals over their sum of squares, in the order of one or more columns.
+
+    ``order`` should end in a unique key; rows that it leaves equal follow each other by residual.
+    """
+    o = _order_struct(order)
+    s = _scored(df, y_true, y_pred, o.alias("o")).select("o", (F.col("y") - F.col("p")).alias("e"))
     step = lagged(s, [F.col("o")], [1], "e")
     gap = F.col("e") - F.col("e_lag1")
     stat = F.try_divide(F.sum(gap * gap), F.sum(F.col("e") * F.col("e")))
@@ -165,9 +174,12 @@ def durbin_watson(df: DataFrame, y_true: str, y_pred: str, order: str) -> DataFr
     return step.agg(stat.alias("statistic")).withColumn("interpretation", verdict)
 
 
-def acf(df: DataFrame, value: str, order: str, lags: int = 40) -> DataFrame:
-    """Autocorrelation at lags 0..``lags``; all lags share one ordered pass."""
-    s = df.select(col(order).alias("o"), num(df, value).alias("e")).where(F.col("e").isNotNull())
+def acf(df: DataFrame, value: str, order: str | Sequence[str], lags: int = 40) -> DataFrame:
+    """Autocorrelation at lags 0..``lags``; all lags share one ordered pass.
+
+    ``order`` should end in a unique key; rows that it leaves equal follow each other by value.
+    """
+    s = df.select(_order_struct(order).alias("o"), num(df, value).alias("e")).where(F.col("e").isNotNull())
     base = s.agg(F.avg("e").alias("m"), F.var_pop("e").alias("v"), F.count(F.lit(1)).alias("n")).collect()[0]
     if not base["n"] or not base["v"]:
         return local_rows(df.sparkSession, [], "lag int, autocorrelation double")
@@ -218,7 +230,7 @@ def residual_outliers(df: DataFrame, y_true: str, y_pred: str, threshold: float
 
 
 def complete_evaluation(
-    df: DataFrame, y_true: str, y_pred: str, order: str | None = None, features: Sequence[str] = ()
+    df: DataFrame, y_true: str, y_pred: str, order: str | Sequence[str] | None = None, features: Sequence[str] = ()
 ) -> DataFrame:
     """One nested row: error metrics, variance, percentiles, correlation and residual tests."""
     spark = df.sparkSession

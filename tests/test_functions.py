@@ -114,6 +114,44 @@ def test_lagged_crosses_range_edges(spark, monkeypatch):
             assert rows[o]["v_lag5"] == (o - 5) * 2.0
 
 
+def test_ranged_scan_equals_window_on_hot_null_and_decimal_values(spark):
+    """A value in a third of the rows, null values and totals, ranges shorter than the lag, equal order."""
+    df = spark.range(400).selectExpr(
+        "id",
+        "CAST(id % 7 AS INT) AS o",
+        "IF(id % 3 = 0, 5.0D, IF(id % 11 = 0, NULL, CAST(id * 37 % 101 AS DOUBLE))) AS v",
+        "IF(id % 13 = 0, NULL, CAST(id / 8 AS DECIMAL(9, 3))) AS d",
+    )
+    sums = {"whole": F.col("id"), "exact": F.col("d")}
+    few, many = (ordered.ordered_scan(df, [F.col("v"), F.col("id")], sums, partitions=60, small=s) for s in (True, False))
+    assert few.schema["exact"].dataType == many.schema["exact"].dataType
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+    slim = df.select("o", "v")
+    few, many = (ordered.lagged(slim, [F.col("o")], [1, 40], "v", partitions=90, small=s) for s in (True, False))
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+
+
+def test_ranged_scan_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "o bigint, v double")
+    out = ordered.ordered_scan(empty, [F.col("o")], {"t": F.col("v")}, small=False)
+    assert out.columns == ["o", "v", "row_index", "t"] and out.count() == 0
+    out = ordered.lagged(empty, [F.col("o")], [2], "v", small=False)
+    assert out.columns == ["o", "v", "row_index", "v_lag2"] and out.count() == 0
+
+
+def test_ranged_scan_moves_the_rows_once(spark, monkeypatch):
+    layouts, real = [], ordered.materialise
+    monkeypatch.setattr(ordered, "materialise", lambda df: layouts.append(plan_of(df)) or real(df))
+    df = spark.range(5000).selectExpr("id AS o", "CAST(id AS DOUBLE) AS v")
+    out = ordered.lagged(df, [F.col("o")], [1, 40], "v", small=False)
+    assert len(layouts) == 1 and layouts[0].count("Exchange") == 1 == layouts[0].count("rangepartitioning")
+    assert "Exchange" not in plan_of(out) and "Window" not in plan_of(out)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_average_ranks_within_columns(spark, monkeypatch):
     monkeypatch.setattr(ordered, "SMALL_VALUES", 1)
     rows = [("p", 1.0, 2), ("p", 3.0, 1), ("p", 7.0, 4), ("q", 0.5, 1), ("q", 9.0, 3)]
