@@ -11,13 +11,11 @@ from pyspark.sql import functions as F
 from ..functions import tails
 from ..functions.columns import col, columns_of, correlation, is_numeric, dtype_of, local_rows, long_form, num, present
 from ..functions.gram import EXPRESSION_WIDTH, pairwise_correlation
-from ..functions.lineage import materialise, spread_out
 from ..functions.moments import moments, value_profile
 from ..functions.quantiles import exact_quantiles
 from .clean import missing_counts, outlier_report
 from .convert import column_kinds, distinct_counts
-from .lookup import lookup_join
-from .ordered import SMALL_VALUES, average_ranks
+from .ranks import rank_correlations
 
 
 def _numeric(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -214,54 +212,9 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]):
     return pairwise_correlation(df, columns, [means[c] for c in columns])
 
 
-def rank_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace each numeric column by its average rank; other columns are kept."""
-    df = spread_out(df)
-    counts = (
-        long_form(df, columns)
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # written once: every column below reads its own slice
-    ranks = materialise(average_ranks(counts, ["column"]))
-    sizes = {r["column"]: r["count"] for r in ranks.groupBy("column").count().collect()}
-    for c in columns:
-        mine = ranks.where(F.col("column") == c).select(
-            F.col("value").alias("__value"), F.col("avg_rank").alias("__rank"), F.col("n").alias("__n")
-        )
-        joined = lookup_join(df, num(df, c), mine, "__value", "__n", sizes.get(c, 0) <= SMALL_VALUES)
-        df = joined.select(*[F.col("__rank").alias(c) if n == c else col(n) for n in df.columns])
-    return df
-
-
 def spearman_matrix(df: DataFrame, columns: Sequence[str]):
-    """Rank correlation; pairs touched by nulls are re-ranked on their shared rows."""
-    import numpy as np
-
-    slim = df.select(*[num(df, c).alias(c) for c in columns])
-    n_rows, gaps = missing_counts(slim)
-    full = [c for c in columns if not gaps[c]]
-    p = len(columns)
-    n = np.full((p, p), float(n_rows))
-    r = np.full((p, p), np.nan)
-    at = {c: i for i, c in enumerate(columns)}
-    if full:
-        _, rf = pearson_matrix(rank_columns(slim.select(*[col(c) for c in full]), full), full)
-        for a in full:
-            for b in full:
-                r[at[a], at[b]] = rf[full.index(a), full.index(b)]
-    for i, a in enumerate(columns):
-        for j in range(i, p):
-            b = columns[j]
-            if a in full and b in full:
-                continue
-            pair = [a, b] if a != b else [a]
-            shared = slim.select(*[col(c) for c in pair]).na.drop()
-            nn, rr = pearson_matrix(rank_columns(shared, pair), pair)
-            n[i, j] = n[j, i] = nn[0, -1]
-            r[i, j] = r[j, i] = rr[0, -1]
-    return n, r
+    """Rank correlation; pairs touched by nulls are ranked on their shared rows."""
+    return rank_correlations(df, columns)
 
 
 def _matrix(df: DataFrame, columns: Sequence[str], method: str):

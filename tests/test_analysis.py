@@ -111,6 +111,44 @@ def test_spearman_re_ranks_shared_rows(spark):
     assert np.allclose(r, want)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_rank_correlations_share_patterns_of_missing_rows(spark, monkeypatch, few):
+    """Twenty columns, half with nulls: equal to ranking each pair anew, in one ordered scan."""
+    import pandas as pd
+
+    from millrace.operators import ranks
+
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 12, (300, 20)).astype(float)
+    x[:, 1] += x[:, 0]
+    x[:100, 2] = 4.0
+    x[:, 19] = 7.0
+    for j in range(5, 15):
+        x[rng.random(300) < 0.2, j] = np.nan
+    x[:, 6], x[:, 7] = np.where(np.isnan(x[:, 5]), np.nan, x[:, 6]), np.where(np.isnan(x[:, 8]), x[:, 7], -0.0)
+    names = [f"k.{i}" for i in range(20)]
+    frame = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame(frame)
+    scans, real = [], ranks.ordered_scan
+    monkeypatch.setattr(ranks, "ordered_scan", lambda *a, **k: scans.append(1) or real(*a, **k))
+    n, r = ranks.rank_correlations(df, names, few)
+    held = (~frame.isna()).to_numpy().astype(int)
+    assert (n == held.T @ held).all() and len(scans) == 1
+    assert np.allclose(r, frame.corr(method="spearman").to_numpy(), equal_nan=True)
+
+
+def test_rank_correlations_of_empty_tables_and_columns(spark):
+    from millrace.operators import ranks
+
+    empty = spark.createDataFrame([], "a double, b bigint")
+    n, r = ranks.rank_correlations(empty, ["a", "b"])
+    assert (n == 0).all() and np.isnan(r).all()
+    gone = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    for few in (True, False):
+        n, r = ranks.rank_correlations(gone, ["a", "b"], few)
+        assert n.tolist() == [[2, 0], [0, 0]] and r[0, 0] == 1.0 and np.isnan([r[0, 1], r[1, 1]]).all()
+
+
 def test_constant_columns_have_no_correlation(spark):
     df = spark.createDataFrame([(float(i), 5.0, None if i == 2 else i * 2.0) for i in range(5)], "a double, k double, b double")
     got = {(r["column_1"], r["column_2"]): r["correlation"] for r in explore.corr_matrix(df, "pearson").collect()}
