@@ -7,8 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import col, long_form, num
-from .lineage import spread_out
+from .columns import long_form, num
 
 # Above this many columns the fused aggregate is built on the stacked form, so that generated code
 # does not grow with the width of the table.
@@ -68,38 +67,3 @@ def moments(df: DataFrame, columns: Sequence[str], measures: Sequence[str]) -> d
 
 def row_count(df: DataFrame) -> int:
     return df.count()
-
-
-def modes(df: DataFrame, columns: Sequence[str], as_text: bool = False) -> dict[str, object]:
-    """Most frequent value per column, smallest on ties."""
-    return {c: mode for c, (mode, _) in value_profile(df, columns, as_text).items()}
-
-
-def value_profile(df: DataFrame, columns: Sequence[str], as_text: bool = False) -> dict[str, tuple]:
-    """{column: (mode, number of distinct values)}.
-
-    Counting runs as an ordinary grouped aggregate (map-side combined, spread over the cluster);
-    only the winner of each column is returned.
-    """
-    columns = list(columns)
-    if not columns:
-        return {}
-    if as_text:
-        stacked = spread_out(df.select(*[col(c).cast("string").alias(c) for c in columns])).unpivot(
-            [], [col(c) for c in columns], "column", "value"
-        )
-    else:
-        stacked = long_form(spread_out(df.select(*[col(c) for c in columns])), columns)
-    rows = (
-        stacked.where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("column")
-        .agg(
-            F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value"))).alias("mode"),
-            F.count(F.lit(1)).alias("unique"),
-        )
-        .collect()
-    )
-    found = {r["column"]: (r["mode"], r["unique"]) for r in rows}
-    return {c: found.get(c, (None, 0)) for c in columns}

@@ -21,7 +21,8 @@ from ..functions.columns import (
     quote,
     spread,
 )
-from ..functions.moments import modes, moments
+from ..functions.modes import exact_modes
+from ..functions.moments import moments
 from ..functions.quantiles import exact_quantiles
 from ..functions.steps import ColumnStep, fitted
 
@@ -152,8 +153,8 @@ def _imputed(df: DataFrame, plan: dict[str, str], gaps: dict[str, int], constant
     values.update({c: q[0] for c, q in exact_quantiles(df, {c: [0.5] for c in medians}).items()})
     by_mode = [c for c, s in plan.items() if s == "mode"]
     numbers = [c for c in by_mode if is_numeric(dtype_of(df, c))]
-    values.update(modes(df, numbers))
-    values.update(modes(df, [c for c in by_mode if c not in numbers], as_text=True))
+    values.update(exact_modes(df, numbers))
+    values.update(exact_modes(df, [c for c in by_mode if c not in numbers], as_text=True))
     values.update({c: constants.get(c) for c, s in plan.items() if s == "constant"})
     exprs, state = {}, {}
     for c, s in plan.items():

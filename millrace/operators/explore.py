@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import tails
 from ..functions.columns import col, columns_of, correlation, is_numeric, dtype_of, local_rows, long_form, num, present
 from ..functions.gram import EXPRESSION_WIDTH, pairwise_correlation
-from ..functions.moments import moments, value_profile
+from ..functions.modes import exact_modes, value_profile
+from ..functions.moments import moments
 from ..functions.quantiles import exact_quantiles
 from .clean import missing_counts, outlier_report
 from .convert import column_kinds, distinct_counts
@@ -28,21 +29,26 @@ PROFILE = ["n_rows", "n", "mean", "min", "max", "std", "var", "skew", "kurt", "s
 def univariate_numeric(df: DataFrame, columns: Sequence[str] | None = None, outliers: bool = False) -> DataFrame:
     """Full profile of numeric columns, one row each.
 
-    Three scans however many columns there are: fused moments, exact quartiles, value counts (for
-    the mode and the number of distinct values); ``outliers`` adds a fourth against the fences.
+    Three scans however many columns there are, on tables of many rows a few more for the mode: fused
+    moments, exact quartiles, value counts; ``outliers`` adds one against the fences and makes the value
+    counts exact to the last distinct value.
     """
     columns = _numeric(df, columns)
     m = moments(df, columns, PROFILE)
     columns = [c for c in columns if m[c]["n"]] + [c for c in columns if not m[c]["n"]]
     q = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns}, {c: m[c]["n"] for c in columns})
-    v = value_profile(df, columns)
+    if outliers:
+        v = value_profile(df, columns)
+    else:
+        v = {c: (mode,) for c, mode in exact_modes(df, columns).items()}
     over = {}
     if outliers:
         over = {r["column"]: r for r in outlier_report(df, [c for c in columns if m[c]["n"]]).collect()}
     rows = []
     for c in columns:
         s, (q1, med, q3) = m[c], q[c]
-        row = [c, s["n"], s["mean"], med, v[c][0], s["min"], s["max"], s["std"], s["var"], s["skew"], s["kurt"]]
+        mode = None if v[c][0] is None else float(v[c][0])
+        row = [c, s["n"], s["mean"], med, mode, s["min"], s["max"], s["std"], s["var"], s["skew"], s["kurt"]]
         row += [q1, q3, None if q1 is None else q3 - q1, s["n_rows"] - s["n"]]
         if outliers:
             r = over.get(c)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import quantiles, tails
 from millrace.functions.gram import gram_matrix, pairwise_correlation, pairwise_moments
-from millrace.functions.moments import modes, moments
+from millrace.functions.modes import exact_modes
+from millrace.functions.moments import moments
 from millrace.operators import ordered
 from millrace.operators.lookup import lookup_join
 from millrace.operators.split import allocate, hash_thresholds
@@ -77,7 +78,37 @@ def test_moments_skip_nan_and_null(spark):
     assert (m["n"], m["n_rows"], m["mean"], m["max"]) == (4, 6, 3.75, 10.0)
     assert m["skew"] == pytest.approx(1.9225217141412743)
     assert m["kurt"] == pytest.approx(3.769996181577235)
-    assert modes(df, ["x"])["x"] == 2.0
+    assert exact_modes(df, ["x"]) == {"x": 2.0}
+
+
+@pytest.mark.parametrize("few, buckets, limit", [(True, 8, 10), (False, 8, 60), (False, 64, 100), (False, 4096, 10**9)])
+def test_exact_modes_in_their_own_type(spark, few, buckets, limit):
+    """Neighbours above 2^53, hot, tied and unrepeated values, every bucket size and slice."""
+    from collections import Counter
+    from decimal import Decimal
+
+    big = 2**53
+    rows = []
+    for i in range(600):
+        whole = big + 1 if i % 5 == 0 else big + (0 if i % 6 == 0 else 2 + i % 40)
+        rows.append((whole, float(i * 7919 % 600), None if i % 2 else Decimal(i % 9) / 8, [float("nan"), -0.0, 0.0][i % 3], "ab"[i % 2], None))
+    df = spark.createDataFrame(rows, "a bigint, b double, c decimal(20,6), d double, e string, f int")
+    got = exact_modes(df, list("abcdef"), few=few, buckets=buckets, limit=limit)
+    counts = Counter(r[2] for r in rows if r[2] is not None)
+    most = min(counts, key=lambda v: (-counts[v], v))
+    assert got == {"a": big + 1, "b": 0.0, "c": most, "d": 0.0, "e": "a", "f": None}
+    assert isinstance(got["a"], int)
+
+
+def test_exact_modes_count_only_buckets_that_can_win(spark, monkeypatch):
+    """A value in a tenth of the rows of an otherwise continuous column: one bucket is counted by value."""
+    from millrace.functions import modes
+
+    counted, real = [], modes._best
+    monkeypatch.setattr(modes, "_best", lambda cells: counted.append(cells.count()) or real(cells))
+    df = spark.range(20_000).selectExpr("IF(id % 10 = 0, 0.5D, CAST(id AS DOUBLE)) AS x")
+    assert modes.exact_modes(df, ["x"], few=False, buckets=512) == {"x": 0.5}
+    assert len(counted) == 1 and counted[0] < 2_200
 
 
 def test_wide_tables_use_the_stacked_aggregate(spark):
