@@ -5,7 +5,8 @@ level and halves its buckets at their medians, taken from a bounded sample; a ro
 tree.  A query visits, in every tree, the buckets whose half-spaces are closest to it.  How many is measured:
 the exact neighbours of a few queries are found in one pass over the corpus, and probes are doubled until
 the wanted share of them lies in visited buckets.  On vectors without any structure that may mean most
-buckets; the result is then nearly exact and as dear as it must be.
+buckets: where that costs more than comparing everything, every row meets every other in a grid of large cells,
+and the result is exact.
 
 A bucket is cut by hash into pieces of bounded size, all of which are visited, so one vector repeated in a
 third of all rows fills no task; queries per piece are dealt to lanes.  Each visit returns at most k rows.
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from ..functions.columns import col, dtype_of, num
 from ..functions.hashing import hash_unit
 from ..functions.lineage import materialise
-from .neighbours import complete, vectors
+from .neighbours import GRID_ROWS, complete, grid, meeting, ranked, vectors
 
 TREES = 4
 LEAF_ROWS = 1024
@@ -35,6 +36,7 @@ MOST_LEVELS = 17  # 131,072 buckets per tree; larger tables have more pieces per
 SAMPLE_ROWS = 100_000
 NODE_SAMPLE = 16  # sampled rows a median needs
 TRIALS = 200  # queries whose exact neighbours fit the probes
+VISIT_ROWS = 4096  # rows that could be compared in a grid while a query is sent to one more bucket
 MARGIN = 0.02  # of recall, above what was asked, since it is measured on few queries
 
 
@@ -205,11 +207,14 @@ def knn_approx(
     if not sample.num_rows:
         sample = base.select("v").limit(SAMPLE_ROWS).toArrow()
     buckets = build(vectors(sample, width), levels if sample.num_rows else 0, trees if levels else 1, seed)
-    probes = 1
+    probes, total = 1, ask.count()
     if buckets.levels:
-        total = ask.count()
         trial = ask.where(hash_unit("key", "trial") < min(1.0, 2 * TRIALS / max(1, total))).limit(TRIALS).toArrow()
         probes = _fitted_probes(base, trial, buckets, k, p, recall, exclude_self) if trial.num_rows else 1
+    visits = len(buckets.cuts) * probes
+    if visits >= 1 << buckets.levels or (n > GRID_ROWS and visits * VISIT_ROWS >= n):
+        found = grid(ask, base, total, n, meeting(k, p, False, exclude_self, extra, width), extra, out_ddl)
+        return _renamed(ranked(found, k), query_key, extra, carry)
     shared = spark.sparkContext.broadcast(buckets)  # at most trees x (2^17 cuts + directions)
 
     def placed(each):
@@ -265,7 +270,10 @@ def knn_approx(
     if len(buckets.cuts) > 1:  # the same row met in several trees
         best = F.row_number().over(Window.partitionBy("query", "neighbour").orderBy("distance"))
         found = found.withColumn("rank", best).where("rank = 1").drop("rank")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("distance", "neighbour"))).where(F.col("rank") <= k)
-    return ranked.select(
+    return _renamed(ranked(found, k), query_key, extra, carry)
+
+
+def _renamed(found: DataFrame, query_key: str, extra: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    return found.select(
         F.col("query").alias(query_key), "neighbour", "distance", "rank", *[F.col(x).alias(c) for x, c in zip(extra, carry)]
     )

@@ -1,4 +1,4 @@
-"""Exact nearest neighbours as a pruned block join.
+"""Exact nearest neighbours as a pruned block join, or as a grid where boxes don't prune.
 
 The corpus is cut into blocks of bounded size along a k-d tree whose split points come from a small
 sample (the sample steers only how well blocks separate; the result does not depend on it).  Crowded
@@ -7,6 +7,13 @@ the data.  Each block is summarised by its bounding box.  A query first visits t
 which gives an upper bound for its k-th distance, and then only the blocks whose box can still beat
 that bound; each visited block returns at most k rows, and the bests are merged by key.  Query groups
 are salted to a bounded size as well.  No pair of rows is ever emitted beyond those k per visit.
+
+At dozens of coordinates hardly any box can be ruled out, and a query sent to every block is all that
+moves.  So the share of blocks that a few queries have to visit is measured first.  Where it is large, and
+on tables of few pairs, queries and corpus are dealt at random to lanes and blocks of at most GRID_ROWS rows
+and every lane meets every block once.  All pairs are still compared, as no bound on distances rules one
+out, but as matrix products: :func:`closest` estimates distances, and those that the estimate's
+error does not rule out are computed in full.
 """
 
 from __future__ import annotations
@@ -18,6 +25,7 @@ from typing import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +40,12 @@ MAX_BLOCKS = 32_768
 SAMPLE_LIMIT = 200_000
 MAX_PATTERNS = 64
 BOX_CELLS = 1_000_000
+GRID_ROWS = 65_536  # rows of a lane or block of the grid
+GRID_CELLS = 8  # cells of the grid a core gets at least, unless their sides fall under BLOCK_ROWS
+TRIALS = 200  # queries that tell how well boxes prune
+VISIT_ROWS = 1000  # rows that could be compared in a grid while a query is sent to one more block
+ASKED, FIRST, NEXT = 256, 1024, 2048  # queries, first and further corpus rows compared at once
+HUGE = 1e15  # beyond this squares leave the range of short floats
 
 
 @dataclass
@@ -99,6 +113,210 @@ def _distances(q: np.ndarray, c: np.ndarray, p: float, partial: bool) -> np.ndar
         return np.where(shared > 0, np.sqrt(total * q.shape[1] / shared), np.nan)
 
 
+def _exact(q: np.ndarray, c: np.ndarray, r: np.ndarray, j: np.ndarray, p: float, partial: bool) -> np.ndarray:
+    """Distances of the pairs (r, j) before the root, summed in the order of the coordinates."""
+    out = np.empty(len(r))
+    step = max(1, BOX_CELLS // q.shape[1])
+    for s in range(0, len(r), step):
+        gap = np.abs(q[r[s : s + step]] - c[j[s : s + step]])
+        power = gap * gap if p == 2 or partial else gap if p == 1 else gap**p
+        if partial:
+            shared = (~np.isnan(gap)).sum(axis=1)
+            total = np.cumsum(np.nan_to_num(power, posinf=np.inf), axis=1)[:, -1]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out[s : s + step] = np.where(shared > 0, total * q.shape[1] / shared, np.nan)
+        else:
+            out[s : s + step] = np.cumsum(power, axis=1)[:, -1]
+    return out
+
+
+def _scores(q: np.ndarray, c: np.ndarray, p: float, partial: bool):
+    """A function of slices of q and c giving their scores (larger is closer), and base, factor and room per query:
+    a pair of distance x before the root scores at least base - factor * x - room."""
+    most = max((float(np.nanmax(np.abs(m), initial=0.0)) for m in (q, c)), default=0.0)
+    d = q.shape[1]
+    if (p != 2 and not partial) or not most < HUGE:
+        # scores are the negative distances themselves
+
+        def direct(a: slice, b: slice) -> np.ndarray:
+            x = _distances(q[a], c[b], p, partial)
+            with np.errstate(invalid="ignore", over="ignore"):
+                x = x * x if p == 2 or partial else x if p == 1 else x**p
+            return np.where(np.isnan(x), -np.inf, -x)
+
+        return direct, np.zeros(len(q)), 1.0, lambda a, bound: 1e-9 * np.where(np.isfinite(bound), bound, 0.0)
+    has = ~np.isnan(c)
+    centre = np.where(has, c, 0.0).sum(axis=0) / np.maximum(has.sum(axis=0), 1)
+    q, c = q - centre, c - centre
+    q0, c0 = (np.nan_to_num(q), np.nan_to_num(c)) if partial else (q, c)
+    q_len, c_len = np.sqrt((q0 * q0).sum(axis=1)), np.sqrt((c0 * c0).sum(axis=1))
+    wide = float(c_len.max(initial=0.0))
+    width = (d + 8) * (4 if partial else 1)
+    # short floats where their error is small beside the distances
+    error = width * 2.0**-23 * (float(q_len.max(initial=0.0)) + wide) ** 2
+    short = error * (d if partial else 1) <= 1e-2 * float(np.median(c_len)) ** 2
+    kind = np.float32 if short else np.float64
+    room = width * (2.0**-23 if short else 2.0**-52) * (q_len + wide) ** 2
+    if not partial:
+        left = np.concatenate([q, np.ones((len(q), 1))], axis=1).astype(kind)
+        right = np.concatenate([c, -0.5 * (c_len**2)[:, None]], axis=1).astype(kind)
+        return lambda a, b: left[a] @ right[b].T, 0.5 * q_len**2, 0.5, lambda a, bound: room[a]
+    q_has, c_has = ~np.isnan(q), has
+    left = np.concatenate([q0 * q0, q_has, -2 * q0], axis=1).astype(kind)
+    right = np.concatenate([c_has, c0 * c0, c0], axis=1).astype(kind)
+    q_has, c_has = q_has.astype(kind), c_has.astype(kind)
+
+    def shared(a: slice, b: slice) -> np.ndarray:
+        both = q_has[a] @ c_has[b].T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(both > 0, left[a] @ right[b].T / both * -d, -np.inf)
+
+    return shared, np.zeros(len(q)), 1.0, lambda a, bound: d * room[a]
+
+
+def _places(few: np.ndarray) -> np.ndarray:
+    """Flat places of the true cells, looked for eight at a time."""
+    flat = few.ravel()
+    whole = len(flat) // 8 * 8
+    eight = np.flatnonzero(flat[:whole].view(np.uint64))
+    at, bit = np.nonzero(flat[:whole].reshape(-1, 8)[eight])
+    return np.concatenate([8 * eight[at] + bit, whole + np.flatnonzero(flat[whole:])])
+
+
+def _below(limit: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """Limits as a column of that type, never larger."""
+    return np.nextafter(limit.astype(kind), kind.type(-np.inf))[:, None]
+
+
+def _best(r: np.ndarray, j: np.ndarray, far: np.ndarray, p: float, k: int) -> np.ndarray:
+    """Places of the k closest of every query r, ties by j; equal roots are equal distances."""
+    order = np.lexsort((j, _root(far, p), r))
+    r = r[order]
+    return order[np.arange(len(r)) - np.searchsorted(r, r) < k]
+
+
+def _root(far: np.ndarray, p: float) -> np.ndarray:
+    return np.sqrt(far) if p == 2 else far if p == 1 else far ** (1.0 / p)
+
+
+def _repeats(c: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray | None:
+    """Rows of c (in key order) but those behind the first k + 1 keys of one vector, which no query can want."""
+    same = np.unique(np.ascontiguousarray(c).view(f"V{c.itemsize * c.shape[1]}").ravel(), return_inverse=True)[1].ravel()
+    if same.max(initial=-1) + 1 > 0.9 * len(c):
+        return None
+    order = np.argsort(same, kind="stable")
+    group, key = same[order], keys[order]
+    fresh = np.ones(len(c), bool)
+    fresh[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+    nth = np.cumsum(fresh)
+    first = np.maximum.accumulate(np.where(np.r_[True, group[1:] != group[:-1]], nth, 0))
+    return np.sort(order[nth - first <= k])
+
+
+def closest(
+    q: np.ndarray, c: np.ndarray, k: int, p: float = 2.0, partial: bool = False, q_keys: np.ndarray | None = None, c_keys: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, distance) of the k closest rows of c for every row of q, ties by row.
+
+    Pairs of equal ``q_keys`` and ``c_keys`` are left out.  Scores estimate distances by a matrix product; each
+    query's k-th exact distance so far tells which scores, less their rounding error, are still worth a full distance.
+    """
+    p = 2.0 if partial else p
+    none = np.zeros(0, np.int64)
+    if not len(q) or not len(c):
+        return none, none, np.zeros(0)
+    kept = _repeats(c, np.arange(len(c)) if c_keys is None else c_keys, k)
+    if kept is not None:
+        c, c_keys = c[kept], None if c_keys is None else c_keys[kept]
+    need = k if c_keys is None else k + int(np.unique(c_keys, return_counts=True)[1].max())
+    score, base, factor, room_of = _scores(q, c, p, partial)
+    cuts = [0, *range(min(max(FIRST, 2 * need), len(c)), len(c), NEXT), len(c)]
+    found = []
+    for s in range(0, len(q), ASKED):
+        a = slice(s, min(s + ASKED, len(q)))
+        n = a.stop - s
+        bound = np.full(n, np.inf)
+        best = none, none, np.zeros(0)  # query within the slice, row, distance before the root
+        for lo, hi in zip(cuts, cuts[1:]):
+            if lo == hi:
+                continue
+            got = score(a, slice(lo, hi))
+            room = room_of(a, bound)
+            least = base[a] - factor * bound - room
+            pairs = got >= _below(least, got.dtype)
+            if np.count_nonzero(pairs) > 4 * need * n and hi - lo > need:
+                many = np.flatnonzero(np.count_nonzero(pairs, axis=1) > 4 * need)
+                kth = np.partition(got[many], hi - lo - need, axis=1)[:, hi - lo - need].astype(float)
+                tight = np.maximum(least[many], kth - 2 * room[many])
+                pairs[many] = got[many] >= _below(tight, got.dtype)
+            r, j = np.divmod(_places(pairs), hi - lo)
+            j += lo
+            if c_keys is not None:
+                other = q_keys[s + r] != c_keys[j]
+                r, j = r[other], j[other]
+            if not len(r):
+                continue
+            far = _exact(q[a], c, r, j, p, partial)
+            real = ~np.isnan(far)
+            best = tuple(np.concatenate([x, y[real]]) for x, y in zip(best, (r, j, far)))
+            top = _best(*best, p, k)
+            best = tuple(x[top] for x in best)
+            full = np.bincount(best[0], minlength=n) == k
+            last = np.searchsorted(best[0], np.arange(n), "right") - 1
+            bound[full] = best[2][last[full]]
+        found.append((best[0] + s, best[1], _root(best[2], p)))
+    r, j, far = (np.concatenate(x) for x in zip(*found))
+    return r, j if kept is None else kept[j], far
+
+
+def _codes(a: pa.ChunkedArray, b: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that are equal where keys are; null numbers and times equal nothing."""
+    both = pa.chunked_array([*a.chunks, *b.cast(a.type).chunks], a.type).combine_chunks()
+    codes = both.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    mine, theirs = codes[: len(a)], codes[len(a) :]
+    if pa.types.is_integer(a.type) or pa.types.is_floating(a.type) or pa.types.is_timestamp(a.type):
+        theirs = np.where(theirs < 0, -2, theirs)
+    return mine, theirs
+
+
+def meeting(k: int, p: float, partial: bool, exclude_self: bool, extra: Sequence[str], width: int):
+    """A function of two Arrow tables, queries and corpus, to the k closest rows per query."""
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        r, j, far = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if a.num_rows and b.num_rows:
+            b = b.take(pc.array_sort_indices(b["key"], null_placement="at_start"))
+            codes = _codes(a["key"], b["key"]) if exclude_self else (None, None)
+            r, j, far = closest(vectors(a, width), vectors(b, width), k, p, partial, *codes)
+        mine, theirs = pa.array(r), pa.array(j)
+        columns = [a["key"].take(mine), b["key"].take(theirs), pa.array(far, pa.float64()), *[b[x].take(theirs) for x in extra]]
+        return pa.table(columns, names=["query", "neighbour", "distance", *extra])
+
+    return meet
+
+
+def grid(ask: DataFrame, base: DataFrame, n_ask: int, n: int, meet, extra: Sequence[str], out_ddl: str) -> DataFrame:
+    """Every row of ``ask`` (key, v) meets every row of ``base`` (key, v, extra): lanes by blocks of bounded size.
+
+    Rows are dealt at random, so that neither copies of a row nor of a key crowd a cell.
+    """
+    cells = GRID_CELLS * ask.sparkSession.sparkContext.defaultParallelism
+    side = min(GRID_ROWS, max(BLOCK_ROWS, math.ceil(math.sqrt(max(1, n_ask) * n / cells))))
+    lanes, blocks = max(1, math.ceil(n_ask / side)), max(1, math.ceil(n / side))
+
+    def dealt(df: DataFrame, name: str, parts: int, other: str, others: int) -> DataFrame:
+        number = F.lit(0) if parts == 1 else F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+        own = df.withColumn(name, number)
+        # written first, so that a task run again deals its rows as before
+        own = own if parts == 1 else materialise(own)
+        return own.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    names = ["lane", "block"]
+    left, right = dealt(ask.select("key", "v"), "lane", lanes, "block", blocks), dealt(base.select("key", "v", *extra), "block", blocks, "lane", lanes)
+    pairs = left.select(*names, "key", "v").groupBy(*names).cogroup(right.select(*names, "key", "v", *extra).groupBy(*names))
+    return pairs.applyInArrow(meet, out_ddl)
+
+
 def _box_gaps(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, p: float, partial: bool) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest possible distance of each query to any row of each block."""
     near = np.zeros((len(q), len(lo)))
@@ -209,7 +427,6 @@ def knn_join(
         return knn_approx(queries, corpus, query_key, corpus_key, columns, k, p, exclude_self, carry, recall)
     if mode != "exact":
         raise ValueError("mode must be exact or approx")
-    block_rows, query_rows = block_rows or BLOCK_ROWS, query_rows or QUERY_ROWS
     spark = corpus.sparkSession
     d = len(columns)
     extra = [f"c{i}" for i in range(len(carry))]
@@ -220,6 +437,8 @@ def knn_join(
         out = df.select(col(key).alias("key"), v, *[col(c).alias(x) for c, x in zip(more, extra)])
         return out if allow_missing else complete(out, d)
 
+    wanted = block_rows is not None
+    block_rows, query_rows = block_rows or BLOCK_ROWS, query_rows or QUERY_ROWS
     base, ask = slim(corpus, corpus_key, carry), slim(queries, query_key, ())
     q_type, c_type = dtype_of(ask, "key").simpleString(), dtype_of(base, "key").simpleString()
     n = base.count()
@@ -227,6 +446,14 @@ def knn_join(
     out_ddl = f"query {q_type}, neighbour {c_type}, distance double{carry_ddl}"
     if n == 0:
         return _named(spark.createDataFrame([], out_ddl).withColumn("rank", F.lit(1)), query_key, carry)
+    n_ask = ask.count()
+    meet = meeting(k, p, allow_missing, exclude_self, extra, d)
+
+    def on_grid() -> DataFrame:
+        return _named(ranked(grid(ask, base.select("key", "v", *extra), n_ask, n, meet, extra, out_ddl), k), query_key, carry)
+
+    if n <= block_rows or (not wanted and n * n_ask <= GRID_ROWS * GRID_ROWS):
+        return on_grid()
     block_rows = max(block_rows, math.ceil(2 * n / MAX_BLOCKS))
 
     # --- blocks
@@ -237,6 +464,8 @@ def knn_join(
         # blocks hold one pattern of missing coordinates each, unless there are too many patterns
         patterns = base.select("pattern").distinct().limit(MAX_PATTERNS + 1).count()
         pure = patterns <= MAX_PATTERNS
+        if not pure:
+            return on_grid()
         leaves = max(1, min(leaves, MAX_BLOCKS // (2 * patterns)))
     if leaves > 1:
         share = min(1.0, min(SAMPLE_LIMIT, 32 * leaves) / n)
@@ -272,13 +501,16 @@ def knn_join(
     )
 
     # --- bounding boxes
-    if n_blocks > 1:
-        boxes = _boxes(blocked, d)
-        ids, counts = boxes["block"].to_numpy(dtype=np.int64), boxes["n"].to_numpy(dtype=float)
-        lo, hi = (np.stack([np.asarray(v, float) for v in boxes[c]]) for c in ("lo", "hi"))
-        shared = spark.sparkContext.broadcast((ids, counts, lo, hi))
+    if n_blocks == 1:
+        return on_grid()
+    boxes = _boxes(blocked, d)
+    ids, counts = boxes["block"].to_numpy(dtype=np.int64), boxes["n"].to_numpy(dtype=float)
+    lo, hi = (np.stack([np.asarray(v, float) for v in boxes[c]]) for c in ("lo", "hi"))
+    visits = len(ids) * _share_visited(ask, base, n_ask, k, p, allow_missing, exclude_self, lo, hi)
+    if visits * (block_rows + VISIT_ROWS) > n:
+        return on_grid()
+    shared = spark.sparkContext.broadcast((ids, counts, lo, hi))
     need = k + (1 if exclude_self else 0)
-    prune = pure
 
     def first_block(batches):
         ids, counts, lo, hi = shared.value
@@ -309,40 +541,12 @@ def knn_join(
             step = max(8, BOX_CELLS // len(ids))
             for s in range(0, len(q), step):
                 part = slice(s, s + step)
-                keep = np.ones((len(q[part]), len(ids)), dtype=bool)
-                if prune:
-                    keep = _box_gaps(q[part], lo, hi, p, allow_missing)[0] <= bound[part, None]
+                keep = _box_gaps(q[part], lo, hi, p, allow_missing)[0] <= bound[part, None]
                 keep &= ids[None, :] != own[part, None]
                 r, b = np.nonzero(keep)
                 if len(r):
                     yield _with(slim.take(pa.array(r + s)), block=ids[b])
 
-    def nearest(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        frames = []
-        if len(left) and len(right):
-            right = right.sort_values("key", kind="stable")
-            c, keys = np.stack([np.asarray(v, float) for v in right["v"]]), right["key"].to_numpy()
-            take = min(k, len(c))
-            for s in range(0, len(left), 256):
-                part = left.iloc[s : s + 256]
-                dist = _distances(np.stack([np.asarray(v, float) for v in part["v"]]), c, p, allow_missing)
-                if exclude_self:
-                    dist[part["key"].to_numpy()[:, None] == keys[None, :]] = np.nan
-                kth = np.partition(np.where(np.isnan(dist), np.inf, dist), take - 1, axis=1)[:, take - 1]
-                r, j = np.nonzero(dist <= kth[:, None])
-                order = np.lexsort((j, dist[r, j], r))
-                r, j = r[order], j[order]
-                starts = np.searchsorted(r, r)
-                best = np.arange(len(r)) - starts < take
-                r, j = r[best], j[best]
-                out = {"query": part["key"].to_numpy()[r], "neighbour": keys[j], "distance": dist[r, j]}
-                for x in extra:
-                    out[x] = right[x].to_numpy()[j]
-                frames.append(pd.DataFrame(out))
-        if not frames:
-            return pd.DataFrame({c: [] for c in ("query", "neighbour", "distance", *extra)})
-        return pd.concat(frames, ignore_index=True)
-
     def visit(asked: DataFrame) -> DataFrame:
         """Meet every query with the block it names, in groups of bounded size on both sides."""
         loads = {r["block"]: r["n"] for r in asked.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -357,25 +561,55 @@ def knn_join(
         pairs = left.select("block", "lane", "key", "v").groupBy("block", "lane").cogroup(
             right.select("block", "lane", "key", "v", *extra).groupBy("block", "lane")
         )
-        return pairs.applyInPandas(nearest, out_ddl)
+        return pairs.applyInArrow(meet, out_ddl)
+
+    fields = ask.schema.fields + [T.StructField("block", T.LongType()), T.StructField("bound", T.DoubleType())]
+    start = materialise(ask.mapInArrow(first_block, T.StructType(fields)))
+    opening = materialise(visit(start))
+    kth = opening.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
+    kth = kth.select(F.col("query").alias("key"), F.when(F.col("n") >= k, F.col("far")).alias("far"))
+    tightened = start.join(kth, "key", "left").select(
+        "key", "v", "block", F.least(F.col("bound"), F.coalesce("far", F.lit(float("inf")))).alias("bound")
+    )
+    fields = ask.schema.fields + [T.StructField("block", T.LongType())]
+    rest = materialise(tightened.mapInArrow(other_blocks, T.StructType(fields)))
+    return _named(ranked(opening.unionByName(visit(rest)), k), query_key, carry)
+
 
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k closest of every query."""
     w = Window.partitionBy("query").orderBy("distance", "neighbour")
-    if n_blocks == 1:
-        found = visit(ask.withColumn("block", F.lit(0).cast("bigint")))
-    else:
-        fields = ask.schema.fields + [T.StructField("block", T.LongType()), T.StructField("bound", T.DoubleType())]
-        start = materialise(ask.mapInArrow(first_block, T.StructType(fields)))
-        opening = materialise(visit(start))
-        kth = opening.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
-        kth = kth.select(F.col("query").alias("key"), F.when(F.col("n") >= k, F.col("far")).alias("far"))
-        tightened = start.join(kth, "key", "left").select(
-            "key", "v", "block", F.least(F.col("bound"), F.coalesce("far", F.lit(float("inf")))).alias("bound")
-        )
-        fields = ask.schema.fields + [T.StructField("block", T.LongType())]
-        rest = materialise(tightened.mapInArrow(other_blocks, T.StructType(fields)))
-        found = opening.unionByName(visit(rest))
-    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return _named(ranked, query_key, carry)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _share_visited(
+    ask: DataFrame, base: DataFrame, n_ask: int, k: int, p: float, partial: bool, exclude_self: bool, lo: np.ndarray, hi: np.ndarray
+) -> float:
+    """Share of the boxes that can hold neighbours of a query, on average over about TRIALS of them.
+
+    One pass over the corpus gives their exact k-th distances: it decides how the join is done, never what it finds.
+    """
+    width = lo.shape[1]
+    draw = hash_unit("key", "trial") < F.lit(min(1.0, TRIALS / max(1, n_ask)))
+    trial = ask.where(draw).select("v").limit(TRIALS).toArrow()
+    if not trial.num_rows:
+        return 1.0
+    asked, wanted = vectors(trial, width), k + (1 if exclude_self else 0)
+
+    def nearby(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = np.full((len(asked), wanted), np.inf)
+        for batch in batches:
+            r, _, far = closest(asked, vectors(batch, width), wanted, p, partial)
+            new = np.full((len(asked), wanted), np.inf)
+            new[r, np.arange(len(r)) - np.searchsorted(r, r)] = far
+            near = np.sort(np.concatenate([near, new], axis=1), axis=1)[:, :wanted]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(near)), pa.int64()), pa.array(near.tolist(), pa.list_(pa.float64()))], names=["q", "far"])
+
+    tasks = base.select("v").mapInArrow(nearby, "q bigint, far array<double>")
+    last = tasks.groupBy("q").agg(F.sort_array(F.flatten(F.collect_list("far")))[wanted - 1].alias("far")).toPandas()  # TRIALS rows
+    bound = last.sort_values("q")["far"].to_numpy(dtype=float)
+    near, _ = _box_gaps(asked, lo, hi, p, partial)
+    return float((near <= bound[:, None]).mean())
 
 
 def _named(found: DataFrame, query_key: str, carry: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, num, num_sql
 from ..functions.hashing import hash_hex, hash_int, hash_unit
+from ..functions.lineage import materialise
 from .engineer import bin_expr, quantile_edges
 from .neighbours import knn_join
 from .split import hash_thresholds, position_column, stratum, stratum_sizes
@@ -150,11 +151,24 @@ def adasyn(
 
 
 def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str, mode: str = "exact") -> DataFrame:
-    """Keys of rows that are each other's nearest neighbour across classes."""
-    near = knn_join(df, df, key, key, features, 1, exclude_self=True, carry=[label], mode=mode)
+    """Keys of rows that are each other's nearest neighbour across classes.
+
+    One end of a link is outside the largest class: those rows are asked first, then the rows that
+    they point at.  No other row can have a link.
+    """
+    largest = df.groupBy(stratum(label).alias("s")).count().orderBy(F.desc("count"), "s").first()
+    most = largest["s"] if largest else ""
     mine = df.select(col(key).alias("a"), stratum(label).alias("a_label"))
-    one = near.select(col(key).alias("a"), F.col("neighbour").alias("b"), stratum(label).alias("b_label")).join(mine, "a")
-    one = one.where(F.col("a_label") != F.col("b_label")).select("a", "b")
+
+    def pointing(keys: DataFrame) -> DataFrame:
+        asked = df.join(keys.select(F.col("a").alias("__asked")).distinct(), col(key) == F.col("__asked"), "left_semi")
+        near = knn_join(asked, df, key, key, features, 1, exclude_self=True, carry=[label], mode=mode)
+        ends = near.select(col(key).alias("a"), F.col("neighbour").alias("b"), stratum(label).alias("b_label")).join(mine, "a")
+        return materialise(ends.where(F.col("a_label") != F.col("b_label")).select("a", "b"))
+
+    first = mine.where(F.col("a_label") != F.lit(most)).select("a")
+    one = pointing(first)
+    one = one.unionByName(pointing(one.select(F.col("b").alias("a")).join(first, "a", "left_anti")))
     back = one.select(F.col("b").alias("a"), F.col("a").alias("b"))
     return one.join(back, ["a", "b"]).select(F.col("a").alias(key))
 
@@ -163,8 +177,6 @@ def smote_tomek(
     df: DataFrame, key: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42, mode: str = "exact"
 ) -> DataFrame:
     """SMOTE, then drop both ends of every cross-class mutual-nearest pair."""
-    from ..functions.lineage import materialise
-
     both = materialise(append_synthetic(df, smote(df, key, features, label, k, seed, mode), key, features, label))
     links = tomek_links(both, "row_id", features, label, mode)
     return both.join(links, "row_id", "left_anti")
