@@ -113,6 +113,32 @@ def test_threshold_separates(spark):
     assert make([(0, 1.0), (0, 2.0), *[(1, 0.0)] * 9]) <= 0.0
 
 
+def test_every_labelled_document_teaches(spark):
+    rows, word = 24_000, "concat('w', id % 7)"
+    docs = spark.range(rows).selectExpr("id AS doc_id", f"concat({word}, ' tail') AS text")
+    labels = spark.range(rows).selectExpr("id AS doc_id", "if(id % 3 = 0, 0, 1) AS quality")
+    sample = quality.labelled_sample(docs, labels)
+    assert sample.count() == rows and sample.where("label = 1").count() == rows * 2 // 3
+    counts = quality.counted(docs, sample).collect()
+    assert sum(r.target for r in counts) * 3 == sum(r.raw for r in counts) * 2
+
+
+def test_threshold_of_any_number_of_scores(spark, monkeypatch):
+    from millrace.operators import ordered
+
+    draw = np.random.default_rng(5)
+    rows = [(int(y), round(float(draw.normal(2 * y)), 2)) for y in draw.integers(0, 2, 3000)]
+    label, score = np.array(rows).T
+    points = np.unique(score)
+    kept = np.array([(score[label == 1] >= x).mean() for x in points])
+    value = np.where(kept >= quality.KEEP_GOOD, kept + [(score[label == 0] < x).mean() for x in points], -1)
+    best = int(value.argmax())
+    judged = spark.createDataFrame(rows, "label int, score double")
+    for few in (100_000, 10):
+        monkeypatch.setattr(ordered, "SMALL_VALUES", few)
+        assert quality.threshold(judged) == pytest.approx((points[best - 1] + points[best]) / 2)
+
+
 def test_quality_odd_tables(spark):
     labels = spark.createDataFrame([(11, 1), (0, 0)], "doc_id bigint, quality int")
     more = [*TEXTS, " ".join(f"good{i}" for i in range(60)), " ".join(f"@@{i}|" for i in range(60))]
