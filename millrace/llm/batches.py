@@ -153,6 +153,15 @@ def chunk_words(text: str) -> list[str]:
     return (SAFE_SPACE.split(text) if WIDE_SPACE.search(text) else text.split(" ")) if text else []
 
 
+def blocks(text: str, size: int = CHARS) -> Iterator[str]:
+    """The text in pieces of about ``size`` characters, cut where :func:`chunk_words` may cut."""
+    start = 0
+    while len(text) - start > size and (cut := SAFE_SPACE.search(text, start + size)):
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
 def chunks(text: str) -> list[str]:
     """:func:`chunk_words` with their spaces."""
     words = chunk_words(text)

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..functions.columns import col
-from .batches import Memo, _pieces, chunk_words, released, small_batches, stored
+from .batches import Memo, _pieces, blocks, chunk_words, released, small_batches, stored
 
 CAPACITY = 2048
 END = 0  # token behind every document
@@ -83,18 +83,46 @@ def _in_one_call(encode: Callable[[str], list[int]], keys: list[str]) -> list[by
     return [array("I", encode(k)).tobytes() if o is None else o for k, o in zip(keys, out)]
 
 
-def _coder(text: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids of chunks as bytes.  The general library keeps offsets and strings of every token, most of its
-    time; where merge ranks say the same, the library made for those gives the ids."""
+def _ranked(text: str) -> Callable[[str], list[int]] | None:
+    """Where merge ranks say the same as the tokenizer file, the encoder of the library made for those: the general
+    library keeps offsets and strings of every token, most of its time."""
     if ranks := _merge_ranks(json.loads(text)):
         pattern = public_tokenizers.PATTERN
-        encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return None
+
+
+def _coder(text: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of chunks as bytes."""
+    if encode := _ranked(text):
         return lambda keys: _in_one_call(encode, keys)
     tokenizer = Tokenizer.from_str(text)
     tokenizer.encode_special_tokens = True
     return lambda keys: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(keys, add_special_tokens=False)]
 
 
+def _text_coder(text: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of whole texts as bytes.
+
+    The encoder of merge ranks takes texts as they are, long ones in blocks: a word takes it less time than
+    cutting the text there and looking the word up, and words met once take half.  The general library is
+    asked once per word.
+    """
+    if encode := _ranked(text):
+        return lambda texts: [b"".join([array("I", encode(b)).tobytes() for b in blocks(t)]) for t in texts]
+    coder = _coder(text)
+    first, memo = Memo(coder), Memo(lambda words: coder([" " + w for w in words]))
+
+    def ids(texts: list[str]) -> list[bytes]:
+        cut = [chunk_words(t) for t in texts]
+        heads = ["".join(words[:1]) for words in cut]
+        first.learn(set(heads))
+        memo.learn(set(chain.from_iterable(islice(words, 1, None) for words in cut)))
+        return [first[head] + b"".join(map(memo.__getitem__, islice(words, 1, None))) for head, words in zip(heads, cut)]
+
+    return ids
+
+
 def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: ``keep``, piece, start, length, ids (little-endian unsigned 32-bit numbers)
     and ``task``, ``nth``: the piece is the nth of its length that the task made.
@@ -114,17 +142,12 @@ def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "te
         seen = [0] * (capacity + 1)
 
         released()
-        coder = _coder(shared.value)
-        first, memo = Memo(coder), Memo(lambda words: coder([" " + w for w in words]))
+        coder = _text_coder(shared.value)
         for batch in batches:
             for part in _pieces(batch, width):
-                cut = [chunk_words(t or "") for t in part.column(width).to_pylist()]
-                heads = ["".join(words[:1]) for words in cut]
-                first.learn(set(heads))
-                memo.learn(set(chain.from_iterable(islice(words, 1, None) for words in cut)))
                 rows, made = [], []
-                for row, (head, words) in enumerate(zip(heads, cut)):
-                    ids = first[head] + b"".join(map(memo.__getitem__, islice(words, 1, None))) + end
+                for row, ids in enumerate(coder([t or "" for t in part.column(width).to_pylist()])):
+                    ids += end
                     n, start = len(ids) // 4, 0
                     size = n % capacity or capacity
                     for piece in range(-(-n // capacity)):

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from millrace.llm import bpe, packing, queries
-from millrace.llm.batches import Memo, chunks
+from millrace.llm.batches import Memo, blocks, chunks
 
 RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 ENCODER = bpe.Encoder(RANKS)
@@ -193,3 +193,29 @@ def test_fast_coder_equals_the_library():
     other = Tokenizer.from_str(json.dumps(spaced))
     got = packing._coder(json.dumps(spaced))(["word", "two"])
     assert got == [np.array(other.encode(k, add_special_tokens=False).ids, "<u4").tobytes() for k in ("word", "two")]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab  \n\té√’sl1!?\u3000\x1c\u00a0T"), max_size=60), st.integers(1, 20))
+def test_blocks_encode_like_the_text(text, size):
+    pieces = list(blocks(text, size))
+    assert "".join(pieces) == text
+    assert [i for b in pieces for i in LIBRARY.encode_ordinary(b)] == LIBRARY.encode_ordinary(text)
+
+
+def test_texts_of_words_met_once_are_not_cut(monkeypatch):
+    with open(VOCABULARY, encoding="utf-8") as f:
+        text = f.read()
+    texts = [t or "" for t in ODD] + [" ".join(f"w{i}x{i * 7}" for i in range(3000))]
+    want = [np.array(tokenizer().encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    monkeypatch.setattr(packing, "chunk_words", lambda t: pytest.fail("cut into words"))
+    assert packing._text_coder(text)(texts) == want
+
+
+def test_general_tokenizers_are_asked_once_per_word(monkeypatch):
+    with open(VOCABULARY, encoding="utf-8") as f:
+        text = f.read()
+    texts = [t or "" for t in ODD] + ["a b a b", "b a"]
+    want = packing._text_coder(text)(texts)
+    monkeypatch.setattr(packing, "_ranked", lambda t: None)
+    assert packing._text_coder(text)(texts) == want
