@@ -1,11 +1,15 @@
-"""Cutting lineage on reliable storage."""
+"""Cutting lineage on reliable storage, and rows in tasks of bounded size."""
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+TASK_ROWS = 500_000  # rows that a task of a trainer may hold; trees keep 200 to 350 bytes for each
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -44,6 +48,18 @@ def spread_out(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
+def bounded(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Deal the rows anew where a task would hold more than ``rows``, TASK_ROWS by default.
+
+    Trainers that keep every partition in memory then hold, and read again, small parts of the table
+    however large it is.  Tables whose tasks are small pass unchanged.
+    """
+    rows = rows or TASK_ROWS
+    sizes = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return df.repartition(math.ceil(total / rows)) if most and most > rows else df
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write the rows to the checkpoint folder and continue from there."""
     ensure_checkpoint_dir(df.sparkSession)

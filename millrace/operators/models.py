@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, lit_sql, local_rows, num, num_sql
 from ..functions.hashing import hash_unit, poisson_times
-from ..functions.lineage import materialise
+from ..functions.lineage import bounded, materialise
 from ..functions.moments import moments
 from . import penalised
 from .neighbours import knn_predict
@@ -257,7 +257,7 @@ def _adaboost_reg(df: DataFrame, features: Sequence[str], target: str, p: Mappin
     rounds, rate, loss = int(p.get("n_estimators", 50)), float(p.get("learning_rate", 1.0)), p.get("loss", "linear")
     base = assembler(features).transform(df).select(VECTOR, num(df, target).alias("y"))
     n = base.count()
-    state = materialise(base.withColumn("w", F.lit(1.0 / n)))
+    state = materialise(bounded(base).withColumn("w", F.lit(1.0 / n)))
     trees, weights = [], []
     for i in range(rounds):
         tree = DecisionTreeRegressor(
@@ -314,7 +314,7 @@ def _adaboost_cls(df: DataFrame, features: Sequence[str], target: str, p: Mappin
     rounds, rate = int(p.get("n_estimators", 50)), float(p.get("learning_rate", 1.0))
     base = assembler(features).transform(df).select(VECTOR, num(df, target).alias("y"))
     classes = _classes(base)
-    state = materialise(base.withColumn("w", F.lit(1.0 / base.count())))
+    state = materialise(bounded(base).withColumn("w", F.lit(1.0 / base.count())))
     trees, weights = [], []
     for i in range(rounds):
         tree = DecisionTreeClassifier(
@@ -344,7 +344,7 @@ def _bagging(df: DataFrame, features: Sequence[str], target: str, p: Mapping[str
     count, share, width = int(p.get("n_estimators", 10)), float(p.get("max_samples", 1.0)), float(p.get("max_features", 1.0))
     seed = int(p.get("random_state") or 42)
     rng = random.Random(seed)
-    base = materialise(assembler(features).transform(df).select(VECTOR, num(df, target).alias("y")))
+    base = materialise(bounded(assembler(features).transform(df).select(VECTOR, num(df, target).alias("y"))))
     classes = _classes(base) if task != "regression" else []
     take = max(1, round(width * len(features)))
     trees, slices = [], []
@@ -453,6 +453,9 @@ def fit_model(
     if isinstance(est, (GBTRegressor, GBTClassifier)) and (p.get("n_iter_no_change") or p.get("early_stopping_rounds")):
         df = df.withColumn(HELD, _held(df, features, target, float(p.get("validation_fraction", 0.1))))
         est.setParams(validationIndicatorCol=HELD, validationTol=float(p.get("tol", 1e-4)))
+    if name in ("random_forest", "gbt", "tree"):
+        # trees read nothing else, so nothing else is dealt
+        df = bounded(df.select(*[col(c) for c in dict.fromkeys([*features, target, *([HELD] if HELD in df.columns else [])])]))
     return Pipeline(stages=[assembler(features), est]).fit(df)
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from typing import Any, Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import tails
 from ..functions.columns import col, columns_of, correlation, dtype_of, is_float, local_rows, num, num_sql
 from ..functions.gram import gram_matrix
-from ..functions.lineage import materialise
+from ..functions.lineage import bounded, materialise
 from ..functions.moments import moments
 from . import penalised
 from .engineer import bin_expr, quantile_edges
@@ -232,7 +233,8 @@ def rfe(
     """
     features = numeric_features(df, target, features)
     estimator = estimator or RandomForestRegressor(numTrees=50, maxDepth=5, seed=42)
-    vectors = assembler(features).transform(df).select(VECTOR, num(df, target).alias("y")).persist()
+    vectors = bounded(assembler(features).transform(df).select(VECTOR, num(df, target).alias("y")))
+    vectors = vectors.persist(StorageLevel.DISK_ONLY)  # memory is left to the trees
     left, dropped = list(range(len(features))), []
     try:
         while len(left) > n_features:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, local_rows, num
 from ..functions.hashing import hash_hex, hash_unit, poisson_times
+from ..functions.lineage import bounded
 from . import penalised
 from .evaluate import regression_aggregates
 from .models import VECTOR, assembler, canonical, drop_unset, fit_model, native_estimator, predict, spark_params
@@ -184,7 +185,7 @@ def search(
     name_ = canonical(name)
     if task == "regression" and name_ in penalised.PENALISED and metric in penalised.METRICS and resample is None:
         return _penalised_search(folded, features, target, name_, candidates, metric, refit)
-    folded = folded.persist()
+    folded = bounded(folded).persist()
     scores: list[float] = []
     try:
         if name_ in LOOP_MODELS or resample is not None or _one_vs_rest(folded, target, task, name_):
@@ -293,7 +294,7 @@ def joint_search(
         builder = builder.addGrid(est.getParam(param), [t[param] for t in translated])
         names[param] = k
     maps = builder.build()
-    folded = with_folds(df, key, cv, seed).persist()
+    folded = bounded(with_folds(df, key, cv, seed)).persist()
     try:
         fitted = CrossValidator(
             estimator=chain, estimatorParamMaps=maps, evaluator=evaluator(metric, target), numFolds=cv, foldCol=FOLD, parallelism=PARALLEL
