@@ -17,8 +17,9 @@ more, and the document score is a calibrated function of the chance that any tok
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
-from typing import Iterator
+from typing import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col
-from .batches import _pieces, known_labels, over_texts
+from .batches import _pieces, known_labels, over_texts, released
 from .tokens import Table
 
 SAMPLE = 1000  # labelled documents of each class, in hash order
@@ -42,6 +43,7 @@ ROUNDS = 60
 RATE = 0.5
 DECAY = 1e-4
 FLOOR = 0.2  # marginals below it (words the field knows nothing about) do not add up
+TOKENS = 100_000  # of the sample that the driver works on at once
 STRIDES = 1024  # pieces of a batch's token chain that are worked on side by side
 WORD = re.compile(r"\S+")
 EDGE = re.compile(r"^\W+|\W+$")
@@ -215,48 +217,81 @@ def any_toxic(p: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.log(np.maximum(some, 1e-6)) - np.maximum(none, np.log(1e-6))
 
 
+def _numbered(texts: Iterable[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Sorted distinct words, the number of every token's word, and the ends of the texts: a token is never
+    kept as a string of its own."""
+    number: dict[str, int] = {}
+    places, ends = array("i"), [0]
+    for text in texts:
+        places.extend(number.setdefault(normal(w), len(number)) for w in text.split())
+        ends.append(len(places))
+    words = sorted(number)
+    rank = np.empty(len(words), np.int32)
+    rank[[number[w] for w in words]] = np.arange(len(words))
+    return words, rank[np.frombuffer(places, np.int32)], np.array(ends, np.int64)
+
+
+def _parts(ends: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of texts, of at most TOKENS tokens unless a single text has more."""
+    out, start = [], 0
+    for i in range(1, len(ends)):
+        if i - 1 > start and ends[i] - ends[start] > TOKENS:
+            out.append((start, i - 1))
+            start = i - 1
+    return [*out, (start, len(ends) - 1)]
+
+
 def train(rows: DataFrame) -> Model | None:
     """The field and its calibration from the sample (toxic, text); None without a toxic document.
 
     Markers are counted in whole texts; what reaches the driver are at most 2 * SAMPLE texts of about
-    SAMPLE_CHARS each (a piece of PIECE words is never cut).
+    SAMPLE_CHARS each (a piece of PIECE words is never cut).  The chain is gone through in parts of TOKENS
+    tokens, so that its arrays do not add to the driver's memory with the sample.
     """
     marks = markers(rows)
     if not marks:
         return None
     taken = material(rows, marks).collect()
-    texts = [[normal(w) for w in r.text.split()] for r in taken]
     label = np.array([r.toxic for r in taken], float)
-    words = sorted({w for t in texts for w in t})
-    number = {w: i for i, w in enumerate(words)}
+    words, place, ends = _numbered(r.text for r in taken)
     feats = [features_of(w) for w in words]
-    owner = np.repeat(np.arange(len(words)), list(map(len, feats)))
-    flat = np.array([f for fs in feats for f in fs], np.int64)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), list(map(len, feats)))
+    flat = np.fromiter((f for fs in feats for f in fs), np.int64, len(owner))
     marked = np.array([any(m in marks for m in markers_of(w)) for w in words])
-    place = np.array([number[w] for t in texts for w in t], np.int64)
-    ends = np.cumsum([0, *map(len, texts)])
-    doc = np.repeat(np.arange(len(texts)), np.diff(ends))
-    gold = (marked[place] & (label[doc] == 1)).astype(float)
-    inner = np.ones(len(place), bool)
-    inner[ends[:-1][np.diff(ends) > 0]] = False
-    before = np.concatenate([[0.0], gold[:-1]])
-    gold_pairs = np.array([(inner & (before == i) & (gold == j)).sum() for i in (0, 1) for j in (0, 1)], float)
+    del taken, feats
+    parts = _parts(ends)
+    gold_word, gold_pairs = np.zeros(len(words)), np.zeros(4)
+    for a, b in parts:
+        at = place[ends[a] : ends[b]]
+        gold = marked[at] & (np.repeat(label[a:b], np.diff(ends[a : b + 1])) == 1)
+        inner = np.ones(len(at), bool)
+        inner[ends[a:b][np.diff(ends[a : b + 1]) > 0] - ends[a]] = False
+        before = np.concatenate([[False], gold[:-1]])
+        gold_pairs += [(inner & (before == i) & (gold == j)).sum() for i in (0, 1) for j in (0, 1)]
+        gold_word += np.bincount(at, weights=gold, minlength=len(words))
 
     weights, bias, step = np.zeros(FEATURES), -4.0, np.zeros((2, 2))
     past_w, past_b, past_s = np.full(FEATURES, 1e-3), 1e-3, np.full(4, 1e-3)
-    gold_word = np.bincount(place, weights=gold, minlength=len(words))
     for _ in range(ROUNDS):
         word_score = np.bincount(owner, weights=weights[flat], minlength=len(words)) + bias
-        p, pairs = marginals(word_score[place], ends, step)
-        off = gold_word - np.bincount(place, weights=p, minlength=len(words))
+        off, g_s = gold_word.copy(), gold_pairs - DECAY * step.reshape(-1)
+        for a, b in parts:
+            at = place[ends[a] : ends[b]]
+            p, pairs = marginals(word_score[at], ends[a : b + 1] - ends[a], step)
+            off -= np.bincount(at, weights=p, minlength=len(words))
+            g_s -= pairs.sum(axis=0)
         g = np.bincount(flat, weights=off[owner], minlength=FEATURES) - DECAY * weights
-        g_b, g_s = off.sum(), gold_pairs - pairs.sum(axis=0) - DECAY * step.reshape(-1)
+        g_b = off.sum()
         past_w, past_b, past_s = past_w + g * g, past_b + g_b * g_b, past_s + g_s * g_s
         weights += RATE * g / np.sqrt(past_w)
         bias += RATE * g_b / past_b**0.5
         step += (RATE * g_s / np.sqrt(past_s)).reshape(2, 2)
     word_score = np.bincount(owner, weights=weights[flat], minlength=len(words)) + bias
-    odds = any_toxic(marginals(word_score[place], ends, step, False)[0], ends)
+    odds = np.zeros(len(label))
+    for a, b in parts:
+        within = ends[a : b + 1] - ends[a]
+        odds[a:b] = any_toxic(marginals(word_score[place[ends[a] : ends[b]]], within, step, False)[0], within)
+    released()
     slope, shift = _logistic(odds, label)
     return Model(weights.astype(np.float32), float(bias), step, slope, shift)
 

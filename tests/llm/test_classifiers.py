@@ -295,6 +295,20 @@ def test_extreme_scores_stay_finite():
     assert np.isfinite(p).all() and np.isfinite(pairs).all() and p[0] > 0.9 and p[1] < 0.1
 
 
+def test_toxicity_trains_on_bounded_parts_of_the_sample(spark, monkeypatch):
+    rows = [(i % 3 == 0, " ".join(f"w{i * j % 97}" for j in range(1, 40)) + (" foul" * 3 if i % 3 == 0 else "")) for i in range(90)]
+    rows += [(True, ""), (False, "")]
+    table = spark.createDataFrame([(int(t), x) for t, x in rows], "toxic int, text string").coalesce(1)
+    whole, seen = toxicity.train(table), []
+    inner = toxicity.marginals
+    monkeypatch.setattr(toxicity, "TOKENS", 100)
+    monkeypatch.setattr(toxicity, "marginals", lambda s, *rest: seen.append(len(s)) or inner(s, *rest))
+    parts = toxicity.train(table)
+    assert max(seen) <= 100 and sum(seen) == (toxicity.ROUNDS + 1) * sum(len(x.split()) for _, x in rows)
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.step, parts.step)
+    assert np.allclose([whole.bias, whole.slope, whole.shift], [parts.bias, parts.slope, parts.shift])
+
+
 def test_toxicity_learns_spans_and_handles_odd_tables(spark):
     import random
 
