@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col, columns_of, lit_sql, num, quote
-from ..functions.lineage import materialise, spread_out
+from ..functions.lineage import materialise, spread_out, written
 from ..functions.steps import ColumnStep, fitted
 from .lookup import lookup_join
 from .ordered import SMALL_VALUES, ranked_values
 
 MAX_LEVELS = 1000
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+TEXTS = 200  # texts whose tokens are counted at once
+FREQUENT = 200_000  # tokens, at most, whose idf is sent to every task
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
@@ -173,23 +179,45 @@ def woe_encode(
     return _encoder(df, column, output, stats, F.log(p_share / n_share), 0.0)
 
 
+def _counts(docs: DataFrame) -> DataFrame:
+    """(key, counts: array of token and tf) of every row of (key, text) by itself: no shuffle."""
+    tokens = docs.select("key", F.regexp_extract_all(F.lower(col("text")), F.lit(TOKEN), F.lit(0)).alias("tokens"))
+    pair = T.StructType([T.StructField("token", T.StringType(), False), T.StructField("tf", T.LongType(), False)])
+    schema = T.StructType([tokens.schema["key"], T.StructField("counts", T.ArrayType(pair, False), False)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(start, TEXTS)
+                flat = part.column(1).flatten()
+                lengths = pc.fill_null(pc.list_value_length(part.column(1)), 0).to_numpy(zero_copy_only=False)
+                codes = flat.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(part.num_rows), lengths)
+                _, first, n = np.unique(row * max(1, len(flat)) + codes, return_index=True, return_counts=True)
+                ends = np.cumsum([0, *np.bincount(row[first], minlength=part.num_rows)])
+                token = flat.take(pa.array(first)).cast(pa.string())
+                counted = pa.StructArray.from_arrays([token, pa.array(n, pa.int64())], fields=[pa.field("token", pa.string(), False), pa.field("tf", pa.int64(), False)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), counted)
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "counts"])
+
+    return tokens.mapInArrow(run, schema)
+
+
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """Sparse TF-IDF as (key, token, weight): smooth idf, l2-normalised per document.
 
     Tokens are runs of two or more word characters of the lower-cased text.
     """
     n_docs = df.count()
-    tokens = spread_out(df.select(col(key), col(text))).select(
-        col(key).alias("key"), F.explode(F.regexp_extract_all(F.lower(col(text)), F.lit(TOKEN), F.lit(0))).alias("token")
-    )
+    named = df.select(col(key).alias("key"), col(text).alias("text"))
     # written once: the document frequencies and the weights both read it
-    tf = materialise(tokens.groupBy("key", "token").agg(F.count(F.lit(1)).alias("tf")))
-    doc_freq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("token").alias("__token"),
-        (F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("n"))) + 1.0).alias("idf"),
-        F.col("n").alias("__n"),
-    )
-    weighted = lookup_join(tf, F.col("token"), doc_freq, "__token", "__n").withColumn(
+    tf = written(_counts(spread_out(named))).selectExpr("key", "inline(counts)")
+    if named.groupBy("key").count().where("count > 1").limit(1).collect():
+        tf = written(tf.groupBy("key", "token").agg(F.sum("tf").alias("tf")))
+    doc_freq = written(tf.groupBy(F.col("token").alias("__token")).agg(F.count(F.lit(1)).alias("__n")))
+    doc_freq = doc_freq.withColumn("idf", F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("__n"))) + 1.0)
+    # frequent tokens, most of the rows, are looked up in place
+    weighted = lookup_join(tf, F.col("token"), doc_freq, "__token", "__n", share=FREQUENT, least=1).withColumn(
         "w", F.col("tf") * F.col("idf")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("key")))

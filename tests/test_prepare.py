@@ -1,6 +1,8 @@
 """Conversion, cleaning, scaling, encoding and feature construction on hand-checked tables."""
 
 import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -225,3 +227,24 @@ def test_steps_run_on_a_stream(spark, data, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == static.count()
     assert abs(out.agg(F.avg("value")).collect()[0][0]) < 1e-9
+
+
+def test_tfidf_counts_texts_in_place_and_adds_up_repeated_keys(spark, monkeypatch):
+    texts = [(1, "Aa bb aa c"), (2, None), (None, "bb x1 \u00c9t\u00e9"), (1, "bb bb zz"), (3, ""), (4, "a b"), (None, "x1"), (5, "zz " * 450)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    monkeypatch.setattr(encode, "TEXTS", 3)
+    for frequent in (0, encode.FREQUENT):
+        monkeypatch.setattr("millrace.operators.lookup.SMALL_VALUES", frequent)
+        for rows in (texts, texts[:3] + texts[4:6]):
+            tf = Counter((k, t) for k, x in rows for t in re.findall(r"\w{2,}", (x or "").lower()))
+            n = Counter(t for _, t in tf)
+            w = {(k, t): c * (math.log((1 + len(rows)) / (1 + n[t])) + 1) for (k, t), c in tf.items()}
+            norm = Counter()
+            for (k, _), x in w.items():
+                norm[k] += x * x
+            got = encode.tfidf(spark.createDataFrame(rows, df.schema), "id", "text").collect()
+            assert {(r.id, r.token): r.tfidf for r in got} == {p: pytest.approx(x / math.sqrt(norm[p[0]])) for p, x in w.items()}
+            assert len(got) == len(w)
+    counted = encode._counts(df.select(df.id.alias("key"), "text"))
+    assert [sorted(map(tuple, r.counts)) for r in counted.collect()[:2]] == [[("aa", 2), ("bb", 1)], []]
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
