@@ -213,7 +213,7 @@ def knn_approx(
         probes = _fitted_probes(base, trial, buckets, k, p, recall, exclude_self) if trial.num_rows else 1
     visits = len(buckets.cuts) * probes
     if visits >= 1 << buckets.levels or (n > GRID_ROWS and visits * VISIT_ROWS >= n):
-        found = grid(ask, base, total, n, meeting(k, p, False, exclude_self, extra, width), extra, out_ddl)
+        found = grid(ask, base, total, n, meeting(k, p, False, exclude_self, extra, width), k, extra, out_ddl)
         return _renamed(ranked(found, k), query_key, extra, carry)
     shared = spark.sparkContext.broadcast(buckets)  # at most trees x (2^17 cuts + directions)
 

@@ -11,7 +11,7 @@ are salted to a bounded size as well.  No pair of rows is ever emitted beyond th
 At dozens of coordinates hardly any box can be ruled out, and a query sent to every block is all that
 moves.  So the share of blocks that a few queries have to visit is measured first.  Where it is large, and
 on tables of few pairs, queries and corpus are dealt at random to lanes and blocks of at most GRID_ROWS rows
-and every lane meets every block once.  All pairs are still compared, as no bound on distances rules one
+and every lane meets every block once; blocks are read where they were written instead of shuffled to every lane.  All pairs are still compared, as no bound on distances rules one
 out, but as matrix products: :func:`closest` estimates distances, and those that the estimate's
 error does not rule out are computed in full.
 """
@@ -280,7 +280,7 @@ def _codes(a: pa.ChunkedArray, b: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 
 
 def meeting(k: int, p: float, partial: bool, exclude_self: bool, extra: Sequence[str], width: int):
-    """A function of two Arrow tables, queries and corpus, to the k closest rows per query."""
+    """A function of two Arrow tables, queries and corpus, to the k closest rows per query, with its row."""
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         r, j, far = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -289,32 +289,88 @@ def meeting(k: int, p: float, partial: bool, exclude_self: bool, extra: Sequence
             codes = _codes(a["key"], b["key"]) if exclude_self else (None, None)
             r, j, far = closest(vectors(a, width), vectors(b, width), k, p, partial, *codes)
         mine, theirs = pa.array(r), pa.array(j)
-        columns = [a["key"].take(mine), b["key"].take(theirs), pa.array(far, pa.float64()), *[b[x].take(theirs) for x in extra]]
-        return pa.table(columns, names=["query", "neighbour", "distance", *extra])
+        columns = [mine, a["key"].take(mine), b["key"].take(theirs), pa.array(far, pa.float64()), *[b[x].take(theirs) for x in extra]]
+        return pa.table(columns, names=["row", "query", "neighbour", "distance", *extra])
 
     return meet
 
 
-def grid(ask: DataFrame, base: DataFrame, n_ask: int, n: int, meet, extra: Sequence[str], out_ddl: str) -> DataFrame:
-    """Every row of ``ask`` (key, v) meets every row of ``base`` (key, v, extra): lanes by blocks of bounded size.
+def _narrow(rows: pa.Table) -> pa.Table:
+    """Vectors as short floats where that loses nothing: half of what travels."""
+    flat = pa.chunked_array([c.flatten() for c in rows["v"].chunks], pa.float64()).to_numpy()
+    with np.errstate(over="ignore"):
+        if not np.array_equal(flat.astype(np.float32), flat, equal_nan=True):
+            return rows
+    return rows.set_column(rows.schema.get_field_index("v"), "v", rows["v"].cast(pa.list_(pa.float32()), safe=False))
 
-    Rows are dealt at random, so that neither copies of a row nor of a key crowd a cell.
+
+def _bundles(df: DataFrame, parts: int, most: int, name: str) -> DataFrame:
+    """The rows dealt at random to so many tasks, as Arrow bytes of about ``most`` rows each.
+
+    Neither copies of a row nor of a key crowd a task.
+    """
+    schema = df.schema
+    number = F.lit(0) if parts == 1 else F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+    own = df.withColumn("part", number)
+    # written first, so that a task run again deals its rows as before
+    own = own if parts == 1 else materialise(own)
+    own = own.repartitionById(parts, "part").select(*schema.names)
+
+    def bundled(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = _narrow(pa.Table.from_batches(held))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_table(rows)
+        return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=[name])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, most - n)
+                held, n, batch = [*held, part], n + part.num_rows, batch.slice(part.num_rows)
+                if n == most:
+                    yield bundled(held)
+                    held, n = [], 0
+        if held:
+            yield bundled(held)
+
+    return own.mapInArrow(run, f"{name} binary")
+
+
+def grid(ask: DataFrame, base: DataFrame, n_ask: int, n: int, meet, k: int, extra: Sequence[str], out_ddl: str) -> DataFrame:
+    """Every row of ``ask`` (key, v) meets every row of ``base`` (key, v, extra): the k closest of each.
+
+    Queries are dealt to lanes and the corpus to pieces.  A task reads its lane and, block after block, its
+    piece from where they were written, and keeps k rows per query, so no row is shuffled once per lane
+    or block.  The larger the tables, the fewer pieces: with lanes enough for all cores there is one.
     """
     cells = GRID_CELLS * ask.sparkSession.sparkContext.defaultParallelism
     side = min(GRID_ROWS, max(BLOCK_ROWS, math.ceil(math.sqrt(max(1, n_ask) * n / cells))))
-    lanes, blocks = max(1, math.ceil(n_ask / side)), max(1, math.ceil(n / side))
+    lanes = max(1, math.ceil(n_ask / side))
+    pieces = max(1, min(math.ceil(n / side), math.ceil(cells / lanes)))
+    asked = _bundles(ask.select("key", "v"), lanes, 2 * side, "asked")
+    asked = materialise(asked.withColumn("lane", F.monotonically_increasing_id()))
+    found = materialise(_bundles(base.select("key", "v", *extra), pieces, side, "found"))
+    order = [(x, "ascending") for x in ("row", "distance", "neighbour")]
 
-    def dealt(df: DataFrame, name: str, parts: int, other: str, others: int) -> DataFrame:
-        number = F.lit(0) if parts == 1 else F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
-        own = df.withColumn(name, number)
-        # written first, so that a task run again deals its rows as before
-        own = own if parts == 1 else materialise(own)
-        return own.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
-
-    names = ["lane", "block"]
-    left, right = dealt(ask.select("key", "v"), "lane", lanes, "block", blocks), dealt(base.select("key", "v", *extra), "block", blocks, "lane", lanes)
-    pairs = left.select(*names, "key", "v").groupBy(*names).cogroup(right.select(*names, "key", "v", *extra).groupBy(*names))
-    return pairs.applyInArrow(meet, out_ddl)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, pa.Table] = {}  # of the one lane of this task
+        for batch in batches:
+            for lane, a, b in zip(batch.column("lane").to_pylist(), batch.column("asked"), batch.column("found")):
+                a, b = (pa.ipc.open_stream(x.as_buffer()).read_all() for x in (a, b))
+                new = meet(a, b)
+                if lane in best:
+                    both = pa.concat_tables([best[lane], new])
+                    both = both.take(pc.sort_indices(both, sort_keys=order, null_placement="at_start"))
+                    row = both["row"].to_numpy()
+                    new = both.filter(pa.array(np.arange(len(row)) - np.searchsorted(row, row) < k))
+                best[lane] = new
+        for rows in best.values():
+            yield from rows.drop_columns(["row"]).combine_chunks().to_batches()
+
+    # the right side is read again for every block of the left, one bundle at a time
+    return found.crossJoin(asked.hint("shuffle_replicate_nl")).mapInArrow(run, out_ddl)
 
 
 def _box_gaps(q: np.ndarray, lo: np.ndarray, hi: np.ndarray, p: float, partial: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -450,7 +506,7 @@ def knn_join(
     meet = meeting(k, p, allow_missing, exclude_self, extra, d)
 
     def on_grid() -> DataFrame:
-        return _named(ranked(grid(ask, base.select("key", "v", *extra), n_ask, n, meet, extra, out_ddl), k), query_key, carry)
+        return _named(ranked(grid(ask, base, n_ask, n, meet, k, extra, out_ddl), k), query_key, carry)
 
     if n <= block_rows or (not wanted and n * n_ask <= GRID_ROWS * GRID_ROWS):
         return on_grid()
@@ -561,7 +617,7 @@ def knn_join(
         pairs = left.select("block", "lane", "key", "v").groupBy("block", "lane").cogroup(
             right.select("block", "lane", "key", "v", *extra).groupBy("block", "lane")
         )
-        return pairs.applyInArrow(meet, out_ddl)
+        return pairs.applyInArrow(lambda a, b: meet(a, b).drop_columns(["row"]), out_ddl)
 
     fields = ask.schema.fields + [T.StructField("block", T.LongType()), T.StructField("bound", T.DoubleType())]
     start = materialise(ask.mapInArrow(first_block, T.StructType(fields)))

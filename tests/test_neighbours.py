@@ -94,3 +94,33 @@ def test_links_are_asked_from_the_smaller_classes(spark, monkeypatch):
     first = {i: j for i, n, j, _ in wanted(x, 1)}
     assert got == sorted(i for i, j in first.items() if first[j] == i and label[i] != label[j]) and got
     assert asked[0] == (label == 1).sum() and sum(asked) < 200
+
+
+def test_the_grid_reads_blocks_instead_of_shuffling_them_to_every_lane(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "GRID_ROWS", 64)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(neighbours, "GRID_CELLS", 0.01)
+    x = np.round(np.random.default_rng(5).normal(size=(640, 8)), 1)
+    x[::9] = x[0]
+    df = table(spark, x).withColumn("tag", F.concat(F.lit("t"), F.col("id")))
+    base = df.select(F.col("id").alias("key"), F.array(*[f"e{j}" for j in range(8)]).alias("v"), F.col("tag").alias("c0"))
+    meet = neighbours.meeting(3, 2.0, False, True, ["c0"], 8)
+    ddl = "query bigint, neighbour bigint, distance double, c0 string"
+    found = neighbours.grid(base, base, 640, 640, meet, 3, ["c0"], ddl)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "CartesianProduct" in plan  # behind it, only k rows per query and piece are shuffled
+    rows = found.collect()
+    assert len(rows) == 640 * 3 and all(r.c0 == f"t{r.neighbour}" for r in rows)
+    got = sorted((r.query, r.neighbour, round(r.distance, 9)) for r in rows)
+    ids = np.arange(640)
+    assert got == sorted((i, int(j), round(float(d), 9)) for i, j, d in brute(x, x, 3, 2.0, False, ids, ids))
+
+
+def test_vectors_travel_short_only_where_that_is_exact():
+    import pyarrow as pa
+
+    for values, kind in (([[0.5, None], [float("nan"), 2.0]], pa.float32()), ([[0.1, 1.0]], pa.float64()), ([[1e300, 1.0]], pa.float64())):
+        rows = pa.table({"key": list(range(len(values))), "v": pa.array(values, pa.list_(pa.float64()))})
+        out = neighbours._narrow(rows)
+        assert out.schema.field("v").type.value_type == kind
+        np.testing.assert_array_equal(neighbours.vectors(out, 2), neighbours.vectors(rows, 2))
