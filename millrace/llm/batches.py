@@ -77,11 +77,13 @@ def over_texts(
     make: Callable[[], Callable[[list], list[pa.Array]]],
     text: str = "text",
     raw: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Columns ``keep`` and new columns computed from the text, batch by batch.
 
     ``make()`` runs once per task and returns a function from a list of texts (None for null), or with
-    ``raw`` from their Arrow array, to one Arrow array per field.  Rows stay where they are: no shuffle.
+    ``raw`` from their Arrow array, to one Arrow array per field.  It gets at most ``rows`` texts at once, ROWS
+    by default.  Rows stay where they are: no shuffle.
     """
     small_batches(df.sparkSession)
     picked = df.select(*[col(c).alias(c) for c in keep], col(text).alias("__text"))
@@ -92,19 +94,20 @@ def over_texts(
         released()
         compute = make()
         for batch in batches:
-            for part in _pieces(batch, width):
+            for part in _pieces(batch, width, rows):
                 texts = part.column(width)
                 new = compute(texts if raw else texts.to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], *new], names=names)
+        compute = batch = part = texts = new = None  # or the worker would keep them while it waits
         released()
 
     return picked.mapInArrow(run, schema)
 
 
-def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+def _pieces(batch: pa.RecordBatch, column: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
     start = 0
     while start < batch.num_rows:
-        rows = min(ROWS, batch.num_rows - start)
+        rows = min(most or ROWS, batch.num_rows - start)
         while rows > 1 and batch.column(column).slice(start, rows).nbytes > CHARS:
             rows = (rows + 1) // 2
         yield batch.slice(start, rows)

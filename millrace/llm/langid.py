@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .batches import _pieces, over_texts
-from .tokens import Table, gram_hashes, laid_out, per_text
+from .tokens import FEW_WORDS, Table, gram_hashes, laid_out, per_text
 
 ORDER = 4
 LANGUAGES = 1000
@@ -41,6 +41,7 @@ DISCOUNT = 0.75
 EVIDENCE = 40
 CALIBRATION = 6.0
 SLACK = 0.3
+TEXTS = 250  # worked on at once: their arrays count against the memory beside the Java heap
 UNKNOWN = "und"
 START, STOP = "\x02", "\x03"
 # word characters but digits; superscripts, fractions and other numerals among them are no letters
@@ -205,7 +206,7 @@ def _table(model: Model) -> Table:
             np.add.at(out, np.repeat(np.arange(len(raw)), list(map(len, runs))), word_entropies(flat, model))
         return out
 
-    return Table(values, len(model.languages) + 1)
+    return Table(values, len(model.languages) + 1, words=FEW_WORDS)
 
 
 def _sums(texts: list, table: Table) -> np.ndarray:
@@ -229,7 +230,7 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
 
         return compute
 
-    sums = over_texts(rows.where("lang is not null"), ["lang"], [T.StructField("sums", T.ArrayType(T.DoubleType()))], make)
+    sums = over_texts(rows.where("lang is not null"), ["lang"], [T.StructField("sums", T.ArrayType(T.DoubleType()))], make, rows=TEXTS)
     n = F.element_at("sums", -1)
     own = F.element_at("sums", F.element_at(F.create_map(*[F.lit(x) for k, j in number.items() for x in (k, j + 1)]), F.col("lang")))
     each = sums.where(n > 0).select("lang", (own / n).alias("h"), n.alias("n"))
@@ -275,4 +276,4 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
 
         return compute
 
-    return over_texts(docs, keep, FIELDS, make, text)
+    return over_texts(docs, keep, FIELDS, make, text, rows=TEXTS)

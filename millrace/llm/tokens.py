@@ -9,6 +9,7 @@ import numpy as np
 
 from .batches import Memo
 
+FEW_WORDS = 75_000  # that a table may remember where workers must stay small
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -42,9 +43,9 @@ def laid_out(words: Sequence[bytes | str], dtype) -> tuple[np.ndarray, np.ndarra
 class Table:
     """Rows of numbers per word, made once per word and worker."""
 
-    def __init__(self, make, width: int, dtype=np.float32):
+    def __init__(self, make, width: int, dtype=np.float32, words: int = 150_000):
         self.width, self.dtype = width, dtype
-        self.memo = Memo(lambda words: [r.tobytes() for r in np.ascontiguousarray(make(words), dtype)])
+        self.memo = Memo(lambda words: [r.tobytes() for r in np.ascontiguousarray(make(words), dtype)], words)
 
     def rows(self, texts: Sequence[Sequence]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(values of the distinct words, number of the distinct word at every place, ends of the texts)."""

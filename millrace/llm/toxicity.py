@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import col
 from .batches import _pieces, known_labels, over_texts, released
-from .tokens import Table
+from .tokens import FEW_WORDS, Table
 
 SAMPLE = 1000  # labelled documents of each class, in hash order
 SAMPLE_CHARS = 20_000  # characters that one of them teaches the field with, about
@@ -44,6 +44,7 @@ RATE = 0.5
 DECAY = 1e-4
 FLOOR = 0.2  # marginals below it (words the field knows nothing about) do not add up
 TOKENS = 100_000  # of the sample that the driver works on at once
+TEXTS = 250  # worked on at once: their arrays count against the memory beside the Java heap
 STRIDES = 1024  # pieces of a batch's token chain that are worked on side by side
 WORD = re.compile(r"\S+")
 EDGE = re.compile(r"^\W+|\W+$")
@@ -336,7 +337,7 @@ def score(docs: DataFrame, model: Model | None, keep: list[str], text: str = "te
             flat = np.array([f for fs in feats for f in fs], np.int64)
             return (np.bincount(owner, weights=model.weights[flat], minlength=len(tokens)) + model.bias)[:, None]
 
-        table = Table(values, 1)
+        table = Table(values, 1, words=FEW_WORDS)
 
         def compute(texts: list) -> list[pa.Array]:
             if model is None:
@@ -352,4 +353,4 @@ def score(docs: DataFrame, model: Model | None, keep: list[str], text: str = "te
 
         return compute
 
-    return over_texts(docs, keep, FIELDS, make, text)
+    return over_texts(docs, keep, FIELDS, make, text, rows=TEXTS)
