@@ -19,6 +19,7 @@ from ..functions.lineage import ensure_checkpoint_dir
 ROWS = 500  # rows handled at once
 CHARS = 2_000_000  # and characters, so that very long texts come in smaller groups
 ARROW_ROWS = 1000  # rows that travel to a worker at once
+SMALL = 500_000  # rows of a few numbers that may be sent to every task
 
 
 def released() -> None:
@@ -48,6 +49,20 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The table as a side of a join that moves rows by key, never whole through the driver.
+
+    Spark takes a table's size from its files, before lists are exploded and columns decoded, and would send
+    millions of rows to every task as if they were few.
+    """
+    return df.hint("merge")
+
+
+def looked_up(df: DataFrame, rows: int) -> DataFrame:
+    """The table as a side of a join: sent to every task if its ``rows``, counted or bounded, are few, else shuffled."""
+    return F.broadcast(df) if rows <= SMALL else shuffled(df)
+
+
 def _folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import over_texts, stored
+from .batches import looked_up, over_texts, shuffled, stored
 
 SHINGLE = 3
 RADIUS = 3
@@ -80,9 +80,10 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
 
     crowded = table.groupBy("key").count().where(f"count > {hot}").select("key")
     if crowded.isEmpty():
-        found = table.join(asks, "key").where(verified)
+        found = table.join(shuffled(asks), "key").where(verified)
         return found.selectExpr("fp as a", "asker as b")
-    cold = table.join(crowded, "key", "left_anti").join(asks.join(crowded, "key", "left_anti"), "key").where(verified)
+    cold_asks = asks.join(crowded, "key", "left_anti")
+    cold = table.join(crowded, "key", "left_anti").join(shuffled(cold_asks), "key").where(verified)
     parts = "array(struct(0L as half, shiftrightunsigned({0}, 16) as sub), struct(1L as half, {0} & 65535L as sub))"
     filed_again = table.join(crowded, "key", "left_semi").selectExpr("*", f"inline({parts.format('other')})")
     asked_again = (
@@ -93,7 +94,7 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
     # both sides look up their balls here: the sides of the first lookup are already settled
     flips = "concat(array(own), transform(sequence(0, 15), i -> own ^ shiftleft(1L, i)))"
     asked_again = asked_again.selectExpr("asker", "key", "half", f"explode({flips}) as sub")
-    again = filed_again.join(asked_again, ["key", "half", "sub"]).where(verified)
+    again = filed_again.join(shuffled(asked_again), ["key", "half", "sub"]).where(verified)
     return cold.selectExpr("fp as a", "asker as b").union(again.selectExpr("fp as a", "asker as b")).distinct()
 
 
@@ -110,10 +111,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(low, "u").where("v > u").selectExpr("v as u", "m as v").where("u <> v").distinct()
+        large = both.join(shuffled(low), "u").where("v > u").selectExpr("v as u", "m as v").where("u <> v").distinct()
         large = stored(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(low, "u").selectExpr("inline(array(struct(v as u, m as v), struct(u as u, m as v)))")
+        moved = large.join(shuffled(low), "u").selectExpr("inline(array(struct(v as u, m as v), struct(u as u, m as v)))")
         current = stored(moved.where("u > v").distinct())
         state = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
@@ -124,10 +125,11 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(rows: DataFrame, key: str, hot: int = HOT) -> DataFrame:
     """``rows`` (with ``fp``) and ``component_id``: the smallest key reachable, its own included."""
     nodes = stored(rows.groupBy("fp").agg(F.min(key).alias("low")))
+    n = nodes.count()  # no table below has more rows
     roots = components(links(nodes.select("fp"), hot))
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
+    rooted = nodes.join(looked_up(roots, n), F.col("fp") == F.col("node"), "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(names, "root").select(F.col("fp").alias("node_fp"), "component_id")
-    return rows.join(named, F.col("fp") == F.col("node_fp")).drop("node_fp")
+    named = rooted.join(looked_up(names, n), "root").select(F.col("fp").alias("node_fp"), "component_id")
+    return rows.join(looked_up(named, n), F.col("fp") == F.col("node_fp")).drop("node_fp")

@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from millrace.llm import queries, simhash
+from millrace.llm.batches import stored
 
 
 def plain_fingerprint(text):
@@ -75,6 +76,19 @@ def test_long_chain_is_one_component(spark):
     assert got == {**{i: 0 for i in range(1, n + 1)}, 901: 900}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookups_are_shuffled_whatever_size_spark_expects(spark, monkeypatch):
+    """Seventeen lookups a segment are exploded from a small file: sent whole they fill the driver."""
+    fps = stored(spark.createDataFrame([(signed(f),) for f in set(family(3, 60))], "fp bigint"))
+    assert "Broadcast" not in plan_of(simhash.links(fps))
+    monkeypatch.setattr("millrace.llm.batches.SMALL", 10)  # more rows than may be sent
+    rows = stored(fps.selectExpr("fp", "fp % 1000 as doc_id"))
+    assert "Broadcast" not in plan_of(simhash.groups(rows, "doc_id"))
+
+
 def test_odd_tables(spark):
     df = spark.createDataFrame([(1, None, 3), (2, "", 4), (2, " ", 5)], "doc_id bigint, text string, fp int")
     marked = simhash.fingerprints(df, ["doc_id"])
