@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..functions.columns import col
-from .batches import Memo, _pieces, blocks, chunk_words, released, small_batches, stored
+from .batches import Memo, _pieces, blocks, chunk_words, released, shuffled, small_batches, stored
 
 CAPACITY = 2048
 END = 0  # token behind every document
@@ -238,8 +238,7 @@ def pack(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "text",
     runs = F.broadcast(docs.sparkSession.createDataFrame(_runs(plan(counts)), names))
     earlier = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select("task", "length", F.coalesce(earlier, F.lit(0)).alias("before"))
-    if totals.count() <= SMALL_OFFSETS:
-        offsets = F.broadcast(offsets)
+    offsets = F.broadcast(offsets) if totals.count() <= SMALL_OFFSETS else shuffled(offsets)
     rank = F.col("before") + F.col("nth")
     place = F.col("r_rank") <= rank, rank < F.col("r_rank") + F.col("r_count")
     nth = rank - F.col("r_rank")

@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import copies
+from millrace.llm import copies, simhash
+from millrace.llm.batches import stored
 
 
 def brute_groups(texts):
@@ -81,6 +82,24 @@ def test_order_never_changes_a_result(spark, tmp_path, monkeypatch):
     assert sorted(r.doc_id for r in left.collect()) == sorted(set(brute_groups(texts).values()))
 
 
+def test_joins_are_shuffled_whatever_size_spark_expects(spark, tmp_path, monkeypatch):
+    """Only tables counted as small are sent to every task; here none is."""
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    for module in (copies, simhash):
+        monkeypatch.setattr(module, "stored", noted)
+    monkeypatch.setattr("millrace.llm.batches.SMALL", -1)
+    texts = {i: t for i, t in edited().items() if i < 120}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    left = corpus_pipeline.near_duplicate_stage(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(brute_groups(texts).values()))
+    assert len(plans) > 10 and not any("Broadcast" in p for p in plans)
+
+
 def test_real_near_copies(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").where("text is not null").dropDuplicates(["doc_id"])
     left = corpus_pipeline.near_duplicate_stage(spark, docs, data)
