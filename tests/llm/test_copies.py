@@ -107,6 +107,20 @@ def test_real_near_copies(spark, data):
     assert sorted(r.doc_id for r in left.select(F.col("doc_id")).collect()) == sorted(set(brute_groups(texts).values()))
 
 
+def test_all_documents_of_linked_fingerprints_are_compared(spark, monkeypatch):
+    """Also where the first documents of the fingerprints are like none of the others."""
+    monkeypatch.setattr(copies, "_prefix", lambda hashes, *_: hashes[:0])
+    text = lambda c, last: " ".join(f"{c}{i}" for i in range(30)) + " " + last
+    texts = {1: text("a", ""), 2: text("b", "x"), 3: text("b", "y"), 4: text("c", "x"), 5: text("d", ""), 6: text("c", "y"), 7: text("e", "x"), 8: text("e", "y")}
+    prints = {1: 0, 2: 0, 3: 0, 4: 0, 5: 7, 6: 7, 7: 7, 8: 15}  # 0 and 7 are linked, 7 and 15 too, 0 and 15 aren't
+    known = {texts[i]: fp for i, fp in prints.items()}
+    monkeypatch.setattr(copies, "text_fingerprint", lambda t: known[t])
+    groups = brute_groups(texts)
+    assert groups == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5, 6: 4, 7: 7, 8: 7}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").coalesce(1)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == [1, 2, 4, 5, 7]
+
+
 def test_fingerprints_link_documents_of_the_pipeline(spark, monkeypatch):
     """Without prefixes to find pairs the SimHash links are left; an exact check follows them."""
     monkeypatch.setattr(copies, "_prefix", lambda hashes, *_: hashes[:0])
