@@ -9,8 +9,8 @@ that bound; each visited block returns at most k rows, and the bests are merged
 are salted to a bounded size as well.  No pair of rows is ever emitted beyond those k per visit.
 
 At dozens of coordinates hardly any box can be ruled out, and a query sent to every block is all that
-moves.  So the share of blocks that a few queries have to visit is measured first.  Where it is large, and
-on tables of few pairs, queries and corpus are dealt at random to lanes and blocks of at most GRID_ROWS rows
+moves.  So the share of blocks that a few queries have to visit is measured first.  Where it is large, where
+rows would be sent many times over, and on tables of few pairs, queries and corpus are dealt at random to lanes and blocks of at most GRID_ROWS rows
 and every lane meets every block once; blocks are read where they were written instead of shuffled to every lane.  All pairs are still compared, as no bound on distances rules one
 out, but as matrix products: :func:`closest` estimates distances, and those that the estimate's
 error does not rule out are computed in full.
@@ -44,6 +44,8 @@ GRID_ROWS = 65_536  # rows of a lane or block of the grid
 GRID_CELLS = 8  # cells of the grid a core gets at least, unless their sides fall under BLOCK_ROWS
 TRIALS = 200  # queries that tell how well boxes prune
 VISIT_ROWS = 1000  # rows that could be compared in a grid while a query is sent to one more block
+SENT = 16  # times that visits may send a row on average, unless they spare all but one in
+RARE = 64  # of the pairs that a grid compares
 ASKED, FIRST, NEXT = 256, 1024, 2048  # queries, first and further corpus rows compared at once
 HUGE = 1e15  # beyond this squares leave the range of short floats
 
@@ -563,7 +565,7 @@ def knn_join(
     ids, counts = boxes["block"].to_numpy(dtype=np.int64), boxes["n"].to_numpy(dtype=float)
     lo, hi = (np.stack([np.asarray(v, float) for v in boxes[c]]) for c in ("lo", "hi"))
     visits = len(ids) * _share_visited(ask, base, n_ask, k, p, allow_missing, exclude_self, lo, hi)
-    if visits * (block_rows + VISIT_ROWS) > n:
+    if visits * (block_rows + VISIT_ROWS) > n or _sends_much(visits, len(ids), n_ask, n, query_rows):
         return on_grid()
     shared = spark.sparkContext.broadcast((ids, counts, lo, hi))
     need = k + (1 if exclude_self else 0)
@@ -638,6 +640,14 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _sends_much(visits: float, n_blocks: int, n_ask: int, n: int, query_rows: int) -> bool:
+    """Whether rows sent by visits, every query to each of its blocks and a block to each group of its queries, are
+    many times the tables.  Visits grow with the number of blocks, so what is shuffled and written would grow with
+    the square of the table; a grid deals every row a fixed number of times, but compares all pairs."""
+    sent = n_ask * visits * (1 + n / n_blocks / query_rows)
+    return sent > SENT * (n_ask + n) and visits * RARE > n_blocks
+
+
 def _share_visited(
     ask: DataFrame, base: DataFrame, n_ask: int, k: int, p: float, partial: bool, exclude_self: bool, lo: np.ndarray, hi: np.ndarray
 ) -> float:

@@ -161,7 +161,8 @@ def tomek_links(df: DataFrame, key: str, features: Sequence[str], label: str, mo
     mine = df.select(col(key).alias("a"), stratum(label).alias("a_label"))
 
     def pointing(keys: DataFrame) -> DataFrame:
-        asked = df.join(keys.select(F.col("a").alias("__asked")).distinct(), col(key) == F.col("__asked"), "left_semi")
+        # written, as the neighbour join counts, tries and deals the rows: each would shuffle the whole table
+        asked = materialise(df.join(keys.select(F.col("a").alias("__asked")).distinct(), col(key) == F.col("__asked"), "left_semi"))
         near = knn_join(asked, df, key, key, features, 1, exclude_self=True, carry=[label], mode=mode)
         ends = near.select(col(key).alias("a"), F.col("neighbour").alias("b"), stratum(label).alias("b_label")).join(mine, "a")
         return materialise(ends.where(F.col("a_label") != F.col("b_label")).select("a", "b"))

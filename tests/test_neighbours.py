@@ -82,6 +82,20 @@ def test_boxes_that_rule_out_are_used(spark, monkeypatch):
     assert near(table(spark, x), 3, block_rows=20, query_rows=30) == wanted(x, 3)
 
 
+def test_rows_are_not_sent_to_ever_more_boxes(spark, monkeypatch):
+    """Boxes that rule out only some blocks send rows as often as there are others: more with every block."""
+    sides, blocks = [], []
+    grid, share = neighbours.grid, neighbours._share_visited
+    monkeypatch.setattr(neighbours, "grid", lambda *a: sides.append(a[2:4]) or grid(*a))
+    monkeypatch.setattr(neighbours, "_share_visited", lambda *a: blocks.append((len(a[-1]), share(*a))) or blocks[-1][1])
+    monkeypatch.setattr(neighbours, "VISIT_ROWS", 0)
+    x = np.random.default_rng(6).random((600, 10))
+    assert near(table(spark, x), 3, block_rows=8, query_rows=8) == wanted(x, 3)
+    n, part = blocks[0]
+    assert 20 < n * part <= 600 / 8  # fewer pairs than in a grid, but rows sent over 16 times
+    assert sides == [(600, 600)]
+
+
 def test_links_are_asked_from_the_smaller_classes(spark, monkeypatch):
     asked = []
     join = resample.knn_join
