@@ -159,6 +159,8 @@ def tokenised(docs: DataFrame, vocabulary: str, keep: list[str], text: str = "te
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
                 new = [pa.array(v, k) for v, k in zip(zip(*made), kinds)] if made else [pa.array([], k) for k in kinds]
                 yield pa.RecordBatch.from_arrays([*kept, *new], names=schema.names)
+        coder = batch = part = rows = made = kept = new = None  # or the worker would keep them while it waits
+        released()
 
     return picked.mapInArrow(run, schema)
 
